@@ -36,16 +36,22 @@ def _q(name: str) -> Column:
     return F.col("`" + name + "`")
 
 
+def finite(c: Column) -> Column:
+    """``c`` where it is a finite number, else null. pandas rolling / ewm windows treat
+    +-inf exactly like NaN (missing), so windows aggregate this instead of ``c``."""
+    return F.when(~F.isnan(c) & ~c.isin(float("inf"), float("-inf")), c)
+
+
 def rolling_mean(c: str, w: WindowSpec, n: int) -> Column:
-    """pandas ``rolling(n).mean()`` (min_periods = n): null until n non-null values."""
-    f = trailing(w, n)
-    return F.when(F.count(_q(c)).over(f) == n, F.avg(_q(c)).over(f))
+    """pandas ``rolling(n).mean()`` (min_periods = n): null until n finite values."""
+    f, v = trailing(w, n), finite(_q(c))
+    return F.when(F.count(v).over(f) == n, F.avg(v).over(f))
 
 
 def rolling_std(c: str, w: WindowSpec, n: int) -> Column:
-    """pandas ``rolling(n).std()`` (ddof 1, min_periods = n)."""
-    f = trailing(w, n)
-    return F.when(F.count(_q(c)).over(f) == n, F.stddev_samp(_q(c)).over(f))
+    """pandas ``rolling(n).std()`` (ddof 1, min_periods = n, non-finite = missing)."""
+    f, v = trailing(w, n), finite(_q(c))
+    return F.when(F.count(v).over(f) == n, F.stddev_samp(v).over(f))
 
 
 def forward_fill(df: DataFrame, cols: Iterable[str], w: WindowSpec,

@@ -17,8 +17,18 @@ def round_half_away(c, places: int = 4):
     return F.round(c * F.lit(scale)) / F.lit(scale)
 
 
-def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    return df.select(*[
-        round_half_away(F.col(f"`{f.name}`"), places).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f"`{f.name}`")
-        for f in df.schema.fields])
+def round_significant(c, digits: int = 7):
+    """Round to ``digits`` significant digits through ``%e`` formatting (any magnitude,
+    inf and NaN included) -- used for compounded quantities such as an index."""
+    return F.format_string(f"%.{digits - 1}e", c).cast("double")
+
+
+def rounded(df: DataFrame, places: int = 4, significant: tuple[str, ...] = (),
+            digits: int = 7) -> DataFrame:
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            c = round_significant(c, digits) if f.name in significant else round_half_away(c, places)
+        out.append(c.alias(f.name))
+    return df.select(*out)

@@ -55,6 +55,13 @@ def sector_members(spark: SparkSession, sf_dir: str) -> DataFrame:
                      symbol_of(F.col("s_suppkey")).alias("symbol")))
 
 
+def shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(symbol, shares_outstanding): the part of stock_info that needs no prices."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return s.select(symbol_of(F.col("s_suppkey")).alias("symbol"),
+                    (F.abs(F.col("s_acctbal")) + F.lit(1.0)).alias("shares_outstanding"))
+
+
 def stock_info(spark: SparkSession, sf_dir: str, bars_df: DataFrame | None = None) -> DataFrame:
     """(symbol, market_cap, shares_outstanding): cap is shares x the symbol's last close."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")

@@ -23,6 +23,13 @@ bars AS (
   FROM li GROUP BY 1, 2)"""
 
 
+def roll(fn: str, col: str, n: int, w: str = "w") -> str:
+    """pandas rolling(n) with min_periods = n; non-finite values count as missing."""
+    v = f"CASE WHEN isfinite({col}) THEN {col} END"
+    frame = f"({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({v}) OVER {frame} = {n} THEN {fn}({v}) OVER {frame} END"
+
+
 def momentum_ctes(src: str, key: str, price: str, prefix: str, macd: bool = True) -> str:
     """Recursive CTE computing RSI(14) and MACD(12,26,9) row by row per key.
 
@@ -70,6 +77,16 @@ def _r(expr: str, name: str) -> str:
     return f"{r4(expr)} AS {name}"
 
 
+def _s(expr: str, name: str) -> str:
+    """7 significant digits, as ``presentation.round_significant``."""
+    return f"CAST(printf('%.6e', {expr}) AS DOUBLE) AS {name}"
+
+
+def not_nan(*cols: str) -> str:
+    """Spark's ``na.drop`` removes NaN as well as null."""
+    return " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in cols)
+
+
 TICKER_FEATURES = f"""
 WITH RECURSIVE {BARS_CTE},
 g AS (
@@ -91,20 +108,12 @@ f AS (
     lag(returns_pct, 1) OVER w AS lag_return1,
     lag(returns_pct, 5) OVER w AS lag_return5,
     lag(returns_pct, 10) OVER w AS lag_return10,
-    CASE WHEN count(close_price) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) = 5
-         THEN avg(close_price) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END AS stock_MA_5,
-    CASE WHEN count(close_price) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 20
-         THEN avg(close_price) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END AS stock_MA_20,
-    CASE WHEN count(close_price) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
-         THEN avg(close_price) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) END AS stock_MA_50,
-    CASE WHEN count(returns_pct) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 20
-         THEN stddev_samp(returns_pct) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
-         END AS returns_volatility_20,
-    CASE WHEN count(returns_pct) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 50
-         THEN stddev_samp(returns_pct) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)
-         END AS returns_volatility_50,
-    CASE WHEN count(volume) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 20
-         THEN avg(volume) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END AS stock_volume_MA_20
+    {roll("avg", "close_price", 5)} AS stock_MA_5,
+    {roll("avg", "close_price", 20)} AS stock_MA_20,
+    {roll("avg", "close_price", 50)} AS stock_MA_50,
+    {roll("stddev_samp", "returns_pct", 20)} AS returns_volatility_20,
+    {roll("stddev_samp", "returns_pct", 50)} AS returns_volatility_50,
+    {roll("avg", "volume", 20)} AS stock_volume_MA_20
   FROM r
   WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)),
 {momentum_ctes("f", "symbol", "close_price", "t")}
@@ -123,3 +132,93 @@ WHERE returns_pct IS NOT NULL AND lag_return10 IS NOT NULL AND stock_MA_50 IS NO
   AND returns_volatility_50 IS NOT NULL AND m.rsi IS NOT NULL AND m.macd_signal IS NOT NULL
   AND stock_volume_MA_20 IS NOT NULL AND open_price IS NOT NULL
 """
+
+
+MEMBERS_CTE = """
+mem AS (
+  SELECT lower(replace(r_name, ' ', '_')) AS sector,
+         'T' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS symbol,
+         abs(s_acctbal) + 1 AS shares
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                JOIN region ON n_regionkey = r_regionkey)"""
+
+RET_CTE = """
+ret AS (
+  SELECT symbol, trade_date, close_price, volume,
+         (close_price / lag(close_price) OVER (PARTITION BY symbol ORDER BY trade_date) - 1) * 100
+           AS returns_pct
+  FROM bars)"""
+
+SECTOR_AGG_CTE = """
+sx AS (
+  SELECT m.sector, r.trade_date, r.returns_pct, r.volume, r.close_price * m.shares AS cap
+  FROM ret r JOIN mem m USING (symbol)),
+sagg AS (
+  SELECT sector, trade_date AS date,
+         CASE WHEN coalesce(sum(cap), 0) = 0 THEN 0.0
+              ELSE coalesce(sum(returns_pct * cap), 0) / sum(cap) END AS weighted_sector_returns,
+         CAST(count(cap) AS DOUBLE) AS n_stocks_contributing,
+         coalesce(sum(volume), 0) AS sector_volume
+  FROM sx GROUP BY 1, 2),
+sd AS (
+  SELECT date, sector, weighted_sector_returns, n_stocks_contributing,
+         100 * product(1 + weighted_sector_returns / 100) OVER (
+           PARTITION BY sector ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           AS sector_index,
+         sector_volume
+  FROM sagg)"""
+
+SECTOR_DAILY = f"""
+WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE}
+SELECT date, sector, {_r("weighted_sector_returns", "weighted_sector_returns")},
+       {_r("n_stocks_contributing", "n_stocks_contributing")},
+       {_s("sector_index", "sector_index")}, {_r("sector_volume", "sector_volume")}
+FROM sd
+"""
+
+SECTOR_STATIC = f"""
+WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE},
+lastc AS (SELECT symbol, arg_max(close_price, trade_date) AS last_close FROM bars GROUP BY 1),
+caps AS (SELECT m.sector, m.symbol, m.shares * l.last_close AS market_cap
+         FROM mem m JOIN lastc l USING (symbol)),
+wts AS (SELECT sector, symbol, market_cap / sum(market_cap) OVER (PARTITION BY sector)
+               AS stock_weight FROM caps),
+agg AS (
+  SELECT w.sector, r.trade_date AS date,
+         coalesce(sum(r.returns_pct * w.stock_weight), 0) AS weighted_sector_returns
+  FROM ret r JOIN wts w USING (symbol) GROUP BY 1, 2)
+SELECT date, sector, {_r("weighted_sector_returns", "weighted_sector_returns")},
+       {_s('''100 * product(1 + weighted_sector_returns / 100) OVER (
+             PARTITION BY sector ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)''',
+           "sector_index")}
+FROM agg
+"""
+
+SECTOR_FEATURES = f"""
+WITH RECURSIVE {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE},
+sf AS (
+  SELECT *,
+    row_number() OVER w AS rn,
+    avg(sector_index) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS sma12,
+    avg(sector_index) OVER (w ROWS BETWEEN 25 PRECEDING AND CURRENT ROW) AS sma26,
+    lag(weighted_sector_returns, 1) OVER w AS sector_lag_return1,
+    {roll("avg", "sector_index", 5)} AS sector_index_MA_5,
+    {roll("stddev_samp", "weighted_sector_returns", 20)} AS sector_returns_volatility_20,
+    {roll("avg", "sector_volume", 20)} AS sector_stock_volume_MA_20
+  FROM sd WINDOW w AS (PARTITION BY sector ORDER BY date)),
+{momentum_ctes("sf", "sector", "sector_index", "s")}
+SELECT date, f.sector, {_r("weighted_sector_returns", "weighted_sector_returns")},
+       {_r("n_stocks_contributing", "n_stocks_contributing")},
+       {_s("sector_index", "sector_index")}, {_r("sector_volume", "sector_volume")},
+       {_r("sector_lag_return1", "sector_lag_return1")},
+       {_s("sector_index_MA_5", "sector_index_MA_5")},
+       {_r("sector_returns_volatility_20", "sector_returns_volatility_20")},
+       {_r("m.rsi", "sector_index_RSI")}, {_s("m.macd", "sector_MACD")},
+       {_s("m.macd - m.macd_signal", "sector_MACD_hist")},
+       {_s("m.macd_signal", "sector_MACD_signal")},
+       {_r("sector_stock_volume_MA_20", "sector_stock_volume_MA_20")}
+FROM sf f JOIN s_mom m ON m.sector = f.sector AND m.rn = f.rn
+WHERE {not_nan("weighted_sector_returns", "sector_index", "sector_lag_return1",
+              "sector_index_MA_5", "sector_returns_volatility_20", "m.rsi", "m.macd",
+              "m.macd_signal", "sector_stock_volume_MA_20")}
+"""
