@@ -93,7 +93,7 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("order_count_monthly"),
         F.avg("o_totalprice").alias("avg_order_value_monthly"),
         F.sum("o_totalprice").alias("order_value_monthly"))
-    quarterly = o.groupBy(F.add_months(F.trunc(d, "Q"), 2).alias("m")).agg(
+    quarterly = o.groupBy(F.add_months(F.trunc(d, "quarter"), 2).alias("m")).agg(
         F.count(F.lit(1)).cast("double").alias("order_count_quarterly"),
         F.sum("o_totalprice").alias("order_value_quarterly"))
     months = F.array(*[F.lit(m) for m in _MONTHS])
@@ -133,3 +133,8 @@ def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("ts").cast("date").alias("trade_date"))
              .agg(F.avg("value").alias("close_price"),
                   F.count(F.lit(1)).cast("double").alias("volume")))
+
+
+def aligned_macro_inputs(spark: SparkSession, sf_dir: str):
+    """(macro, daily_calendar, daily_reserve) for ``plans.macro.align_macro``."""
+    return macro(spark, sf_dir), daily_calendar(spark, sf_dir), daily_reserve(spark, sf_dir)

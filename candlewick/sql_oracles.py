@@ -222,3 +222,104 @@ WHERE {not_nan("weighted_sector_returns", "sector_index", "sector_lag_return1",
               "sector_index_MA_5", "sector_returns_volatility_20", "m.rsi", "m.macd",
               "m.macd_signal", "sector_stock_volume_MA_20")}
 """
+
+
+MACRO_CTE = """
+mo AS (
+  SELECT date_trunc('month', CAST(o_orderdate AS DATE)) AS m,
+         CAST(count(*) AS DOUBLE) AS order_count_monthly,
+         avg(o_totalprice) AS avg_order_value_monthly,
+         sum(o_totalprice) AS order_value_monthly
+  FROM orders GROUP BY 1),
+qo AS (
+  SELECT CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) + INTERVAL 2 MONTH AS DATE) AS m,
+         CAST(count(*) AS DOUBLE) AS order_count_quarterly,
+         sum(o_totalprice) AS order_value_quarterly
+  FROM orders GROUP BY 1),
+macro AS (
+  SELECT year(mo.m) AS yr, month(mo.m) AS month_idx,
+         order_count_monthly, avg_order_value_monthly, order_value_monthly,
+         order_count_quarterly, order_value_quarterly
+  FROM mo LEFT JOIN qo ON CAST(mo.m AS DATE) = qo.m),
+tgt AS (
+  SELECT *, CASE WHEN month_idx = 12 THEN 1 ELSE month_idx + 1 END AS tm,
+         yr + CASE WHEN month_idx = 12 THEN 1 ELSE 0 END AS ty,
+         CASE month_idx WHEN 3 THEN 'Q2' WHEN 6 THEN 'Q3' WHEN 9 THEN 'Q4' WHEN 12 THEN 'Q1' END AS tq
+  FROM macro),
+cal AS (
+  SELECT CAST(d AS DATE) AS "Date"
+  FROM (SELECT unnest(generate_series(min(CAST(o_orderdate AS DATE)),
+                                      max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS d
+        FROM orders)),
+res AS (
+  SELECT CAST(o_orderdate AS DATE) AS fr_date_daily,
+         sum(o_totalprice) AS gross,
+         sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) AS liquid
+  FROM orders GROUP BY 1),
+aligned AS (
+  SELECT c."Date", 'Q' || CAST(quarter(c."Date") AS VARCHAR) AS "Quarter",
+         year(c."Date") AS "Year", month(c."Date") AS "Month_idx",
+         mm.order_count_monthly, mm.avg_order_value_monthly, mm.order_value_monthly,
+         qq.order_count_quarterly, qq.order_value_quarterly,
+         r.gross AS "foreign_reserve_gross(USD)_daily",
+         r.liquid AS "foreign_reserve_liquid(USD)_daily"
+  FROM cal c
+  LEFT JOIN tgt mm ON year(c."Date") = mm.ty AND month(c."Date") = mm.tm
+  LEFT JOIN (SELECT * FROM tgt WHERE tq IS NOT NULL AND NOT (order_count_quarterly IS NULL
+                                                          AND order_value_quarterly IS NULL)) qq
+         ON 'Q' || CAST(quarter(c."Date") AS VARCHAR) = qq.tq AND year(c."Date") = qq.ty
+  LEFT JOIN res r ON c."Date" = r.fr_date_daily),
+aligned_clean AS (
+  SELECT * FROM aligned
+  WHERE order_count_monthly IS NOT NULL AND avg_order_value_monthly IS NOT NULL
+    AND order_value_monthly IS NOT NULL AND order_count_quarterly IS NOT NULL
+    AND order_value_quarterly IS NOT NULL AND "foreign_reserve_gross(USD)_daily" IS NOT NULL
+    AND "foreign_reserve_liquid(USD)_daily" IS NOT NULL)"""
+
+_ALIGNED_COLS = ('"Date", "Quarter", CAST("Year" AS INTEGER) AS "Year", '
+                 'CAST("Month_idx" AS INTEGER) AS "Month_idx", '
+                 + ", ".join(_r(c, c) for c in ["order_count_monthly", "avg_order_value_monthly",
+                                                 "order_value_monthly", "order_count_quarterly",
+                                                 "order_value_quarterly"])
+                 + ", " + _r('"foreign_reserve_gross(USD)_daily"', '"foreign_reserve_gross(USD)_daily"')
+                 + ", " + _r('"foreign_reserve_liquid(USD)_daily"',
+                             '"foreign_reserve_liquid(USD)_daily"'))
+
+MACRO_ALIGNED = f"""
+WITH {MACRO_CTE}
+SELECT {_ALIGNED_COLS} FROM aligned_clean
+"""
+
+MACRO_LAGS = f"""
+WITH {MACRO_CTE},
+mfirst AS (
+  SELECT "Year", "Month_idx", arg_min(order_value_monthly, "Date") AS f
+  FROM aligned_clean WHERE order_value_monthly IS NOT NULL GROUP BY 1, 2),
+mlag AS (
+  SELECT "Year", "Month_idx",
+         lag(f, 1) OVER (ORDER BY "Year", "Month_idx") AS order_value_monthly_lag1,
+         lag(f, 2) OVER (ORDER BY "Year", "Month_idx") AS order_value_monthly_lag2
+  FROM mfirst),
+qfirst AS (
+  SELECT "Year", "Quarter", arg_min(order_value_quarterly, "Date") AS f
+  FROM aligned_clean WHERE order_value_quarterly IS NOT NULL GROUP BY 1, 2),
+qlag AS (
+  SELECT "Year", "Quarter", lag(f, 1) OVER (ORDER BY "Year", "Quarter") AS order_value_quarterly_lag1
+  FROM qfirst),
+lagged AS (
+  SELECT a.*,
+    lag("foreign_reserve_liquid(USD)_daily", 1) OVER (ORDER BY "Date") AS "foreign_reserve_liquid(USD)_daily_lag1",
+    lag("foreign_reserve_liquid(USD)_daily", 5) OVER (ORDER BY "Date") AS "foreign_reserve_liquid(USD)_daily_lag5",
+    lag("foreign_reserve_liquid(USD)_daily", 10) OVER (ORDER BY "Date") AS "foreign_reserve_liquid(USD)_daily_lag10"
+  FROM aligned_clean a)
+SELECT {_ALIGNED_COLS},
+       {_r('"foreign_reserve_liquid(USD)_daily_lag1"', '"foreign_reserve_liquid(USD)_daily_lag1"')},
+       {_r('"foreign_reserve_liquid(USD)_daily_lag5"', '"foreign_reserve_liquid(USD)_daily_lag5"')},
+       {_r('"foreign_reserve_liquid(USD)_daily_lag10"', '"foreign_reserve_liquid(USD)_daily_lag10"')},
+       {_r("order_value_monthly_lag1", "order_value_monthly_lag1")},
+       {_r("order_value_monthly_lag2", "order_value_monthly_lag2")},
+       {_r("order_value_quarterly_lag1", "order_value_quarterly_lag1")}
+FROM lagged l
+LEFT JOIN mlag USING ("Year", "Month_idx")
+LEFT JOIN qlag USING ("Year", "Quarter")
+"""
