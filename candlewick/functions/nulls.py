@@ -99,3 +99,10 @@ def info(df: DataFrame) -> DataFrame:
                            for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
     out = nn.selectExpr(f"stack({len(df.columns)}, {stack}) as (column, non_null)")
     return out.withColumn("dtype", types[F.col("column")])
+
+
+def binary_label(c: Column | str) -> Column:
+    """P17 ``1 if x > 0 else 0``. Spark orders NaN above every number, so NaN is mapped
+    to 0 explicitly (in Python ``nan > 0`` is False)."""
+    c = _c(c)
+    return F.when(F.isnan(c) | c.isNull(), F.lit(0)).when(c > 0, F.lit(1)).otherwise(F.lit(0))

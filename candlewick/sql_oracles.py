@@ -323,3 +323,107 @@ FROM lagged l
 LEFT JOIN mlag USING ("Year", "Month_idx")
 LEFT JOIN qlag USING ("Year", "Quarter")
 """
+
+
+TRAIN_FEATURES = ["weighted_sector_returns", "n_stocks_contributing", "sector_volume",
+                  "order_count_monthly", "avg_order_value_monthly", "order_value_monthly",
+                  "order_count_quarterly", "order_value_quarterly",
+                  "foreign_reserve_gross(USD)_daily", "foreign_reserve_liquid(USD)_daily"]
+COLLINEAR = ["order_count_monthly", "order_value_monthly", "order_count_quarterly",
+             "order_value_quarterly", "foreign_reserve_gross(USD)_daily",
+             "foreign_reserve_liquid(USD)_daily"]
+
+
+def _q(c: str) -> str:
+    return '"' + c + '"'
+
+
+TRAIN_CTE = f"""
+sdl AS (
+  SELECT date, sector, weighted_sector_returns, n_stocks_contributing, sector_index,
+         lag(sector_volume) OVER (PARTITION BY sector ORDER BY date) AS sector_volume
+  FROM sd),
+ml AS (
+  SELECT "Date" AS date, order_count_monthly, avg_order_value_monthly, order_value_monthly,
+         order_count_quarterly, order_value_quarterly,
+         lag("foreign_reserve_gross(USD)_daily") OVER (ORDER BY "Date")
+           AS "foreign_reserve_gross(USD)_daily",
+         lag("foreign_reserve_liquid(USD)_daily") OVER (ORDER BY "Date")
+           AS "foreign_reserve_liquid(USD)_daily"
+  FROM aligned_clean),
+tf AS (
+  SELECT sdl.date, sdl.sector, weighted_sector_returns, n_stocks_contributing, sector_index,
+         sector_volume, order_count_monthly, avg_order_value_monthly, order_value_monthly,
+         order_count_quarterly, order_value_quarterly, "foreign_reserve_gross(USD)_daily",
+         "foreign_reserve_liquid(USD)_daily"
+  FROM sdl JOIN ml ON sdl.date = ml.date
+  WHERE {not_nan("sector_volume", "sector_index", "weighted_sector_returns",
+                 '"foreign_reserve_gross(USD)_daily"', '"foreign_reserve_liquid(USD)_daily"')})"""
+
+TRAIN_WITH = f"WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE}, {MACRO_CTE}, {TRAIN_CTE}"
+
+TRAINING_FRAME = f"""
+{TRAIN_WITH}
+SELECT date, sector, {_s("sector_index", "sector_index")},
+       {", ".join(_r(_q(c), _q(c)) for c in TRAIN_FEATURES)}
+FROM tf
+"""
+
+
+def _corr_matrix_sql(frame: str, cols: list[str], extra_ctes: str = "") -> str:
+    aggs = ", ".join(f"corr({_q(cols[i])}, {_q(cols[j])}) AS c_{i}_{j}"
+                     for i in range(len(cols)) for j in range(i + 1, len(cols)))
+    parts = []
+    for i in range(len(cols)):
+        for j in range(len(cols)):
+            v = "1.0" if i == j else f"c_{min(i, j)}_{max(i, j)}"
+            parts.append(f"SELECT sector, {i} AS i, '{cols[i]}' AS col_i, {j} AS j, "
+                         f"'{cols[j]}' AS col_j, {r4(v)} AS corr FROM agg")
+    return (f"{TRAIN_WITH}{extra_ctes},\nagg AS (SELECT sector, {aggs} FROM {frame} "
+            f"GROUP BY sector)\n" + "\nUNION ALL\n".join(parts))
+
+
+CORR_MATRIX = _corr_matrix_sql("tf", TRAIN_FEATURES)
+
+CORR_SCREEN = f"""
+SELECT * FROM ({CORR_MATRIX}) m WHERE j < i AND abs(corr) > 0.85
+"""
+
+CORR_TARGET = f"""
+{TRAIN_WITH}
+""" + "\nUNION ALL\n".join(
+    f"SELECT sector, '{c}' AS feature, "
+    + (r4("1.0") if c == "weighted_sector_returns" else r4(f"corr({_q(c)}, weighted_sector_returns)"))
+    + " AS corr FROM tf GROUP BY sector" for c in TRAIN_FEATURES)
+
+_PCT = ",\n".join(
+    f"{_q(c)} / lag({_q(c)}) OVER (PARTITION BY sector ORDER BY date) - 1 AS {_q(c)}"
+    for c in COLLINEAR)
+STATIONARY_CTE = f""",
+st0 AS (
+  SELECT date, sector, {", ".join(_q(c) for c in TRAIN_FEATURES if c not in COLLINEAR)},
+         {_PCT}
+  FROM tf),
+st AS (SELECT * FROM st0 WHERE {not_nan(*[_q(c) for c in COLLINEAR])}
+       AND {" AND ".join(f"isfinite({_q(c)})" for c in COLLINEAR)})"""
+
+STATIONARY_SCREEN = f"""
+SELECT * FROM ({_corr_matrix_sql("st", TRAIN_FEATURES, STATIONARY_CTE)}) m
+WHERE j < i AND abs(corr) > 0.85
+"""
+
+DESCRIBE = f"""
+{TRAIN_WITH}
+""" + "\nUNION ALL\n".join(
+    f"SELECT sector, '{c}' AS \"column\", count({_q(c)}) AS \"count\", "
+    f"{r4(f'avg({_q(c)})')} AS mean, {r4(f'stddev_samp({_q(c)})')} AS std, "
+    f"{r4(f'min({_q(c)})')} AS min, {r4(f'quantile_cont({_q(c)}, 0.25)')} AS p25, "
+    f"{r4(f'quantile_cont({_q(c)}, 0.5)')} AS p50, {r4(f'quantile_cont({_q(c)}, 0.75)')} AS p75, "
+    f"{r4(f'max({_q(c)})')} AS max FROM tf GROUP BY sector" for c in TRAIN_FEATURES)
+
+LABEL_COUNTS = f"""
+{TRAIN_WITH}
+SELECT sector, CASE WHEN weighted_sector_returns > 0 THEN 1 ELSE 0 END AS value,
+       count(*) AS "count"
+FROM tf GROUP BY 1, 2
+"""
