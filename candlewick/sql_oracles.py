@@ -427,3 +427,140 @@ SELECT sector, CASE WHEN weighted_sector_returns > 0 THEN 1 ELSE 0 END AS value,
        count(*) AS "count"
 FROM tf GROUP BY 1, 2
 """
+
+
+MODEL_FEATURES = [c for c in TRAIN_FEATURES if c != "weighted_sector_returns"]
+
+FOLDS_CTE = f"""
+pos AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY sector ORDER BY date) - 1 AS BIGINT) AS row_idx,
+         count(*) OVER (PARTITION BY sector) AS n_rows,
+         CASE WHEN weighted_sector_returns > 0 THEN 1 ELSE 0 END AS label
+  FROM st),
+pos2 AS (
+  SELECT *, n_rows // 6 AS ts, n_rows - 5 * (n_rows // 6) AS first_test FROM pos),
+pos3 AS (
+  SELECT *, CASE WHEN row_idx >= first_test THEN (row_idx - first_test) // ts ELSE -1 END AS tf
+  FROM pos2 WHERE ts > 0),
+folds AS (
+  SELECT *, CAST(tf AS INTEGER) AS fold, 'test' AS role FROM pos3 WHERE tf >= 0
+  UNION ALL
+  SELECT p.*, CAST(f.fold AS INTEGER) AS fold, 'train' AS role
+  FROM pos3 p JOIN (SELECT unnest(range(5)) AS fold) f ON f.fold > p.tf)"""
+
+FOLD_WITH = f"{TRAIN_WITH}{STATIONARY_CTE},{FOLDS_CTE}"
+
+FOLD_REPORT = f"""
+{FOLD_WITH}
+SELECT sector, fold, role, count(*) AS rows, min(row_idx) AS first_row, max(row_idx) AS last_row,
+       min(date) AS first_date, max(date) AS last_date
+FROM folds GROUP BY sector, fold, role
+"""
+
+HOLDOUT = f"""
+{TRAIN_WITH}{STATIONARY_CTE},
+p AS (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY date) - 1 AS row_idx,
+             count(*) OVER (PARTITION BY sector) AS n_rows FROM st),
+r AS (SELECT *, CASE WHEN row_idx >= n_rows - ceil(n_rows * 0.2) THEN 'test' ELSE 'train' END
+             AS role FROM p)
+SELECT sector, role, count(*) AS rows, min(row_idx) AS first_row, max(row_idx) AS last_row
+FROM r GROUP BY sector, role
+"""
+
+BASELINE_RMSE = f"""
+{FOLD_WITH},
+mu AS (SELECT sector, fold, avg(weighted_sector_returns) AS m FROM folds WHERE role = 'train'
+       GROUP BY 1, 2)
+SELECT f.sector, f.fold, {r4("sqrt(avg(power(weighted_sector_returns - mu.m, 2)))")} AS baseline_rmse
+FROM folds f JOIN mu USING (sector, fold) WHERE role = 'test' GROUP BY 1, 2
+"""
+
+_MAJ = """
+vc AS (SELECT sector, fold, label, count(*) AS n FROM folds WHERE role = 'train' GROUP BY 1, 2, 3),
+maj AS (SELECT sector, fold, label AS majority_class FROM (
+          SELECT *, row_number() OVER (PARTITION BY sector, fold ORDER BY n DESC, label) AS r
+          FROM vc) WHERE r = 1),
+base AS (SELECT f.sector, f.fold, majority_class,
+                avg(CASE WHEN label = majority_class THEN 1.0 ELSE 0.0 END) AS baseline_accuracy
+         FROM folds f JOIN maj USING (sector, fold) WHERE role = 'test' GROUP BY 1, 2, 3)"""
+
+BASELINE_ACCURACY = f"""
+{FOLD_WITH},{_MAJ}
+SELECT sector, fold, majority_class, {r4("baseline_accuracy")} AS baseline_accuracy FROM base
+"""
+
+_K = len(MODEL_FEATURES)
+_SCALER = ",\n".join(
+    [f"avg({_q(c)}) AS mu{i}, CASE WHEN stddev_pop({_q(c)}) = 0 THEN 1.0 "
+     f"ELSE stddev_pop({_q(c)}) END AS sd{i}" for i, c in enumerate(MODEL_FEATURES)])
+_SCALED = ",\n".join(f"({_q(c)} - mu{i}) / sd{i} AS x{i}" for i, c in enumerate(MODEL_FEATURES))
+_CLS = ",\n".join([f"avg(x{i}) AS m{i}, var_pop(x{i}) AS v{i}" for i in range(_K)])
+_LL = " ".join(f"- 0.5 * (ln(2 * pi() * (c.v{i} + c.eps)) + power(t.x{i} - c.m{i}, 2) / (c.v{i} + c.eps))"
+               for i in range(_K))
+NB_CTE = f"""
+sc AS (SELECT sector, fold, {_SCALER} FROM folds WHERE role = 'train' GROUP BY 1, 2),
+xs AS (SELECT f.sector, f.fold, f.role, f.row_idx, f.label, {_SCALED}
+       FROM folds f JOIN sc USING (sector, fold)),
+ev AS (SELECT sector, fold, greatest({", ".join(f"var_pop(x{i})" for i in range(_K))}) AS maxvar,
+              count(*) AS n FROM xs WHERE role = 'train' GROUP BY 1, 2),
+cls AS (SELECT xs.sector, xs.fold, label AS cls, count(*) AS nc, {_CLS}
+        FROM xs WHERE role = 'train' GROUP BY 1, 2, 3),
+cl AS (SELECT cls.*, 1e-9 * ev.maxvar AS eps, ev.n FROM cls JOIN ev USING (sector, fold)),
+sco AS (SELECT t.sector, t.fold, t.row_idx, t.label, c.cls,
+               ln(c.nc / c.n) {_LL} AS ll
+        FROM xs t JOIN cl c ON t.sector = c.sector AND t.fold = c.fold WHERE t.role = 'test'),
+nbp AS (SELECT sector, fold, row_idx, label, cls AS prediction FROM (
+          SELECT *, row_number() OVER (PARTITION BY sector, fold, row_idx ORDER BY ll DESC, cls) AS r
+          FROM sco) WHERE r = 1)"""
+
+NB_SCORES = f"""
+{FOLD_WITH},{_MAJ},{NB_CTE},
+acc AS (SELECT sector, fold, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy
+        FROM nbp GROUP BY 1, 2)
+SELECT sector, fold, {r4("accuracy")} AS accuracy, {r4("baseline_accuracy")} AS baseline_accuracy,
+       accuracy > baseline_accuracy AS beats_baseline
+FROM acc JOIN base USING (sector, fold)
+"""
+
+NB_SUMMARY = f"""
+{FOLD_WITH},{_MAJ},{NB_CTE},
+acc AS (SELECT sector, fold, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS accuracy
+        FROM nbp GROUP BY 1, 2)
+SELECT sector, {r4("avg(accuracy)")} AS mean_accuracy,
+       {r4("avg(baseline_accuracy)")} AS mean_baseline_accuracy,
+       {r4("avg(accuracy) - avg(baseline_accuracy)")} AS mean_edge,
+       CAST(count_if(accuracy > baseline_accuracy) AS BIGINT) AS folds_beating_baseline,
+       count(*) AS folds
+FROM acc JOIN base USING (sector, fold) GROUP BY sector
+"""
+
+NB_REPORT = f"""
+{FOLD_WITH},{NB_CTE},
+pc AS (SELECT sector, fold, c AS cls,
+              count_if(label = c AND prediction = c) AS tp, count_if(prediction = c) AS pp,
+              count_if(label = c) AS support
+       FROM nbp, (SELECT unnest([0, 1]) AS c) GROUP BY 1, 2, 3),
+pr AS (SELECT sector, fold, CAST(cls AS VARCHAR) AS class,
+              CASE WHEN pp = 0 THEN 0.0 ELSE tp / pp END AS precision,
+              CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall, support FROM pc),
+pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0
+                      ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pr),
+allr AS (
+  SELECT sector, fold, class, precision, recall, f1, support FROM pf
+  UNION ALL
+  SELECT sector, fold, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support)
+  FROM pf GROUP BY 1, 2
+  UNION ALL
+  SELECT sector, fold, 'weighted avg', sum(precision * support) / sum(support),
+         sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support)
+  FROM pf GROUP BY 1, 2)
+SELECT sector, fold, class, {r4("precision")} AS precision, {r4("recall")} AS recall,
+       {r4("f1")} AS f1, CAST(support AS BIGINT) AS support FROM allr
+"""
+
+NB_CONFUSION = f"""
+{FOLD_WITH},{NB_CTE}
+SELECT sector, fold, label AS true_class, CAST(count_if(prediction = 0) AS BIGINT) AS pred_0,
+       CAST(count_if(prediction = 1) AS BIGINT) AS pred_1
+FROM nbp GROUP BY 1, 2, 3
+"""
