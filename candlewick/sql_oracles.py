@@ -564,3 +564,44 @@ SELECT sector, fold, label AS true_class, CAST(count_if(prediction = 0) AS BIGIN
        CAST(count_if(prediction = 1) AS BIGINT) AS pred_1
 FROM nbp GROUP BY 1, 2, 3
 """
+
+
+MONTHLY_ROLLUP = f"""
+WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE}, {MACRO_CTE},
+mmac AS (
+  SELECT CAST(mo.m AS DATE) AS month,
+         lag(order_count_monthly) OVER (ORDER BY mo.m) AS order_count_monthly,
+         lag(avg_order_value_monthly) OVER (ORDER BY mo.m) AS avg_order_value_monthly,
+         lag(order_value_monthly) OVER (ORDER BY mo.m) AS order_value_monthly,
+         order_count_quarterly, order_value_quarterly
+  FROM mo LEFT JOIN qo ON CAST(mo.m AS DATE) = qo.m),
+sl AS (
+  SELECT date, sector, weighted_sector_returns, n_stocks_contributing, sector_index,
+         lag(sector_volume) OVER (PARTITION BY sector ORDER BY date) AS sector_volume
+  FROM sd),
+slm AS (
+  SELECT sector, CAST(date_trunc('month', date) AS DATE) AS month,
+         arg_max(weighted_sector_returns, date) AS weighted_sector_returns,
+         arg_max(n_stocks_contributing, date) AS n_stocks_contributing,
+         arg_max(sector_index, date) AS sector_index,
+         arg_max(sector_volume, date) AS sector_volume
+  FROM sl WHERE {not_nan("sector_volume", "sector_index", "weighted_sector_returns")}
+  GROUP BY 1, 2),
+j AS (
+  SELECT s.*, m.order_count_monthly, m.avg_order_value_monthly, m.order_value_monthly,
+         m.order_count_quarterly, m.order_value_quarterly
+  FROM slm s JOIN mmac m USING (month)
+  WHERE {not_nan("order_count_monthly", "avg_order_value_monthly", "order_value_monthly",
+                 "order_count_quarterly", "order_value_quarterly")})
+SELECT sector, month, {_r("weighted_sector_returns", "weighted_sector_returns")},
+       {_r("n_stocks_contributing", "n_stocks_contributing")},
+       {_s("sector_index", "sector_index")}, {_r("sector_volume", "sector_volume")},
+       {_r("order_count_monthly", "order_count_monthly")},
+       {_r("avg_order_value_monthly", "avg_order_value_monthly")},
+       {_r("order_value_monthly", "order_value_monthly")},
+       {_r("order_count_quarterly", "order_count_quarterly")},
+       {_r("order_value_quarterly", "order_value_quarterly")},
+       {_s("(sector_index / lag(sector_index) OVER (PARTITION BY sector ORDER BY month) - 1) * 100",
+           "new_monthly_returns")}
+FROM j
+"""
