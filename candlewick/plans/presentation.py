@@ -20,7 +20,7 @@ def round_half_away(c, places: int = 4):
 def round_significant(c, digits: int = 7):
     """Round to ``digits`` significant digits through ``%e`` formatting (any magnitude,
     inf and NaN included) -- used for compounded quantities such as an index."""
-    return F.format_string(f"%.{digits - 1}e", c).cast("double")
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
 def rounded(df: DataFrame, places: int = 4, significant: tuple[str, ...] = (),
