@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from candlewick.functions.columns import col
 
@@ -103,6 +103,8 @@ def ridge(scaled: DataFrame, features: Sequence[str], key: Sequence[str], y: str
 # ------------------------------------------------------------------------- Spark ML fits
 def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
+    if "features" in df.columns:
+        return df
     return VectorAssembler(inputCols=list(features), outputCol="features",
                            handleInvalid="error").transform(df)
 
@@ -202,50 +204,86 @@ def adaboost_stumps(train: DataFrame, test: DataFrame, features: Sequence[str],
     return te.withColumn("prediction", (F.col("__score") > 0).cast("double")).drop("__score")
 
 
-def fit_predict_folds(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
-                      make: Callable[[int, float], object], task: str = "classification"
-                      ) -> tuple[DataFrame, DataFrame]:
-    """M15 + M24 + M26: fit one estimator per (key, fold) on the train rows and predict
-    train and test rows. Returns (predictions, feature_importances_long).
+def _group_filter(g: Sequence[str], gv: tuple) -> F.Column:
+    cond = F.lit(True)
+    for c, v in zip(g, gv):
+        cond = cond & (F.col(c) == F.lit(v))
+    return cond
 
-    The (key, fold) list is small (sectors x folds) and drives the loop; each fit is a
-    distributed Spark ML job. Fold tables are checkpointed once before the loop.
+
+def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
+                 names: Sequence[str], task: str = "classification",
+                 max_parallel: int = 32) -> tuple[DataFrame, DataFrame]:
+    """M15 + M16-M18 + M24 + M26: fit every (model, key, fold) on the fold's train rows and
+    score train and test rows right away.
+
+    Each fit is a distributed Spark ML job over one fold's rows; the small, independent
+    fits are submitted concurrently from a thread pool. Only metric rows (a handful per
+    fit) and importances (one per feature) come back to the driver, so no plan of
+    unioned predictions is ever built. The fold table is checkpointed once (reliable
+    checkpoint into the shared checkpoint folder) so every fit starts from it.
+
+    Returns (scores, importances): scores has (model, key..., fold, role, n, metric
+    columns); importances has (model, key..., fold, feature, importance).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from candlewick.session import cut_lineage
     g = [*key, "fold"]
-    data = cut_lineage(_assembled(scaled, features))
-    groups = [tuple(r[c] for c in g) for r in data.select(*g).distinct().orderBy(*g).collect()]
-    preds, imps = [], []
+    data = cut_lineage(_assembled(scaled, features).select(*g, "role", "features", "label"))
+    data = data.persist()          # re-read by every fit; the checkpoint stays the fallback
     spark = scaled.sparkSession
-    for gv in groups:
-        cond = F.lit(True)
-        for c, v in zip(g, gv):
-            cond = cond & (F.col(c) == F.lit(v))
-        part = data.filter(cond)
-        tr = part.filter(F.col("role") == "train")
-        stats = tr.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
-        est = make(int(stats["n"]), float(stats["sd"] or 1.0))
-        if est == "adaboost":
-            out = adaboost_stumps(tr, part.filter(F.col("role") == "test"), features)
-            preds.append(out.select(*scaled.columns, F.col("prediction").cast("double")))
-            continue
-        model = est.fit(tr)
-        preds.append(model.transform(part).select(*scaled.columns,
-                                                  F.col("prediction").cast("double")))
+    sizes = {tuple(r[c] for c in g): (int(r["n"]), float(r["sd"] or 1.0)) for r in
+             data.filter(F.col("role") == "train").groupBy(*g)
+                 .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).collect()}
+    groups = sorted(sizes)
+    y, p = F.col("label"), F.col("prediction")
+    if task == "classification":
+        agg = [F.count(F.lit(1)).alias("n"), F.avg((y == p).cast("double")).alias("accuracy")]
+    else:
+        agg = [F.count(F.lit(1)).alias("n"),
+               F.sqrt(F.avg(F.pow(y - p, 2))).alias("rmse"),
+               (F.lit(1.0) - F.sum(F.pow(y - p, 2))
+                / F.sum(F.pow(y - F.avg(y).over(Window.partitionBy("role")), 2))).alias("r2")]
+
+    def fit_one(job):
+        name, gv = job
+        part = data.filter(_group_filter(g, gv))
+        n, sd = sizes[gv]
+        est = regressor(name, n, sd) if task == "regression" else classifier(name, n)
+        model = est.fit(part.filter(F.col("role") == "train"))
+        pred = model.transform(part)
+        if task == "regression":
+            pred = pred.withColumn("__dev", F.pow(y - F.avg(y).over(Window.partitionBy("role")), 2))
+            rows = (pred.groupBy("role").agg(
+                F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.pow(y - p, 2))).alias("rmse"),
+                F.sum(F.pow(y - p, 2)).alias("__res"), F.sum("__dev").alias("__tot")).collect())
+            out = [(name, *gv, r["role"], int(r["n"]), float(r["rmse"]),
+                    (1.0 if r["__res"] == 0 else 0.0) if r["__tot"] == 0
+                    else 1.0 - r["__res"] / r["__tot"]) for r in rows]
+        else:
+            rows = pred.groupBy("role").agg(*agg).collect()
+            out = [(name, *gv, r["role"], int(r["n"]), float(r["accuracy"])) for r in rows]
         fi = getattr(model, "featureImportances", None)
-        if fi is not None:
-            vals = [float(v) for v in fi.toArray()]
-            imps.append(spark.createDataFrame(
-                [(*gv, f, v) for f, v in zip(features, vals)],
-                StructType([*[scaled.schema[c] for c in g], StructField("feature", StringType()),
-                            StructField("importance", DoubleType())])))
-    pred = preds[0]
-    for p in preds[1:]:
-        pred = pred.unionByName(p)
-    imp = None
-    if imps:
-        imp = imps[0]
-        for p in imps[1:]:
-            imp = imp.unionByName(p)
-    return pred, imp
+        imp = [] if fi is None else [(name, *gv, f, float(v))
+                                     for f, v in zip(features, fi.toArray())]
+        return out, imp
 
+    jobs = [(name, gv) for name in names for gv in groups]
+    try:
+        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+            results = list(pool.map(fit_one, jobs))
+    finally:
+        data.unpersist()
+    key_fields = [scaled.schema[c] for c in g]
+    metric_fields = ([StructField("accuracy", DoubleType())] if task == "classification" else
+                     [StructField("rmse", DoubleType()), StructField("r2", DoubleType())])
+    score_schema = StructType([StructField("model", StringType()), *key_fields,
+                               StructField("role", StringType()),
+                               StructField("n", LongType()), *metric_fields])
+    imp_schema = StructType([StructField("model", StringType()), *key_fields,
+                             StructField("feature", StringType()),
+                             StructField("importance", DoubleType())])
+    scores = spark.createDataFrame([r for out, _ in results for r in out], score_schema)
+    imps = spark.createDataFrame([r for _, imp in results for r in imp], imp_schema)
+    return scores, imps

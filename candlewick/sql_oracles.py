@@ -605,3 +605,65 @@ SELECT sector, month, {_r("weighted_sector_returns", "weighted_sector_returns")}
            "new_monthly_returns")}
 FROM j
 """
+
+
+EVENT_PROPS = """
+WITH p AS (
+  SELECT event_type, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT event_type, count(*) AS events, count(k) AS parsed, count(*) - count(k) AS rejected,
+       CAST(sum(k) AS BIGINT) AS k_sum
+FROM p GROUP BY event_type
+"""
+
+EVENT_GATE = """
+WITH s AS (
+  SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS trade_date
+  FROM events GROUP BY 1, 2)
+SELECT symbol, count(*) AS n_bars, count(*) > 400 AS passes_gate FROM s GROUP BY symbol
+"""
+
+BAR_QUALITY = f"""
+WITH {BARS_CTE}
+SELECT c AS "column", non_null, missing, infinite FROM (
+  SELECT 'open_price' AS c, count(open_price) AS non_null,
+         CAST(count(*) - count(open_price) + count_if(isnan(open_price)) AS BIGINT) AS missing,
+         CAST(count_if(isinf(open_price)) AS BIGINT) AS infinite FROM bars
+  UNION ALL
+  SELECT 'close_price', count(close_price),
+         CAST(count(*) - count(close_price) + count_if(isnan(close_price)) AS BIGINT),
+         CAST(count_if(isinf(close_price)) AS BIGINT) FROM bars
+  UNION ALL
+  SELECT 'volume', count(volume),
+         CAST(count(*) - count(volume) + count_if(isnan(volume)) AS BIGINT),
+         CAST(count_if(isinf(volume)) AS BIGINT) FROM bars)
+"""
+
+MONTH_SPINE = """
+WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi
+           FROM orders),
+sp AS (SELECT CAST(last_day(CAST(m AS DATE)) AS DATE) AS date
+       FROM b, (SELECT unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH)) AS m
+                FROM b) g),
+spine AS (SELECT date FROM sp, b WHERE date >= lo AND date <= hi),
+mo AS (SELECT CAST(last_day(CAST(o_orderdate AS DATE)) AS DATE) AS date, count(*) AS orders
+       FROM orders GROUP BY 1)
+SELECT spine.date, strftime(spine.date, '%Y-%m-%d') AS date_text, coalesce(mo.orders, 0) AS orders
+FROM spine LEFT JOIN mo USING (date)
+"""
+
+SYMBOL_BATCHES = f"""
+WITH {BARS_CTE},
+s AS (SELECT DISTINCT symbol FROM bars),
+b AS (SELECT symbol, CAST((row_number() OVER (ORDER BY symbol) - 1) // 10 AS INTEGER) AS batch FROM s)
+SELECT batch, count(*) AS symbols, min(symbol) AS first_symbol, max(symbol) AS last_symbol
+FROM b GROUP BY batch
+"""
+
+SECTOR_MARKET_CAP = f"""
+WITH {BARS_CTE}, {MEMBERS_CTE},
+lastc AS (SELECT symbol, arg_max(close_price, trade_date) AS last_close FROM bars GROUP BY 1)
+SELECT m.sector, count(*) AS members, count(l.last_close) AS priced,
+       CAST(count(*) - count(l.symbol) AS BIGINT) AS missing_info,
+       {r4("sum(m.shares * l.last_close)")} AS sector_market_cap
+FROM mem m LEFT JOIN lastc l USING (symbol) GROUP BY m.sector
+"""
