@@ -14,7 +14,7 @@ def parse_date(c: Column | str, fmt: str | None = "yyyy-MM-dd") -> Column:
     c = _c(c)
     if fmt is None:
         return F.try_to_date(c.cast("string"))
-    return F.try_to_date(c.cast("string"), F.lit(fmt))
+    return F.try_to_date(c.cast("string"), fmt)
 
 
 def format_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:

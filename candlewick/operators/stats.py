@@ -69,7 +69,9 @@ def corr_screen(df: DataFrame, cols: Sequence[str], threshold: float = 0.85,
     """A13 ``correlation(dataset, threshold)`` pairs: lower triangle (j < i), strict
     ``abs(r) > threshold``; the flagged column of each pair is ``col_i`` (the later one)."""
     m = corr_long(df, cols, group)
-    return m.filter((F.col("j") < F.col("i")) & (F.abs(F.col("corr")) > threshold))
+    # NaN (constant column) never passes: in pandas NaN > t is False, in Spark it is True
+    return m.filter((F.col("j") < F.col("i")) & ~F.isnan("corr")
+                    & (F.abs(F.col("corr")) > threshold))
 
 
 def flagged_columns(pairs: DataFrame, group: Sequence[str] = ()) -> DataFrame:

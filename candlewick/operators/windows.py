@@ -61,6 +61,10 @@ def forward_fill(df: DataFrame, cols: Iterable[str], w: WindowSpec,
     return df.withColumns({c + suffix: F.last(_q(c), ignorenulls=True).over(f) for c in cols})
 
 
+def nan_to_null(c: Column) -> Column:
+    return F.when(~F.isnan(c), c)
+
+
 def pct_change(df: DataFrame, col: str, out: str, w: WindowSpec, scale: float = 1.0,
                fill: str | None = "pad", periods: int = 1) -> DataFrame:
     """W1/W2/W3 ``pct_change(periods) * scale`` with pandas zero semantics.
@@ -69,9 +73,9 @@ def pct_change(df: DataFrame, col: str, out: str, w: WindowSpec, scale: float =
     yields a 0 return instead of breaking the chain; ``fill=None`` leaves them null.
     """
     src = col
-    if fill == "pad":
+    if fill == "pad":                       # pandas ffill: NaN is missing as well
         src = f"__{out}_filled"
-        df = df.withColumn(src, F.last(_q(col), ignorenulls=True).over(
+        df = df.withColumn(src, F.last(nan_to_null(_q(col)), ignorenulls=True).over(
             w.rowsBetween(UNBOUNDED, 0)))
     prev = F.lag(_q(src), periods).over(w)
     ret = safe_div(_q(src), prev) - F.lit(1.0)

@@ -386,7 +386,7 @@ def _corr_matrix_sql(frame: str, cols: list[str], extra_ctes: str = "") -> str:
 CORR_MATRIX = _corr_matrix_sql("tf", TRAIN_FEATURES)
 
 CORR_SCREEN = f"""
-SELECT * FROM ({CORR_MATRIX}) m WHERE j < i AND abs(corr) > 0.85
+SELECT * FROM ({CORR_MATRIX}) m WHERE j < i AND NOT isnan(corr) AND abs(corr) > 0.85
 """
 
 CORR_TARGET = f"""
@@ -409,7 +409,7 @@ st AS (SELECT * FROM st0 WHERE {not_nan(*[_q(c) for c in COLLINEAR])}
 
 STATIONARY_SCREEN = f"""
 SELECT * FROM ({_corr_matrix_sql("st", TRAIN_FEATURES, STATIONARY_CTE)}) m
-WHERE j < i AND abs(corr) > 0.85
+WHERE j < i AND NOT isnan(corr) AND abs(corr) > 0.85
 """
 
 DESCRIBE = f"""
