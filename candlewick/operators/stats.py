@@ -16,52 +16,86 @@ from candlewick.functions.columns import col
 NAN = float("nan")
 
 
-def _pair_corr(x: Column, y: Column) -> Column:
-    """Pearson r over pairwise-complete rows; NaN for a constant column (pandas)."""
-    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
-    xs, ys = F.when(both, x), F.when(both, y)
-    den = F.stddev_pop(xs) * F.stddev_pop(ys)
-    return F.when(den == 0, F.lit(NAN)).otherwise(F.covar_pop(xs, ys) / den)
+def _ok(c: Column) -> Column:
+    return c.isNotNull() & ~F.isnan(c)
+
+
+def pair_moments(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]],
+                 group: Sequence[str] = ()) -> DataFrame:
+    """Pairwise-complete centred co-moments: (group..., i, j, n, sx, sy, sxy, sxx, syy).
+
+    Two passes: per-group column means (k aggregates, one small row per group), then every
+    row is expanded into its column pairs and summed per (group, i, j). The expansion is
+    pipelined with the partial aggregation in one stage, so only one partial row per
+    (group, pair) and task reaches the shuffle; sums stay narrow and code-generated.
+    Deviations from the group mean keep the sums well conditioned.
+    """
+    cols = list(cols)
+    used = sorted({i for p in pairs for i in p})
+    means = df.groupBy(*group).agg(*[F.avg(F.when(_ok(col(cols[i])), col(cols[i])))
+                                     .alias(f"__a{i}") for i in used])
+    x = df.join(means, list(group)) if group else df.crossJoin(means)   # one row per group
+    dev = {i: col(cols[i]) - F.col(f"__a{i}") for i in used}
+    items = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                               F.when(_ok(col(cols[i])) & _ok(col(cols[j])), dev[i]).alias("dx"),
+                               F.when(_ok(col(cols[i])) & _ok(col(cols[j])), dev[j]).alias("dy"))
+                      for i, j in pairs])
+    e = x.select(*group, F.explode(items).alias("p")).select(*group, "p.*").where(
+        F.col("dx").isNotNull())
+    return e.groupBy(*group, "i", "j").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("dx").alias("sx"), F.sum("dy").alias("sy"),
+        F.sum(F.col("dx") * F.col("dy")).alias("sxy"),
+        F.sum(F.col("dx") * F.col("dx")).alias("sxx"),
+        F.sum(F.col("dy") * F.col("dy")).alias("syy"))
+
+
+def _pearson(_unused=None) -> Column:
+    n = F.col("n")
+    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    cxx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    cyy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    den = F.sqrt(cxx * cyy)
+    # pandas: NaN when a column is constant (zero divisor) or there are < 2 rows
+    return F.when((den == 0) | (n < 2), F.lit(NAN)).otherwise(
+        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cxy / den)))
 
 
 def corr_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """A11 ``df.corr()`` as a long table (group..., i, col_i, j, col_j, corr).
 
-    Only the upper triangle is aggregated (k(k-1)/2 expressions in one pass); the
-    symmetric half and the unit diagonal are filled in without another scan.
+    Pearson over pairwise-complete rows (null and NaN are missing); NaN for a constant
+    column, including its diagonal entry, as pandas. One upper-triangle-plus-diagonal
+    aggregation; the lower triangle is its mirror.
     """
     cols = list(cols)
-    exprs, names = [], []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            names.append((i, j))
-            exprs.append(_pair_corr(col(cols[i]), col(cols[j])).alias(f"c_{i}_{j}"))
-    agg = df.groupBy(*group).agg(*exprs) if group else df.agg(*exprs)
-    entries = []
-    for (i, j) in names:
-        v = F.col(f"c_{i}_{j}")
-        entries += [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), v.alias("corr")),
-                    F.struct(F.lit(j).alias("i"), F.lit(i).alias("j"), v.alias("corr"))]
-    for i in range(len(cols)):
-        entries.append(F.struct(F.lit(i).alias("i"), F.lit(i).alias("j"),
-                                F.lit(1.0).alias("corr")))
-    long = agg.select(*group, F.explode(F.array(*entries)).alias("e")).select(
-        *group, "e.i", "e.j", "e.corr")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    m = pair_moments(df, cols, pairs, group).withColumn("corr", _pearson(None))
+    m = m.withColumn("corr", F.when(F.col("i") == F.col("j"),
+                                    F.when(F.col("corr").isNull() | F.isnan("corr"), F.lit(NAN))
+                                    .otherwise(F.lit(1.0))).otherwise(F.col("corr")))
+    mirror = m.where(F.col("i") != F.col("j")).select(
+        *group, F.col("j").alias("i"), F.col("i").alias("j"), "corr")
+    long = m.select(*group, "i", "j", "corr").unionByName(mirror)
     names_arr = F.array(*[F.lit(c) for c in cols])
-    return long.select(*group, "i", F.element_at(names_arr, F.col("i") + 1).alias("col_i"),
-                       "j", F.element_at(names_arr, F.col("j") + 1).alias("col_j"), "corr")
+    return long.select(*group, F.col("i").cast("int").alias("i"),
+                       F.element_at(names_arr, F.col("i") + 1).alias("col_i"),
+                       F.col("j").cast("int").alias("j"),
+                       F.element_at(names_arr, F.col("j") + 1).alias("col_j"), "corr")
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str,
                      group: Sequence[str] = ()) -> DataFrame:
-    """A12 ``corr_matrix[target]``: (group..., feature, corr) in one pass."""
+    """A12 ``corr_matrix[target]``: (group..., feature, corr), one pass over k pairs."""
     cols = list(cols)
-    agg_exprs = [(_pair_corr(col(c), col(target)) if c != target else F.lit(1.0)).alias(f"k{n}")
-                 for n, c in enumerate(cols)]
-    agg = df.groupBy(*group).agg(*agg_exprs) if group else df.agg(*agg_exprs)
-    st = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"k{n}").alias("corr"))
-                   for n, c in enumerate(cols)])
-    return agg.select(*group, F.explode(st).alias("e")).select(*group, "e.feature", "e.corr")
+    allc = cols + ([target] if target not in cols else [])
+    t = allc.index(target)
+    pairs = [(i, t) for i in range(len(cols))]
+    m = pair_moments(df, allc, pairs, group).withColumn("corr", _pearson(None))
+    m = m.withColumn("corr", F.when(F.col("i") == F.col("j"),
+                                    F.when(F.isnan("corr"), F.lit(NAN)).otherwise(F.lit(1.0)))
+                     .otherwise(F.col("corr")))
+    names_arr = F.array(*[F.lit(c) for c in allc])
+    return m.select(*group, F.element_at(names_arr, F.col("i") + 1).alias("feature"), "corr")
 
 
 def corr_screen(df: DataFrame, cols: Sequence[str], threshold: float = 0.85,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from candlewick.functions.columns import col
-from candlewick.functions.nulls import drop_any_null, drop_inf_and_null
+from candlewick.functions.nulls import drop_any_null, drop_inf_and_null, safe_div
 from candlewick.operators import stats, windows as W
 from candlewick.operators.joins import broadcast_if_small
 
@@ -56,11 +56,14 @@ def stationary_transform(frame: DataFrame, collinear: Sequence[str], key: str =
     """C12 step 2: ``pct_change()`` of the collinear columns per key, inf treated as
     missing (P14), then dropna."""
     w = W.series_window(key, date)
-    out = frame
-    for c in collinear:
-        out = W.pct_change(out, c, c + "__pct", w, scale=1.0)
-        out = out.drop(c).withColumnRenamed(c + "__pct", c)
-    return drop_inf_and_null(out.select(*frame.columns), collinear)
+    up_to_now = w.rowsBetween(Window.unboundedPreceding, 0)
+    # pad-filled levels in one projection, then all changes in a second one
+    filled = frame.withColumns({f"__f{i}": F.last(W.nan_to_null(col(c)), ignorenulls=True)
+                                .over(up_to_now) for i, c in enumerate(collinear)})
+    changes = {c: safe_div(F.col(f"__f{i}"), F.lag(f"__f{i}", 1).over(w)) - F.lit(1.0)
+               for i, c in enumerate(collinear)}
+    out = filled.withColumns(changes).select(*frame.columns)
+    return drop_inf_and_null(out, collinear)
 
 
 def feature_columns(frame: DataFrame, exclude: Sequence[str] = ("sector", "date")) -> list[str]:

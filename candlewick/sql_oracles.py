@@ -373,10 +373,12 @@ FROM tf
 def _corr_matrix_sql(frame: str, cols: list[str], extra_ctes: str = "") -> str:
     aggs = ", ".join(f"corr({_q(cols[i])}, {_q(cols[j])}) AS c_{i}_{j}"
                      for i in range(len(cols)) for j in range(i + 1, len(cols)))
+    aggs += ", " + ", ".join(f"var_pop({_q(c)}) AS v_{i}" for i, c in enumerate(cols))
     parts = []
     for i in range(len(cols)):
         for j in range(len(cols)):
-            v = "1.0" if i == j else f"c_{min(i, j)}_{max(i, j)}"
+            v = (f"CASE WHEN v_{i} > 0 THEN 1.0 ELSE 'NaN'::DOUBLE END" if i == j
+                 else f"c_{min(i, j)}_{max(i, j)}")
             parts.append(f"SELECT sector, {i} AS i, '{cols[i]}' AS col_i, {j} AS j, "
                          f"'{cols[j]}' AS col_j, {r4(v)} AS corr FROM agg")
     return (f"{TRAIN_WITH}{extra_ctes},\nagg AS (SELECT sector, {aggs} FROM {frame} "
