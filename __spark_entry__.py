@@ -101,6 +101,13 @@ def q_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
                    significant=INDEX_COLUMNS)
 
 
+def q_daily_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C11: every sector with the daily reserve series only, both lagged one day."""
+    out = training.daily_training_frame(_sector_daily(spark, sf_dir),
+                                        S.daily_reserve(spark, sf_dir))
+    return rounded(out, significant=INDEX_COLUMNS)
+
+
 def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pearson matrix per sector (long form)."""
     return rounded(stats.corr_long(_training(spark, sf_dir), TRAIN_FEATURES, ["sector"]))
@@ -356,6 +363,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "macro_aligned": q_macro_aligned,
         "macro_lags": q_macro_lags,
         "training_frame": q_training_frame,
+        "daily_training_frame": q_daily_training_frame,
         "corr_matrix": q_corr_matrix,
         "corr_target": q_corr_target,
         "corr_screen": q_corr_screen,
@@ -393,6 +401,7 @@ def oracle_sql() -> dict[str, str]:
         "macro_aligned": O.MACRO_ALIGNED,
         "macro_lags": O.MACRO_LAGS,
         "training_frame": O.TRAINING_FRAME,
+        "daily_training_frame": O.DAILY_TRAINING_FRAME,
         "corr_matrix": O.CORR_MATRIX,
         "corr_target": O.CORR_TARGET,
         "corr_screen": O.CORR_SCREEN,

@@ -669,3 +669,25 @@ SELECT m.sector, count(*) AS members, count(l.last_close) AS priced,
        {r4("sum(m.shares * l.last_close)")} AS sector_market_cap
 FROM mem m LEFT JOIN lastc l USING (symbol) GROUP BY m.sector
 """
+
+
+DAILY_TRAINING_FRAME = f"""
+WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE},
+res AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS g,
+         sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) AS l
+  FROM orders GROUP BY 1),
+rl AS (SELECT date, lag(g) OVER (ORDER BY date) AS g1, lag(l) OVER (ORDER BY date) AS l1 FROM res),
+sl AS (
+  SELECT date, sector, weighted_sector_returns, n_stocks_contributing, sector_index,
+         lag(sector_volume) OVER (PARTITION BY sector ORDER BY date) AS sector_volume
+  FROM sd),
+j AS (SELECT sl.*, rl.g1, rl.l1 FROM sl JOIN rl USING (date)
+      WHERE {not_nan("sector_volume", "sector_index", "weighted_sector_returns", "g1", "l1")})
+SELECT date, sector, {_r("weighted_sector_returns", "weighted_sector_returns")},
+       {_r("n_stocks_contributing", "n_stocks_contributing")},
+       {_s("sector_index", "sector_index")}, {_r("sector_volume", "sector_volume")},
+       {_r("g1", '"foreign_reserve_gross(USD)_daily"')},
+       {_r("l1", '"foreign_reserve_liquid(USD)_daily"')}
+FROM j
+"""
