@@ -213,7 +213,7 @@ def _group_filter(g: Sequence[str], gv: tuple) -> F.Column:
 
 def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
                  names: Sequence[str], task: str = "classification",
-                 max_parallel: int = 32) -> tuple[DataFrame, DataFrame]:
+                 max_parallel: int = 8) -> tuple[DataFrame, DataFrame]:
     """M15 + M16-M18 + M24 + M26: fit every (model, key, fold) on the fold's train rows and
     score train and test rows right away.
 

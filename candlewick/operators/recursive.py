@@ -23,8 +23,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
 
 def rsi(close: pd.Series, length: int = 14) -> pd.Series:
@@ -72,8 +72,12 @@ def add_momentum(df: DataFrame, key: str | Sequence[str], order: str, price: str
     """
     keys = [key] if isinstance(key, str) else list(key)
     new = [rsi_name] + (list(macd_names) if macd_names else [])
-    schema = StructType(list(df.schema.fields) + [StructField(c, DoubleType()) for c in new])
-    cols = df.columns
+    # Dates cross the Arrow boundary as day numbers (int32): cheap to convert and to sort,
+    # unlike Python date objects; they are turned back into dates right after the fold.
+    date_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, DateType)]
+    src = df.withColumns({c: F.unix_date(F.col(c)) for c in date_cols}) if date_cols else df
+    schema = StructType(list(src.schema.fields) + [StructField(c, DoubleType()) for c in new])
+    cols = src.columns
     rlen = int(rsi_length or 14)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -85,4 +89,7 @@ def add_momentum(df: DataFrame, key: str | Sequence[str], order: str, price: str
             pdf[macd_names[0]], pdf[macd_names[1]], pdf[macd_names[2]] = line, hist, sig
         return pdf[cols + new]
 
-    return df.groupBy(*keys).applyInPandas(fold, schema)
+    out = src.groupBy(*keys).applyInPandas(fold, schema)
+    if date_cols:
+        out = out.withColumns({c: F.date_from_unix_date(F.col(c)) for c in date_cols})
+    return out
