@@ -276,11 +276,17 @@ def q_regressor_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M11 + M24 + A15 + T2: random-forest importances per fold -> mean / std per feature."""
+    """M11 + M24 + A15 + T2 + T5: random-forest importances per fold (wide, one column per
+    fold) with their mean and std per feature, most important first."""
     _, imp = _sweep(spark, sf_dir, ("forest",), "classification")
+    # T5: one column per fold (the fold list is fixed, so the pivot needs no extra pass)
+    wide = (imp.groupBy(*KEY, "feature").pivot("fold", list(range(5)))
+               .agg(F.first("importance")))
+    wide = wide.withColumnsRenamed({str(k): f"fold_{k}" for k in range(5)})
     st = imp.groupBy(*KEY, "feature").agg(F.avg("importance").alias("mean_importance"),
                                           F.stddev_samp("importance").alias("std_importance"))
-    return rounded(st.orderBy(*KEY, F.desc("mean_importance"), "feature"))
+    return rounded(wide.join(st, [*KEY, "feature"])
+                   .orderBy(*KEY, F.desc("mean_importance"), "feature"))
 
 
 def q_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
