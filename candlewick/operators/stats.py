@@ -73,9 +73,11 @@ def corr_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) ->
     m = m.withColumn("corr", F.when(F.col("i") == F.col("j"),
                                     F.when(F.col("corr").isNull() | F.isnan("corr"), F.lit(NAN))
                                     .otherwise(F.lit(1.0))).otherwise(F.col("corr")))
-    mirror = m.where(F.col("i") != F.col("j")).select(
-        *group, F.col("j").alias("i"), F.col("i").alias("j"), "corr")
-    long = m.select(*group, "i", "j", "corr").unionByName(mirror)
+    # mirror the upper triangle in the same pass (no second branch over the aggregate)
+    upper = F.struct(F.col("i").alias("i"), F.col("j").alias("j"), F.col("corr").alias("corr"))
+    lower = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("corr").alias("corr"))
+    both = F.when(F.col("i") == F.col("j"), F.array(upper)).otherwise(F.array(upper, lower))
+    long = m.select(*group, F.explode(both).alias("e")).select(*group, "e.i", "e.j", "e.corr")
     names_arr = F.array(*[F.lit(c) for c in cols])
     return long.select(*group, F.col("i").cast("int").alias("i"),
                        F.element_at(names_arr, F.col("i") + 1).alias("col_i"),
