@@ -173,8 +173,8 @@ def adaboost_stumps(train: DataFrame, test: DataFrame, features: Sequence[str],
     """
     from pyspark.ml.classification import DecisionTreeClassifier
     from candlewick.session import cut_lineage
-    tr = _assembled(train, features).withColumn("__w", F.lit(1.0) / F.count(F.lit(1)).over(
-        Window.partitionBy()))
+    n = train.count()                       # scalar action; no single-task window
+    tr = _assembled(train, features).withColumn("__w", F.lit(1.0 / max(n, 1)))
     te = _assembled(test, features).withColumn("__score", F.lit(0.0))
     for m in range(n_estimators):
         stump = DecisionTreeClassifier(maxDepth=1, labelCol="label", weightCol="__w",

@@ -124,7 +124,10 @@ def month_end_spine_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -
 
 
 def symbol_batches(symbols: DataFrame, batch_size: int, col: str = "symbol") -> DataFrame:
-    """Deterministic, gap-free batches of the symbol list (no skipped positions)."""
+    """Deterministic, gap-free batches of the symbol list (no skipped positions).
+
+    The position comes from one global ordering of the distinct symbols: a dimension-sized
+    list (one row per listed symbol), not a fact table."""
     from pyspark.sql import Window
     w = Window.orderBy(col)
     return symbols.select(col).distinct().withColumn(

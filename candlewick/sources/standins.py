@@ -29,11 +29,22 @@ def symbol_of(suppkey) -> F.Column:
     return F.concat(F.lit("T"), F.lpad(suppkey.cast("string"), 5, "0"))
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV bars, one row per (symbol, trade_date)."""
+def bars(spark: SparkSession, sf_dir: str, start: str | None = None,
+         end: str | None = None) -> DataFrame:
+    """Daily OHLCV bars, one row per (symbol, trade_date).
+
+    ``start`` / ``end`` (S7, the fetch's from/to) bound the ship day; they are written on
+    the raw timestamp column so Parquet receives them as pushed filters (row groups
+    outside the range are skipped).
+    """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_shipdate")
+    if start is not None:
+        li = li.filter(F.col("l_shipdate") >= F.to_timestamp_ntz(F.lit(start)))
+    if end is not None:
+        li = li.filter(F.col("l_shipdate") < F.date_add(F.to_date(F.lit(end)), 1)
+                       .cast("timestamp_ntz"))
     px = null_div(F.col("l_extendedprice"), F.col("l_quantity"))
     return (li.groupBy(symbol_of(F.col("l_suppkey")).alias("symbol"),
                        F.col("l_shipdate").cast("date").alias("trade_date"))

@@ -39,3 +39,15 @@ def test_ticker_plan_has_one_symbol_exchange(spark):
     text = plan.toString()
     # one exchange for the (symbol, day) bar aggregation, one for the per-symbol windows
     assert text.count("Exchange hashpartitioning") == 2, text
+
+
+def test_date_range_reaches_the_parquet_scan(spark):
+    from candlewick.sources import standins as S
+    b = S.bars(spark, SF01, start="1997-01-01", end="1997-12-31")
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan, plan
+    assert "LessThan(l_shipdate" in plan
+    # column pruning: only the six used columns are read
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int," in plan
+    days = b.selectExpr("min(trade_date) lo", "max(trade_date) hi").first()
+    assert days.lo.isoformat() >= "1997-01-01" and days.hi.isoformat() <= "1997-12-31"
