@@ -3,8 +3,8 @@
 gate (P9) -> drop high/low (P1) -> returns (W1) -> lags (W4) -> price MAs (W6) ->
 volatility (W8) -> volume MA (W10) -> RSI + MACD (W12, W14) -> dropna (P10).
 
-Physical shape: one ``Exchange hashpartitioning(symbol)``; the gate count, the grouped
-fold and all windows run on that same partitioning (the fold sees only the bar columns).
+Physical shape: one ``Exchange hashpartitioning(symbol)``, one ``Sort(symbol, date)``;
+the gate count, all windows and the grouped fold run on that same partitioning.
 """
 
 from __future__ import annotations
@@ -46,10 +46,6 @@ def ticker_features(bars: DataFrame, key: str = "symbol", order: str = "trade_da
     df = bars.drop(*[c for c in drop_items if c in bars.columns])
     if min_rows is not None:
         df = gate_min_history(df, key, order, min_rows)
-    # The grouped fold runs first, on the narrow bar columns (less Arrow traffic); its
-    # output keeps hashpartitioning(key), so the windows below add a sort but no shuffle.
-    df = recursive.add_momentum(df, key, order, price, rsi_name="stock_RSI",
-                                rsi_length=rsi_length)
     w = W.series_window(key, order)
     df = W.pct_change(df, price, "returns_pct", w, scale=100.0)
     cols = {}
@@ -58,6 +54,10 @@ def ticker_features(bars: DataFrame, key: str = "symbol", order: str = "trade_da
     cols.update(W.volatilities("returns_pct", w, vol_items, name="returns_volatility_{n}"))
     cols.update(W.moving_averages(volume, w, volume_items, name="stock_volume_MA_{n}"))
     df = df.withColumns(cols)
+    # The grouped fold comes last: it reuses the windows' hashpartitioning(key). Placed
+    # before them, its new output attributes would make Spark shuffle the bars again.
+    df = recursive.add_momentum(df, key, order, price, rsi_name="stock_RSI",
+                                rsi_length=rsi_length)
     # column order of the reference's engineered files: carried, returns, lags, MAs,
     # volatility, RSI, MACD, volume MA
     carried = [c for c in bars.columns if c in df.columns]
