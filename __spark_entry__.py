@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick import sql_oracles as O
 from candlewick.operators.joins import broadcast_if_small
-from candlewick.functions.nulls import binary_label, inf_counts, null_counts
+from candlewick.functions.nulls import binary_label
 from candlewick.session import cut_lineage
 from candlewick.sources import files
 from candlewick.operators import folds, metrics, models, stats
@@ -309,17 +309,18 @@ def q_event_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bar_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P15 + P16 + P19: non-null, missing (null or NaN) and infinite counts per column."""
+    """P15 + P16 + P19: non-null, missing (null or NaN) and infinite counts per column,
+    all from one aggregation pass over the bars."""
     b = S.bars(spark, sf_dir).select("open_price", "close_price", "volume")
-    nn = b.agg(*[F.count(c).alias(c) for c in b.columns])
-    miss, inf = null_counts(b), inf_counts(b)
-    rows = None
-    for c in b.columns:
-        r = (nn.select(F.col(c).alias("non_null")).crossJoin(miss.select(F.col(c).alias("missing")))
-               .crossJoin(inf.select(F.col(c).alias("infinite")))
-               .select(F.lit(c).alias("column"), "non_null", "missing", "infinite"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+    aggs = []
+    for i, c in enumerate(b.columns):
+        x = F.col(c)
+        aggs += [F.count(x).alias(f"nn{i}"),
+                 F.count_if(x.isNull() | F.isnan(x)).alias(f"mi{i}"),
+                 F.count_if(F.abs(x) == float("inf")).alias(f"in{i}")]
+    one = b.agg(*aggs)
+    rows = ", ".join(f"'{c}', nn{i}, mi{i}, in{i}" for i, c in enumerate(b.columns))
+    return one.selectExpr(f"stack({len(b.columns)}, {rows}) as (column, non_null, missing, infinite)")
 
 
 def q_month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
