@@ -20,6 +20,15 @@ from candlewick.plans import macro, monthly, sector, ticker, training
 from candlewick.plans.presentation import rounded
 from candlewick.sources import standins as S
 
+try:                        # the document operators and their pipeline may be absent
+    from candlewick.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # compounded (index-level) columns are compared at 7 significant digits
 INDEX_COLUMNS = ("sector_index", "sector_index_MA_5", "sector_MACD", "sector_MACD_hist",
@@ -396,6 +405,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classifier_sweep": q_classifier_sweep,
         "regressor_sweep": q_regressor_sweep,
         "feature_importance": q_feature_importance,
+        **(llm.queries() if llm else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -430,4 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "month_spine": O.MONTH_SPINE,
         "symbol_batches": O.SYMBOL_BATCHES,
         "sector_market_cap": O.SECTOR_MARKET_CAP,
+        **(llm.oracle_sql() if llm else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL}
+           if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
     }
