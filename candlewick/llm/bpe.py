@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections import Counter
 from itertools import chain
 
@@ -62,7 +63,8 @@ class Vocabulary:
         for letter, b in letters.items():
             self.byte_id[b] = ids[letter]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.pairs = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.rank = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [ids[a + b] for a, b in pairs]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one piece: the pair of lowest rank, leftmost first, is merged until none is
@@ -70,37 +72,36 @@ class Vocabulary:
         ids = [self.byte_id[b] for b in word]
         if len(ids) > 40:
             return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best, at, new = None, 0, 0
-            for k, pair in enumerate(zip(ids, ids[1:])):
-                found = pairs.get(pair)
-                if found and (best is None or found[0] < best):
-                    (best, new), at = found, k
-            if best is None:
-                break
-            ids[at:at + 2] = [new]
+        none, rank = len(self.merged), self.rank.get
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
+            k = ranks.index(best)
+            ids[k:k + 2] = [self.merged[best]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((ids[k], ids[k + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         after = [*range(1, len(ids)), -1]
         before = [-1, *range(len(ids) - 1)]
-        heap = [(*found, k, pair) for k, pair in enumerate(zip(ids, ids[1:]))
-                if (found := self.pairs.get(pair))]
-        heap = [(rank, k, pair, new) for rank, new, k, pair in heap]
+        heap = [(self.rank[pair], k, pair) for k, pair in enumerate(zip(ids, ids[1:]))
+                if pair in self.rank]
         heapq.heapify(heap)
         while heap:
-            _, k, pair, new = heapq.heappop(heap)
+            best, k, pair = heapq.heappop(heap)
             nxt = after[k]
             if nxt < 0 or (ids[k], ids[nxt]) != pair:
                 continue
-            ids[k], ids[nxt], after[k] = new, -1, after[nxt]
+            ids[k], ids[nxt], after[k] = self.merged[best], -1, after[nxt]
             if after[nxt] >= 0:
                 before[after[nxt]] = k
             for left in (before[k], k):
                 right = after[left] if left >= 0 else -1
-                if right >= 0 and (found := self.pairs.get((ids[left], ids[right]))):
-                    heapq.heappush(heap, (found[0], left, (ids[left], ids[right]), found[1]))
+                if right >= 0 and (pair := (ids[left], ids[right])) in self.rank:
+                    heapq.heappush(heap, (self.rank[pair], left, pair))
         return [i for i in ids if i >= 0]
 
 
@@ -190,7 +191,7 @@ class Encoder:
                 known[piece] = self.lexicon.ids_of(rank).tobytes()
             else:
                 ids = [special[piece]] if piece in special else self.vocab.merge(word)
-                known[piece] = np.array(ids, np.int32).tobytes()
+                known[piece] = array("i", ids).tobytes()
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), np.int32) for p in pieces]
 
 
