@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe
+from candlewick.llm import bpe, chunks, licenses, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +32,48 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def edited_text(text: str, following: str) -> str:
+    """The last quarter of the code points replaced by the first as many of the next text."""
+    quarter = len(text) // 4
+    return text[:len(text) - quarter] + following[:quarter]
+
+
+def _fingerprint_pairs(texts: list[bytes], nexts: list[bytes]) -> list[pa.Array]:
+    own = [t.decode() for t in texts]
+    edited = [edited_text(t, n.decode()).encode() for t, n in zip(own, nexts)]
+    sets, edited_sets, next_sets = map(chunks.chunk_sets, (texts, edited, nexts))
+    return [pa.array([len(t) for t in own], pa.int64()),
+            pa.array([hashlib.sha256(t).hexdigest() for t in edited], pa.string()),
+            pa.array(list(map(chunks.as_text, sets)), pa.string()),
+            pa.array(list(map(chunks.as_text, edited_sets)), pa.string()),
+            pa.array(list(map(chunks.likeness, sets, edited_sets)), pa.float64()),
+            pa.array(list(map(chunks.likeness, sets, next_sets)), pa.float64())]
+
+
+def op2_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk fingerprints of every text and of its edited text, and their likeness."""
+    fields = [StructField("n_chars", LongType()), StructField("edited_sha256", StringType()),
+              StructField("fingerprint", StringType()),
+              StructField("edited_fingerprint", StringType()),
+              StructField("near_edited", DoubleType()), StructField("near_next", DoubleType())]
+    return successors.map_successive(documents(spark, sf_dir), fields, _fingerprint_pairs)
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every text."""
+    out = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("license_matches", lambda m: m["base"])
+    names = lambda a: F.array_join(F.array_sort(F.array_distinct(a["label"])), ",")
+    return out.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                      F.array_min(base["start"]).alias("first_word"),
+                      F.array_max(base["start"]).alias("last_word"),
+                      names(base).alias("base_labels"),
+                      names(F.col("license_matches")).alias("labels"),
+                      F.col("license_score").alias("score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe}
+    return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses}
 
 
 def oracle_sql() -> dict[str, str]:
