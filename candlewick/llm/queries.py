@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, licenses, successors
+from candlewick.llm import bpe, chunks, licenses, mixing, quality, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,9 +72,22 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("license_score").alias("score"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entropy-balanced copies of every document."""
+    out = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures, base rules and the cross-document line verdict of every document."""
+    return (quality.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "source"))
+            .drop("removed_lines"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses}
+    return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
+            "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_quality": quality.OP10_SQL}
