@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, licenses, mixing, quality, successors
+from candlewick.llm import bpe, chunks, licenses, line_dedup, mixing, quality, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,13 @@ def op2_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return successors.map_successive(documents(spark, sf_dir), fields, _fingerprint_pairs)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more dropped from every text."""
+    out = line_dedup.drop_common_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every text."""
     out = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
@@ -86,8 +93,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
-            "op9_mixing": op9_mixing, "op10_quality": op10_quality}
+            "op3_line_dedup": op3_line_dedup, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality": quality.OP10_SQL}
+    return {"op3_line_dedup": line_dedup.OP3_SQL, "op10_quality": quality.OP10_SQL}
