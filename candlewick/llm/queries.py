@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, licenses, line_dedup, mixing, quality, successors
+from candlewick.llm import bpe, chunks, licenses, line_dedup, mixing, quality, simhash, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,13 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("license_score").alias("score"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes of all documents."""
+    out = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entropy-balanced copies of every document."""
     out = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
@@ -93,7 +100,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
-            "op3_line_dedup": op3_line_dedup, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
+            "op3_line_dedup": op3_line_dedup,
+            "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
