@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, licenses, line_dedup, mixing, quality, simhash, successors
+from candlewick.llm import bpe, chunks, language, licenses, line_dedup, mixing, quality, simhash, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,14 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("license_score").alias("score"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the documents that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out() & F.col("doc_id").isNotNull()))
+    return (language.predict(docs.drop("lang"), model)
+            .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents."""
     out = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
@@ -101,7 +109,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
             "op3_line_dedup": op3_line_dedup,
-            "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
+            "op6_language": op6_language, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
