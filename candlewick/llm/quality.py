@@ -26,7 +26,7 @@ from candlewick.llm import common as C
 
 #: More documents of one host than this make a line boilerplate.
 LINE_LIMIT = 100
-LEAST_SHARE, LEAST_WORDS = 0.5, 50
+LEAST_SHARE, LEAST_WORDS = 0.5, 20
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 CONTINUATION = bytes(range(0x80, 0xC0))

@@ -25,7 +25,7 @@ def brute(rows, limit):
         left = len(w) - sum(len(norm(lines[k]).split(" ")) for k in gone)
         bad = len(w) < 50 or 100 * rep > 50 * len(w)
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(worded) - len(set(worded)),
-                    rep, tuple(gone), left, bad, not bad and left >= 50 and left >= 0.5 * len(w)))
+                    rep, tuple(gone), left, bad, not bad and left >= 20 and left >= 0.5 * len(w)))
     return out
 
 
