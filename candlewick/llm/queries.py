@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, language, licenses, line_dedup, mixing, quality, simhash, successors
+from candlewick.llm import bpe, chunks, language, licenses, line_dedup, mixing, quality, secrets, simhash, successors
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,16 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base patterns and Markov-scored tokens in every text."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = secrets.scan(docs, secrets.train(docs))
+    return out.select("doc_id", *[secrets.count_kind("base_spans", k).alias(f"n_{secrets.KINDS[k]}")
+                                  for k in range(3)],
+                      F.sha2(secrets.span_text("base_spans"), 256).alias("base_sha256"),
+                      secrets.span_text("secret_spans").alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents."""
     out = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
@@ -109,7 +119,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
             "op3_line_dedup": op3_line_dedup,
-            "op6_language": op6_language, "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
+            "op6_language": op6_language, "op7_secrets": op7_secrets,
+            "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
