@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import bpe, chunks, language, licenses, line_dedup, mixing, quality, secrets, simhash, successors
+from candlewick.llm import (bpe, chunks, language, licenses, line_dedup, mixing, quality, secrets,
+                            simhash, successors, suffix_dedup)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,15 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("license_score").alias("score"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 400-byte strings removed from every text."""
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text, learned from the documents that are not held out."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -119,7 +129,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
             "op3_line_dedup": op3_line_dedup,
-            "op6_language": op6_language, "op7_secrets": op7_secrets,
+            "op5_suffix_dedup": op5_suffix_dedup, "op6_language": op6_language, "op7_secrets": op7_secrets,
             "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
 
 
