@@ -223,6 +223,21 @@ def resolve(contexts: DataFrame, widths: tuple[int, ...] = WIDTHS, group: int =
     return found.unionByName(whole).unionByName(back)
 
 
+def merged(ranges: DataFrame) -> DataFrame:
+    """One row for each context: its ranges of windows, neighbouring ones joined into one."""
+    kind = "array<struct<lo:int,hi:int>>"
+
+    def add(acc: F.Column, r: F.Column) -> F.Column:
+        last = F.element_at(acc, -1)
+        longer = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], r["hi"]).alias("hi"))
+        return (F.when(F.size(acc) == 0, F.array(r)).when(r["lo"] > last["hi"] + 1, F.concat(acc, F.array(r)))
+                .otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer)))).cast(kind)
+
+    found = F.array_sort(F.collect_list(F.struct("lo", "hi")))
+    rows = ranges.groupBy("key", "ctx").agg(found.alias("found"))
+    return rows.select("key", "ctx", F.aggregate("found", F.array().cast(kind), add).alias("windows"))
+
+
 def repeated_spans(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Row keys and ``ranges``: byte ranges (start, end) that repeated windows cover."""
     rows = C.shared_table(anchor_rows(docs, id_col, text_col), "anchors")
@@ -238,13 +253,13 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str
     contexts = C.shared_table(
         texts.join(places, KEYS).select("packed", "places").mapInArrow(cut_contexts, _fields(CONTEXT))
         .dropDuplicates(["key", "ctx"]), "contexts")
-    ranges = C.shared_table(resolve(contexts), "ranges")
-    some = mixed.join(ranges, ["key", "ctx"]).select(
-        *KEYS, (F.col("first") + F.col("lo")).alias("start"), (F.col("first") + F.col("hi") + WINDOW).alias("end"))
-    every = near.where("not mixed").select(*KEYS, F.col("first").alias("start"),
-                                           (F.col("last") + WINDOW).alias("end"))
+    ranges = C.shared_table(merged(resolve(contexts)), "ranges")
+    some = mixed.join(ranges, ["key", "ctx"]).select(*KEYS, F.transform("windows", lambda w: F.struct(
+        (F.col("first") + w["lo"]).alias("start"), (F.col("first") + w["hi"] + WINDOW).alias("end"))).alias("r"))
+    every = near.where("not mixed").select(*KEYS, F.array(F.struct(
+        F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end"))).alias("r"))
     return (some.unionByName(every).groupBy(*KEYS)
-            .agg(F.collect_list(F.struct("start", "end")).alias("ranges")))
+            .agg(F.flatten(F.collect_list("r")).alias("ranges")))
 
 
 def union(ranges: list[dict]) -> list[tuple[int, int]]:
