@@ -165,17 +165,41 @@ def links(fps: DataFrame, bits: int = MOST_BITS) -> DataFrame:
             return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, ``fp`` and ``component_id``, the smallest id that is reachable by links."""
-    rows = C.shared_table(
-        fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle)
-        .select("id", "fp"), "fingerprints")
+def near_classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,
+                 id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows (id, row keys, fp) and classes (fp, ``group_fp``, ``component_id``): fingerprints
+    that links connect share ``group_fp``, the least of them as a signed number."""
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       *C.row_keys(id_col, text_col))
+    rows = C.shared_table(fingerprints(slim, shingle).drop("text"), "fingerprints")
     fps = C.shared_table(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct-fps")
     roots = C.shared_table(components(links(fps, bits)), "roots")
     member = C.shared_table(fps.join(roots, fps["fp"] == roots["node"]).select("fp", "root", "least_id"), "members")
     least = C.shared_table(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "least-ids")
-    linked = member.join(least, "root").select("fp", "component_id")
-    alone = fps.join(linked, "fp", "left_anti").select("fp", F.col("least_id").alias("component_id"))
-    classes = C.shared_table(linked.unionByName(alone), "classes")
+    linked = member.join(least, "root").select("fp", F.col("root").alias("group_fp"), "component_id")
+    alone = fps.join(member, "fp", "left_anti").select(
+        "fp", F.col("fp").alias("group_fp"), F.col("least_id").alias("component_id"))
+    return rows, C.shared_table(linked.unionByName(alone), "classes")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``fp`` and ``component_id``, the smallest id that is reachable by links."""
+    rows, classes = near_classes(docs, shingle, bits, id_col, text_col)
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the row with the smallest id
+    stays (null ids last; of rows with equal id and text, any one)."""
+    rows, classes = near_classes(docs, shingle, bits, id_col, text_col)
+    order = F.struct(F.isnull("id").alias("no_id"), "id", "key_a", "key_b")
+    # copies of one fingerprint are narrowed to one row before they meet their class
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    stay = C.shared_table(first.join(classes, "fp").groupBy("group_fp").agg(F.min("first").alias("first"))
+                          .select("first.key_a", "first.key_b"), "representatives")
+    base = C.without(docs, ["key_a", "key_b"])
+    keys = C.row_keys(id_col, text_col)
+    return (base.withColumns({"key_a": keys[0], "key_b": keys[1]}).join(stay, ["key_a", "key_b"], "left_semi")
+            .dropDuplicates(["key_a", "key_b"]).select(*[F.col(f"`{c}`") for c in base.columns]))
