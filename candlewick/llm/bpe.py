@@ -31,8 +31,8 @@ from candlewick.llm import common as C
 from candlewick.llm.lexicon import Lexicon, compile_lexicon
 
 #: Bounds of the lexicon: words, and bytes of a word.
-MAX_WORDS, LONGEST_WORD = 1 << 18, 48
-KEEP = 300_000
+MAX_WORDS, LONGEST_WORD = 1 << 17, 48
+KEEP = 100_000
 # The piece pattern of byte-level BPE vocabularies.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructField, StructType
 
 from candlewick.session import checkpoint_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
