@@ -119,17 +119,20 @@ class Model:
         return langs, scores
 
 
-def train_pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (the last column of x is the bias) of an L2-loss linear SVM by dual coordinate descent."""
-    norm = np.einsum("ij,ij->i", x, x) + 0.5 / COST
-    w, alpha = np.zeros(x.shape[1], np.float32), np.zeros(len(x))
+def train_pair(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
+    """Weights (bias last) of an L2-loss linear SVM by dual coordinate descent over sparse rows
+    (buckets, values)."""
+    rows = [(np.append(k, BUCKETS), np.append(v, 1.0)) for k, v in rows]
+    norm = [float(v @ v) + 0.5 / COST for _, v in rows]
+    w, alpha = np.zeros(BUCKETS + 1), np.zeros(len(rows))
     rng = np.random.default_rng(0)
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(x)):
-            g = y[i] * float(w @ x[i]) - 1 + alpha[i] * 0.5 / COST
+        for i in rng.permutation(len(rows)):
+            at, value = rows[i]
+            g = y[i] * float(w[at] @ value) - 1 + alpha[i] * 0.5 / COST
             new = max(0.0, alpha[i] - g / norm[i])
             if new != alpha[i]:
-                w += np.float32((new - alpha[i]) * y[i]) * x[i]
+                w[at] += (new - alpha[i]) * y[i] * value
                 alpha[i] = new
     return w
 
@@ -188,12 +191,10 @@ def fit(labelled: DataFrame, rows: int = ROWS_PER_LANGUAGE, id_col: str = "doc_i
     def train(table: pa.Table) -> pa.Table:
         order = np.argsort(np.array([str(v) for v in table.column("id").to_pylist()]), kind="stable")
         table = table.take(pa.array(order)).combine_chunks()
-        lists = [table.column(n).combine_chunks() for n in ("bucket", "value")]
-        x = np.zeros((len(order), BUCKETS + 1), np.float32)
-        x[:, -1] = 1.0                                          # the bias
-        rows = np.repeat(np.arange(len(order)), lists[0].value_lengths().to_numpy())
-        x[rows, lists[0].flatten().to_numpy()] = lists[1].flatten().to_numpy()
-        w = train_pair(x, table.column("side").to_numpy())
+        bucket, value = (table.column(n).combine_chunks() for n in ("bucket", "value"))
+        cuts = np.cumsum(bucket.value_lengths().to_numpy())[:-1]
+        rows = list(zip(np.split(bucket.flatten().to_numpy(), cuts), np.split(value.flatten().to_numpy(), cuts)))
+        w = train_pair(rows, table.column("side").to_numpy())
         return pa.table({"pair": table.column("pair").slice(0, 1),
                          "weight": pa.array([w.tolist()], pa.list_(pa.float32()))})
 
