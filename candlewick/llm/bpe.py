@@ -31,8 +31,9 @@ from candlewick.llm import common as C
 from candlewick.llm.lexicon import Lexicon, compile_lexicon
 
 #: Bounds of the lexicon: words, and bytes of a word.
-MAX_WORDS, LONGEST_WORD = 1 << 17, 48
-KEEP = 100_000
+MAX_WORDS, LONGEST_WORD = 1 << 18, 48
+#: Bounds of what a task keeps: counted pieces, and merged pieces from outside the lexicon.
+KEEP = 200_000
 # The piece pattern of byte-level BPE vocabularies.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -178,11 +179,14 @@ class Encoder:
         self.vocab, self.lexicon = vocab, lexicon
         self.split = splitter(list(vocab.special))
         self.known: dict[str, bytes] = {}
+        self.merged: list[str] = []          # known pieces from outside the lexicon
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         pieces = [self.split(t.decode()) for t in texts]
-        if len(self.known) > KEEP:
-            self.known.clear()
+        if len(self.merged) > KEEP:
+            for piece in self.merged:
+                del self.known[piece]
+            self.merged = []
         new = list(set(chain.from_iterable(pieces)).difference(self.known))
         raw = [w.encode() for w in new]
         special, known = self.vocab.special, self.known
@@ -192,6 +196,7 @@ class Encoder:
             else:
                 ids = [special[piece]] if piece in special else self.vocab.merge(word)
                 known[piece] = array("i", ids).tobytes()
+                self.merged.append(piece)
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), np.int32) for p in pieces]
 
 

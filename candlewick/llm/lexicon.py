@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import json
 import mmap
+from array import array
 
 import numpy as np
 
+TARGET = 0xFFFFFFFF
+
 
 class _Builder:
-    """States of the word being added are open; all others are final in the register."""
+    """States of the word being added are open; all others are final in the register, under
+    their accept flag and arcs (byte and target) as packed bytes; a state's number is its place
+    in the register."""
 
     def __init__(self):
-        self.register: dict[tuple, int] = {}
-        self.arcs: list[tuple] = []          # per state: (byte, target) pairs
-        self.accepts: list[bool] = []
-        self.words: list[int] = []           # accepted words from each state
+        self.register: dict[bytes, int] = {}
+        self.words = array("i")              # accepted words from each state
         self.path: list[list] = [[False, []]]
         self.last = b""
 
@@ -28,16 +31,14 @@ class _Builder:
         while len(self.path) > depth + 1:
             accept, arcs = self.path.pop()
             parent = self.path[-1][1]
-            parent[-1] = (parent[-1], self._state(accept, tuple(arcs)))
+            parent[-1] |= self._state(accept, arcs)
 
-    def _state(self, accept: bool, arcs: tuple) -> int:
-        key = (accept, arcs)
+    def _state(self, accept: bool, arcs: list[int]) -> int:
+        key = array("q", [accept, *arcs]).tobytes()
         state = self.register.get(key)
         if state is None:
-            state = self.register[key] = len(self.arcs)
-            self.arcs.append(arcs)
-            self.accepts.append(accept)
-            self.words.append(accept + sum(self.words[t] for _, t in arcs))
+            state = self.register[key] = len(self.words)
+            self.words.append(accept + sum(self.words[a & TARGET] for a in arcs))
         return state
 
     def add(self, word: bytes) -> None:
@@ -47,15 +48,14 @@ class _Builder:
             same += 1
         self._close(same)
         for byte in word[same:]:
-            self.path[-1][1].append(byte)    # the target is set when the path closes
+            self.path[-1][1].append(byte << 32)     # the target is set when the path closes
             self.path.append([False, []])
         self.path[-1][0] = True
         self.last = word
 
     def finish(self) -> int:
         self._close(0)
-        accept, arcs = self.path.pop()
-        return self._state(accept, tuple(arcs))
+        return self._state(*self.path.pop())
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
@@ -65,18 +65,21 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     for w in order:
         b.add(w)
     start = b.finish()
-    keys, targets, outputs = [], [], []
-    for state, arcs in enumerate(b.arcs):
-        before = int(b.accepts[state])
-        for byte, target in arcs:            # bytes ascend, so the keys ascend too
-            keys.append(state << 8 | byte)
+    keys, targets, outputs, accepts = array("q"), array("i"), array("i"), bytearray()
+    for state, packed in enumerate(b.register):
+        accept, *arcs = array("q", packed)
+        accepts.append(accept)
+        before = accept
+        for arc in arcs:                     # bytes ascend, so the keys ascend too
+            target = arc & TARGET
+            keys.append(state << 8 | arc >> 32)
             targets.append(target)
             outputs.append(before)
             before += b.words[target]
     sizes = np.fromiter((len(words[w]) for w in order), np.int64, len(order))
     arrays = {"arc_key": np.array(keys, np.int64), "arc_target": np.array(targets, np.int32),
               "arc_output": np.array(outputs, np.int32),
-              "accept": np.array(b.accepts, np.uint8),
+              "accept": np.frombuffer(bytes(accepts), np.uint8),
               "id_start": np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
               "ids": np.array([i for w in order for i in words[w]], np.int32)}
     head, at = {"start": start, "longest": max(map(len, order), default=0)}, 0

@@ -9,7 +9,8 @@ from candlewick.llm import bpe, common as C, lexicon, queries as Q
 
 ODD = [None, "", " ", "a", "\n\n \t x  y ", "<|endoftext|>", "a<|endoftext|> b", "é" * 300, "x" * 5000,
        "don't we'll I'd 12 34½ ²", "\x1c\x1d a\x85b c d", "日本語テキスト", "😀😀 ok", "ſ K",
-       "a" * 41 + "bc" * 50, "́̀x", "The the THE"]
+       "a" * 41 + "bc" * 50, "́̀x", "The the THE", "a  b", "a \nb", "foo\n \tbar x", "a b ", " a", "x\n y\n\n z",
+       "end ", " ", "a\u3000 b \u3000c", "it 's 'll"]
 
 
 @pytest.fixture(scope="module")
