@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+import unicodedata
 from array import array
 from collections import Counter
 from itertools import chain
@@ -106,13 +108,33 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
-def splitter(special: list[str]):
-    """Function from a text to its pieces; special tokens are pieces of their own."""
-    pieces = regex.compile(PIECES).findall
-    cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+#: UTF-8 bytes below this one encode code points below U+0240 only.
+NEAR_BYTE, NEAR = 0xC9, 0x240
+
+
+def near_pattern() -> str:
+    """``PIECES`` for code points below ``NEAR``, with its classes spelled out for the faster
+    ``re`` module."""
+    members = {"L": "", "N": ""}
+    for c in map(chr, range(NEAR)):
+        kind = unicodedata.category(c)[0]
+        members[kind] = members.get(kind, "") + re.escape(c)
+    letter, number, space = members["L"], members["N"], r"\t-\r \x85\xa0"
+    return (PIECES.replace(r"[^\p{White_Space}\p{L}\p{N}]", f"[^{space}{letter}{number}]")
+            .replace(r"\p{L}", f"[{letter}]").replace(r"\p{N}", f"[{number}]")
+            .replace(r"\p{White_Space}", f"[{space}]").replace(r"\P{White_Space}", f"[^{space}]"))
 
-    def split(text: str) -> list[str]:
-        if cut is None or not cut.search(text):
+
+def splitter(special: list[str]):
+    """Function from a text's UTF-8 bytes to its pieces; special tokens are pieces of their own."""
+    any_pieces, near_pieces = regex.compile(PIECES).findall, re.compile(near_pattern()).findall
+    cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+
+    def split(data: bytes) -> list[str]:
+        text = data.decode()
+        near = not data or np.frombuffer(data, np.uint8).max() < NEAR_BYTE
+        pieces = near_pieces if near else any_pieces
+        if cut is None or not any(s in text for s in special):
             return pieces(text)
         out = []
         for k, part in enumerate(cut.split(text)):
@@ -136,7 +158,7 @@ def piece_counts(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") ->
         for batch in batches:
             for part in C.slices(batch, 0):
                 for t in C.texts_of(part, 0):
-                    seen.update(split(t.decode()))
+                    seen.update(split(t))
                 if len(seen) > KEEP:
                     yield rows()
                     seen.clear()
@@ -182,7 +204,7 @@ class Encoder:
         self.merged: list[str] = []          # known pieces from outside the lexicon
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        pieces = [self.split(t.decode()) for t in texts]
+        pieces = [self.split(t) for t in texts]
         if len(self.merged) > KEEP:
             for piece in self.merged:
                 del self.known[piece]

@@ -47,6 +47,16 @@ def test_odd_texts_ties_and_extra_columns(spark, reference):
     assert sorted(r["decoded"] for r in again) == sorted(r["decoded"] for r in rows)
 
 
+def test_both_patterns_agree():
+    import re
+    import regex
+    rng = random.Random(2)
+    near, wide = re.compile(bpe.near_pattern()).findall, regex.compile(bpe.PIECES).findall
+    for _ in range(400):
+        t = "".join(chr(rng.choice([rng.randrange(bpe.NEAR), rng.randrange(48), 32, 39, 115])) for _ in range(60))
+        assert near(t) == wide(t)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     vocab = Q.byte_vocabulary()
