@@ -96,11 +96,8 @@ SCREEN_THRESHOLD = 0.85
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C10, written once into the shared checkpoint folder: every query on top of it reads
-    the small (sector x day) table instead of re-planning and re-running the bar and macro
-    pipelines, and a lost executor does not send it back to the raw tables."""
-    return cut_lineage(training.training_frame(_sector_daily(spark, sf_dir),
-                                               _aligned(spark, sf_dir)))
+    """C10; every query on top of it reads it once, so nothing is written in between."""
+    return training.training_frame(_sector_daily(spark, sf_dir), _aligned(spark, sf_dir))
 
 
 def q_training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,15 +158,18 @@ def _model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.withColumn("label", binary_label("weighted_sector_returns"))
 
 
+def _fold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return folds.time_series_folds(_model_frame(spark, sf_dir), KEY, "date", n_splits=5)
+
+
 def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 long fold table, checkpointed: it feeds scalers, baselines and every model."""
-    return cut_lineage(folds.time_series_folds(_model_frame(spark, sf_dir), KEY, "date",
-                                               n_splits=5))
+    """M1 long fold table as a shared table: scalers, baselines and models read it twice or
+    more."""
+    return cut_lineage(_fold_rows(spark, sf_dir))
 
 
 def _scaled_from(f: DataFrame) -> DataFrame:
-    return cut_lineage(folds.apply_scaler(f, folds.fit_scaler(f, MODEL_FEATURES, KEY),
-                                          MODEL_FEATURES, KEY))
+    return folds.apply_scaler(f, folds.fit_scaler(f, MODEL_FEATURES, KEY), MODEL_FEATURES, KEY)
 
 
 def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +178,7 @@ def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 + M25: five expanding time-ordered folds per sector; sizes and ranges."""
-    return metrics.fold_ranges(_folds(spark, sf_dir), KEY, "date")
+    return metrics.fold_ranges(_fold_rows(spark, sf_dir), KEY, "date")
 
 
 def q_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,10 +361,6 @@ def q_sector_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("market_cap").alias("sector_market_cap")))
 
 
-# model sweeps: per-(sector, fold) Spark ML fits whose cost is independent of data scale
-FIXED_COST_QUERIES = ("classifier_sweep", "regressor_sweep", "feature_importance")
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query (C1 ticker features, reference parameters) on sf0.001."""
     return q_ticker_features(spark, SMOKE_DIR)

@@ -35,16 +35,11 @@ def runtime_sized(df: DataFrame) -> DataFrame:
     return df
 
 
-def lookup_first(ref: DataFrame, key: str, cols: Sequence[str],
-                 order: str | None = None) -> DataFrame:
-    """P7 ``df.loc[df.key == k, col].iloc[0]`` for every key at once.
-
-    With an ``order`` column the first row in that order wins (``min_by``); without one
-    the keys are assumed unique and are deduplicated deterministically by the minimum.
-    """
-    if order is None:
-        return ref.groupBy(key).agg(*[F.min(c).alias(c) for c in cols])
-    return ref.groupBy(key).agg(*[F.min_by(c, order).alias(c) for c in cols])
+def lookup_first(ref: DataFrame, key: str, cols: Sequence[str], order: str) -> DataFrame:
+    """P7 ``df.loc[df.key == k, col].iloc[0]`` for every key at once: the row that comes first
+    in ``order`` wins as a whole."""
+    first = F.min_by(F.struct(*cols), order).alias("first")
+    return ref.groupBy(key).agg(first).select(key, "first.*")
 
 
 def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -122,14 +122,15 @@ def regressor(name: str, n_train: int | None = None, y_std: float | None = None)
     sd = y_std or 1.0
     if name == "ridge":
         return LinearRegression(regParam=1.0 / max(n_train or 1, 1) * sd, elasticNetParam=0.0,
-                                standardization=False, solver="l-bfgs", labelCol="label")
+                                standardization=False, solver="l-bfgs", labelCol="label",
+                                tol=1e-10, maxIter=1000)
     if name == "lasso":
         return LinearRegression(regParam=1.0, elasticNetParam=1.0, standardization=False,
-                                labelCol="label")
+                                labelCol="label", tol=1e-10, maxIter=1000)
     if name == "elasticnet":
         l1, l2 = 0.5, 0.5 * sd
         return LinearRegression(regParam=l1 + l2, elasticNetParam=l1 / (l1 + l2),
-                                standardization=False, labelCol="label")
+                                standardization=False, labelCol="label", tol=1e-10, maxIter=1000)
     if name == "tree":
         return DecisionTreeRegressor(maxDepth=30, labelCol="label", seed=42)
     if name == "gbt":
@@ -148,7 +149,7 @@ def classifier(name: str, n_train: int | None = None):
                                            RandomForestClassifier)
     if name == "logistic":
         return LogisticRegression(regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0,
-                                  standardization=False, labelCol="label")
+                                  standardization=False, labelCol="label", tol=1e-10, maxIter=1000)
     if name == "tree":
         return DecisionTreeClassifier(maxDepth=30, labelCol="label", seed=42)
     if name == "forest":
@@ -189,6 +190,8 @@ def adaboost_stumps(train: DataFrame, test: DataFrame, features: Sequence[str],
                 "__score", F.col("__score") + F.when(F.col("__p") == 1, 1.0).otherwise(-1.0))
             break
         if err >= 0.5:
+            if m == 0:
+                raise ValueError("the first stump is no better than chance")
             tr = tr.drop("__p", "__raw", "__prob")
             break
         alpha = math.log((1 - err) / err)
@@ -220,8 +223,8 @@ def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
     Each fit is a distributed Spark ML job over one fold's rows; the small, independent
     fits are submitted concurrently from a thread pool. Only metric rows (a handful per
     fit) and importances (one per feature) come back to the driver, so no plan of
-    unioned predictions is ever built. The fold table is checkpointed once (reliable
-    checkpoint into the shared checkpoint folder) so every fit starts from it.
+    unioned predictions is ever built. The fold table is written once into the shared
+    folder and every fit reads its rows from there.
 
     Returns (scores, importances): scores has (model, key..., fold, role, n, metric
     columns); importances has (model, key..., fold, feature, importance).
@@ -231,20 +234,13 @@ def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
     from candlewick.session import cut_lineage
     g = [*key, "fold"]
     data = cut_lineage(_assembled(scaled, features).select(*g, "role", "features", "label"))
-    data = data.persist()          # re-read by every fit; the checkpoint stays the fallback
     spark = scaled.sparkSession
     sizes = {tuple(r[c] for c in g): (int(r["n"]), float(r["sd"] or 1.0)) for r in
              data.filter(F.col("role") == "train").groupBy(*g)
                  .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).collect()}
     groups = sorted(sizes)
     y, p = F.col("label"), F.col("prediction")
-    if task == "classification":
-        agg = [F.count(F.lit(1)).alias("n"), F.avg((y == p).cast("double")).alias("accuracy")]
-    else:
-        agg = [F.count(F.lit(1)).alias("n"),
-               F.sqrt(F.avg(F.pow(y - p, 2))).alias("rmse"),
-               (F.lit(1.0) - F.sum(F.pow(y - p, 2))
-                / F.sum(F.pow(y - F.avg(y).over(Window.partitionBy("role")), 2))).alias("r2")]
+    agg = [F.count(F.lit(1)).alias("n"), F.avg((y == p).cast("double")).alias("accuracy")]
 
     def fit_one(job):
         name, gv = job
@@ -270,11 +266,8 @@ def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
         return out, imp
 
     jobs = [(name, gv) for name in names for gv in groups]
-    try:
-        with ThreadPoolExecutor(max_workers=max_parallel) as pool:
-            results = list(pool.map(fit_one, jobs))
-    finally:
-        data.unpersist()
+    with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+        results = list(pool.map(fit_one, jobs))
     key_fields = [scaled.schema[c] for c in g]
     metric_fields = ([StructField("accuracy", DoubleType())] if task == "classification" else
                      [StructField("rmse", DoubleType()), StructField("r2", DoubleType())])

@@ -20,44 +20,36 @@ def _ok(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def pair_moments(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]],
-                 group: Sequence[str] = ()) -> DataFrame:
-    """Pairwise-complete centred co-moments: (group..., i, j, n, sx, sy, sxy, sxx, syy).
-
-    Two passes: per-group column means (k aggregates, one small row per group), then every
-    row is expanded into its column pairs and summed per (group, i, j). The expansion is
-    pipelined with the partial aggregation in one stage, so only one partial row per
-    (group, pair) and task reaches the shuffle; sums stay narrow and code-generated.
-    Deviations from the group mean keep the sums well conditioned.
+def corr_pairs(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]],
+               group: Sequence[str] = ()) -> DataFrame:
+    """Pearson of column pairs over pairwise-complete rows: (group..., i, j, corr).
+
+    One aggregation with map-side partials: every pair is three moments of the same pass
+    (covariance and the two variances over rows where both are present), so what reaches
+    the shuffle is one row per group and task, and nothing is expanded before it. NaN for a
+    constant column or fewer than two rows, as pandas.
     """
-    cols = list(cols)
-    used = sorted({i for p in pairs for i in p})
-    means = df.groupBy(*group).agg(*[F.avg(F.when(_ok(col(cols[i])), col(cols[i])))
-                                     .alias(f"__a{i}") for i in used])
-    x = df.join(means, list(group)) if group else df.crossJoin(means)   # one row per group
-    dev = {i: col(cols[i]) - F.col(f"__a{i}") for i in used}
-    items = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                               F.when(_ok(col(cols[i])) & _ok(col(cols[j])), dev[i]).alias("dx"),
-                               F.when(_ok(col(cols[i])) & _ok(col(cols[j])), dev[j]).alias("dy"))
-                      for i, j in pairs])
-    e = x.select(*group, F.explode(items).alias("p")).select(*group, "p.*").where(
-        F.col("dx").isNotNull())
-    return e.groupBy(*group, "i", "j").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("dx").alias("sx"), F.sum("dy").alias("sy"),
-        F.sum(F.col("dx") * F.col("dy")).alias("sxy"),
-        F.sum(F.col("dx") * F.col("dx")).alias("sxx"),
-        F.sum(F.col("dy") * F.col("dy")).alias("syy"))
-
-
-def _pearson(_unused=None) -> Column:
-    n = F.col("n")
-    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    cxx = F.col("sxx") - F.col("sx") * F.col("sx") / n
-    cyy = F.col("syy") - F.col("sy") * F.col("sy") / n
-    den = F.sqrt(cxx * cyy)
-    # pandas: NaN when a column is constant (zero divisor) or there are < 2 rows
-    return F.when((den == 0) | (n < 2), F.lit(NAN)).otherwise(
-        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cxy / den)))
+    x = [F.when(_ok(col(c)), col(c).cast("double")) for c in cols]
+    items = []
+    for i, j in pairs:
+        n = F.count(F.when(x[i].isNotNull() & x[j].isNotNull(), 1))
+        vi = F.var_pop(F.when(x[j].isNotNull(), x[i]))
+        vj = F.var_pop(F.when(x[i].isNotNull(), x[j])) if i != j else vi
+        r = F.lit(1.0) if i == j else F.greatest(F.lit(-1.0), F.least(
+            F.lit(1.0), F.covar_pop(x[i], x[j]) / F.sqrt(vi * vj)))
+        items.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                              F.when((n < 2) | (F.sqrt(vi * vj) == 0), F.lit(NAN)).otherwise(r).alias("corr")))
+    found = F.array(*items).alias("pairs")
+    one = df.groupBy(*group).agg(found) if group else df.agg(found)
+    return one.select(*group, F.explode("pairs").alias("p")).select(*group, "p.*")
+
+
+def _named(pairs: DataFrame, cols: Sequence[str], group: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in cols])
+    return pairs.select(*group, F.col("i").cast("int").alias("i"),
+                        F.element_at(names, F.col("i") + 1).alias("col_i"),
+                        F.col("j").cast("int").alias("j"),
+                        F.element_at(names, F.col("j") + 1).alias("col_j"), "corr")
 
 
 def corr_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
@@ -67,47 +59,31 @@ def corr_long(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) ->
     column, including its diagonal entry, as pandas. One upper-triangle-plus-diagonal
     aggregation; the lower triangle is its mirror.
     """
-    cols = list(cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    m = pair_moments(df, cols, pairs, group).withColumn("corr", _pearson(None))
-    m = m.withColumn("corr", F.when(F.col("i") == F.col("j"),
-                                    F.when(F.col("corr").isNull() | F.isnan("corr"), F.lit(NAN))
-                                    .otherwise(F.lit(1.0))).otherwise(F.col("corr")))
-    # mirror the upper triangle in the same pass (no second branch over the aggregate)
-    upper = F.struct(F.col("i").alias("i"), F.col("j").alias("j"), F.col("corr").alias("corr"))
-    lower = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("corr").alias("corr"))
+    m = corr_pairs(df, cols, pairs, group)
+    upper = F.struct("i", "j", "corr")
+    lower = F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "corr")
     both = F.when(F.col("i") == F.col("j"), F.array(upper)).otherwise(F.array(upper, lower))
-    long = m.select(*group, F.explode(both).alias("e")).select(*group, "e.i", "e.j", "e.corr")
-    names_arr = F.array(*[F.lit(c) for c in cols])
-    return long.select(*group, F.col("i").cast("int").alias("i"),
-                       F.element_at(names_arr, F.col("i") + 1).alias("col_i"),
-                       F.col("j").cast("int").alias("j"),
-                       F.element_at(names_arr, F.col("j") + 1).alias("col_j"), "corr")
+    long = m.select(*group, F.explode(both).alias("e")).select(*group, "e.*")
+    return _named(long, cols, group)
 
 
 def corr_with_target(df: DataFrame, cols: Sequence[str], target: str,
                      group: Sequence[str] = ()) -> DataFrame:
     """A12 ``corr_matrix[target]``: (group..., feature, corr), one pass over k pairs."""
-    cols = list(cols)
-    allc = cols + ([target] if target not in cols else [])
+    allc = list(cols) + ([target] if target not in cols else [])
     t = allc.index(target)
-    pairs = [(i, t) for i in range(len(cols))]
-    m = pair_moments(df, allc, pairs, group).withColumn("corr", _pearson(None))
-    m = m.withColumn("corr", F.when(F.col("i") == F.col("j"),
-                                    F.when(F.isnan("corr"), F.lit(NAN)).otherwise(F.lit(1.0)))
-                     .otherwise(F.col("corr")))
-    names_arr = F.array(*[F.lit(c) for c in allc])
-    return m.select(*group, F.element_at(names_arr, F.col("i") + 1).alias("feature"), "corr")
+    m = corr_pairs(df, allc, [(i, t) for i in range(len(cols))], group)
+    return _named(m, allc, group).select(*group, F.col("col_i").alias("feature"), "corr")
 
 
 def corr_screen(df: DataFrame, cols: Sequence[str], threshold: float = 0.85,
                 group: Sequence[str] = ()) -> DataFrame:
     """A13 ``correlation(dataset, threshold)`` pairs: lower triangle (j < i), strict
     ``abs(r) > threshold``; the flagged column of each pair is ``col_i`` (the later one)."""
-    m = corr_long(df, cols, group)
+    m = corr_pairs(df, cols, [(i, j) for i in range(len(cols)) for j in range(i)], group)
     # NaN (constant column) never passes: in pandas NaN > t is False, in Spark it is True
-    return m.filter((F.col("j") < F.col("i")) & ~F.isnan("corr")
-                    & (F.abs(F.col("corr")) > threshold))
+    return _named(m.filter(~F.isnan("corr") & (F.abs(F.col("corr")) > threshold)), cols, group)
 
 
 def flagged_columns(pairs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -143,15 +119,6 @@ def value_counts(df: DataFrame, c: str, group: Sequence[str] = ()) -> DataFrame:
               .orderBy(*group, F.desc("count"), "value"))
 
 
-def mode(df: DataFrame, c: str, group: Sequence[str] = ()) -> DataFrame:
-    """A10 ``Series.mode()[0]``: the most frequent value, the smallest one on ties."""
-    vc = df.groupBy(*group, col(c).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    if not group:
-        return vc.orderBy(F.desc("count"), "value").limit(1)
-    w = Window.partitionBy(*group).orderBy(F.desc("count"), "value")
-    return vc.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
-
-
 def row_stats(long: DataFrame, key: str, value: str) -> DataFrame:
     """A15 row-wise mean / std (ddof 1) of a wide table, computed on its long form."""
     return long.groupBy(key).agg(F.avg(value).alias("mean"),

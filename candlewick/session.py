@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ def get_spark(master: str | None = None, app: str = "candlewick",
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
@@ -37,8 +39,9 @@ def get_spark(master: str | None = None, app: str = "candlewick",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a fresh
-    scratch folder created and registered.
+    The cluster's setting always wins. Only on a local master may it be unset (tests); a
+    fresh scratch folder is then created and registered. On a cluster executors could not
+    share such a folder, so an unset one is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,12 +50,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="candlewick-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a columnar table in the shared folder and read it back: readers take the
+    columns they need, and a lost executor sends no work back beyond the table."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

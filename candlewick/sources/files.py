@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
+from candlewick.session import cut_lineage
 from candlewick.functions.dates import parse_date
 
 # Fixed schema of a daily price record (the reference's engineered files, plus the two
@@ -66,16 +67,18 @@ def read_price_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
 def read_sector_tree(spark: SparkSession, root: str) -> DataFrame:
     """S3: (sector, symbol) from ``root/<sector>/<TICKER>_<anything>`` file names.
 
-    Only the file listing is needed: ``binaryFile`` prunes the unused ``content`` column,
+    Files at any other depth belong to no sector and are left out. Only the file listing is needed: ``binaryFile`` prunes the unused ``content`` column,
     so file bodies are never read.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root).select("path"))
-    parts = F.split(F.regexp_replace("path", r"^.*?" + root.rstrip("/") + "/", ""), "/")
+    # components below the root, counted, so that the root's name is no pattern
+    steps = len(spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/").split("/"))
+    parts = F.split(F.regexp_replace("path", "^[A-Za-z0-9+.-]+:(//[^/]*)?", ""), "/")
     name = F.element_at(parts, -1)
     stem = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1)
-    return (files.where(F.size(parts) == 2)
-                 .select(F.element_at(parts, 1).alias("sector"),
+    return (files.where(F.size(parts) == steps + 2)
+                 .select(F.element_at(parts, -2).alias("sector"),
                          F.split(stem, "_")[0].alias("symbol"))
                  .distinct())
 
@@ -126,12 +129,19 @@ def month_end_spine_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -
 def symbol_batches(symbols: DataFrame, batch_size: int, col: str = "symbol") -> DataFrame:
     """Deterministic, gap-free batches of the symbol list (no skipped positions).
 
-    The position comes from one global ordering of the distinct symbols: a dimension-sized
-    list (one row per listed symbol), not a fact table."""
+    Symbols are range-partitioned and numbered within their partition; a partition's offset
+    is the number of symbols before it, from one count a partition. No task holds them all.
+    """
     from pyspark.sql import Window
-    w = Window.orderBy(col)
-    return symbols.select(col).distinct().withColumn(
-        "batch", F.floor((F.row_number().over(w) - 1) / batch_size).cast("int"))
+    ranged = cut_lineage(symbols.select(col).distinct().repartitionByRange(col)
+                         .withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(      # one row a partition
+        Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("__part", before.alias("__before"))
+    at = F.row_number().over(Window.partitionBy("__part").orderBy(col)) - 1 + F.col("__before")
+    return (ranged.join(offsets, "__part")
+            .select(col, F.floor(at / batch_size).cast("int").alias("batch")))
 
 
 def write_partitioned(df: DataFrame, path: str, key: str, fmt: str = "parquet",

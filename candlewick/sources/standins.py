@@ -2,7 +2,7 @@
 
 | engine table      | derived from                                                      |
 |-------------------|-------------------------------------------------------------------|
-| bars              | lineitem by (l_suppkey, ship day): symbol = 'T' + 5-digit suppkey  |
+| bars              | lineitem by (l_suppkey, ship day): symbol = 'T' + suppkey, 5 digits up |
 | sector_members    | supplier -> nation -> region (sector = lower-case region name)    |
 | stock_info        | supplier: shares = |s_acctbal| + 1, market_cap = shares x last close|
 | macro             | orders by month (monthly series) and by quarter (quarter-end rows)|
@@ -26,7 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def symbol_of(suppkey) -> F.Column:
-    return F.concat(F.lit("T"), F.lpad(suppkey.cast("string"), 5, "0"))
+    """Zero-padded to five digits and never cut: longer keys stay distinct."""
+    return F.format_string("T%05d", suppkey)
+
+
+#: Unit prices are unrelated from day to day, so they enter the price level divided by 100 on
+#: top of a base of 1000: daily returns stay within a few percent and indexes stay finite.
+PRICE_BASE, PRICE_SCALE = 1000.0, 100.0
+
+
+def price_level(total, quantity) -> F.Column:
+    return F.lit(PRICE_BASE) + null_div(total, quantity) / F.lit(PRICE_SCALE)
 
 
 def bars(spark: SparkSession, sf_dir: str, start: str | None = None,
@@ -45,13 +55,13 @@ def bars(spark: SparkSession, sf_dir: str, start: str | None = None,
     if end is not None:
         li = li.filter(F.col("l_shipdate") < F.date_add(F.to_date(F.lit(end)), 1)
                        .cast("timestamp_ntz"))
-    px = null_div(F.col("l_extendedprice"), F.col("l_quantity"))
+    px = price_level(F.col("l_extendedprice"), F.col("l_quantity"))
     return (li.groupBy(symbol_of(F.col("l_suppkey")).alias("symbol"),
                        F.col("l_shipdate").cast("date").alias("trade_date"))
               .agg(F.min_by(px, F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("open_price"),
                    F.max(px).alias("high_price"),
                    F.min(px).alias("low_price"),
-                   null_div(F.sum("l_extendedprice"), F.sum("l_quantity")).alias("close_price"),
+                   price_level(F.sum("l_extendedprice"), F.sum("l_quantity")).alias("close_price"),
                    F.sum("l_quantity").alias("volume")))
 
 

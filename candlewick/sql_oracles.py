@@ -11,14 +11,14 @@ BARS_CTE = """
 li AS (
   SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity, l_extendedprice,
          CAST(l_shipdate AS DATE) AS d,
-         CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS px
+         CASE WHEN l_quantity = 0 THEN NULL ELSE 1000 + l_extendedprice / l_quantity / 100 END AS px
   FROM lineitem),
 bars AS (
-  SELECT 'T' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS symbol, d AS trade_date,
+  SELECT printf('T%05d', l_suppkey) AS symbol, d AS trade_date,
          arg_min(px, l_orderkey * 8 + l_linenumber) AS open_price,
          max(px) AS high_price, min(px) AS low_price,
          CASE WHEN sum(l_quantity) = 0 THEN NULL
-              ELSE sum(l_extendedprice) / sum(l_quantity) END AS close_price,
+              ELSE 1000 + sum(l_extendedprice) / sum(l_quantity) / 100 END AS close_price,
          sum(l_quantity) AS volume
   FROM li GROUP BY 1, 2)"""
 
@@ -137,7 +137,7 @@ WHERE returns_pct IS NOT NULL AND lag_return10 IS NOT NULL AND stock_MA_50 IS NO
 MEMBERS_CTE = """
 mem AS (
   SELECT lower(replace(r_name, ' ', '_')) AS sector,
-         'T' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS symbol,
+         printf('T%05d', s_suppkey) AS symbol,
          abs(s_acctbal) + 1 AS shares
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey)"""

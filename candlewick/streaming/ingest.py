@@ -3,9 +3,10 @@
 The reference polls an HTTP API per ticker and appends one CSV per ticker. Here payload
 files dropped into a landing folder are a file stream: each micro-batch explodes the
 ``prices`` array (S5), routes payloads without it to a rejects folder (S6), parses dates
-(F1) and appends to a ``symbol``-partitioned Parquet table (S9). Exactly-once file
-tracking and recovery come from the checkpoint location, which must be on shared
-storage (by default a sub-folder of ``spark.checkpoint.dir``).
+(F1) and writes them to an ``epoch``- and ``symbol``-partitioned Parquet table (S9). A replayed
+micro-batch overwrites its own epoch's partitions, so rows are never doubled; file tracking
+comes from the checkpoint location, which must be on shared storage (by default a sub-folder
+of ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -34,10 +35,13 @@ def start_price_ingest(spark: SparkSession, landing: str, table: str, rejects: s
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "price-ingest")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
+        df = df.persist()
         rows, bad = explode_payload(df, "prices", PRICE_SCHEMA, keep=["source_file"])
-        (typed_prices(rows).drop("source_file").write.mode("append")
-            .partitionBy("symbol").parquet(table))
-        bad.write.mode("append").parquet(rejects)
+        rows = typed_prices(rows).drop("source_file").repartition("symbol")
+        for out, path, keys in ((rows, table, ["epoch", "symbol"]), (bad, rejects, ["epoch"])):
+            (out.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+        df.unpersist()
 
     w = payload_stream(spark, landing).writeStream.foreachBatch(batch).option(
         "checkpointLocation", ckpt)

@@ -69,3 +69,26 @@ def test_streaming_ingest(spark, tmpdir_path):
     assert bars.count() == 6
     assert bars.where(F.col("trade_date").isNull()).count() == 0
     assert spark.read.parquet(rej).count() == 1
+
+
+def test_symbol_batches_have_no_gaps_over_partitions(spark):
+    from candlewick.sources import files
+    names = [f"S{k:04d}" for k in range(137)]
+    got = files.symbol_batches(spark.createDataFrame([(n,) for n in names * 2], "symbol string"), 10)
+    assert sorted((r.symbol, r.batch) for r in got.collect()) == [(n, k // 10) for k, n in enumerate(names)]
+    assert files.symbol_batches(got.limit(0).select("symbol"), 10).count() == 0
+
+
+def test_lookup_first_takes_whole_rows(spark):
+    from candlewick.operators.joins import lookup_first
+    ref = spark.createDataFrame([("a", 2, 1.0, "x"), ("a", 1, 9.0, "z"), ("b", 5, None, "q")],
+                                "k string, at int, v double, w string")
+    assert sorted(map(tuple, lookup_first(ref, "k", ["v", "w"], "at").collect())) == [("a", 9.0, "z"), ("b", None, "q")]
+
+
+def test_sector_tree_path_is_not_a_pattern(spark, tmp_path):
+    from candlewick.sources import files
+    root = tmp_path / "a.b (c)+" / "x"
+    (root / "ICT").mkdir(parents=True)
+    (root / "ICT" / "ABC_ENGINEERED").write_text("")
+    assert [tuple(r) for r in files.read_sector_tree(spark, str(root)).collect()] == [("ICT", "ABC")]
