@@ -90,5 +90,5 @@ def test_sector_tree_path_is_not_a_pattern(spark, tmp_path):
     from candlewick.sources import files
     root = tmp_path / "a.b (c)+" / "x"
     (root / "ICT").mkdir(parents=True)
-    (root / "ICT" / "ABC_ENGINEERED").write_text("")
+    (root / "ICT" / "ABC_ENGINEERED").write_text("x")
     assert [tuple(r) for r in files.read_sector_tree(spark, str(root)).collect()] == [("ICT", "ABC")]
