@@ -430,6 +430,7 @@ def oracle_sql() -> dict[str, str]:
         "nb_summary": O.NB_SUMMARY,
         "nb_report": O.NB_REPORT,
         "nb_confusion": O.NB_CONFUSION,
+        "ridge_scores": O.RIDGE_SCORES,
         "monthly_rollup": O.MONTHLY_ROLLUP,
         "event_props": O.EVENT_PROPS,
         "event_gate": O.EVENT_GATE,

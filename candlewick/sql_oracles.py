@@ -568,6 +568,42 @@ FROM nbp GROUP BY 1, 2, 3
 """
 
 
+# Ridge: Gauss-Jordan elimination of the centred normal equations, one pivot a recursion step
+# (the matrix is positive definite, so no pivot search is needed).
+_NORMAL = ", ".join(
+    "[" + ", ".join([f"count(*) * covar_pop(x{i}, x{j}) + {float(i == j)}" for j in range(_K)]
+                    + [f"count(*) * covar_pop(x{i}, y)"]) + "]" for i in range(_K))
+_MEANS = ", ".join(f"avg(x{i})" for i in range(_K))
+RIDGE_SCORES = f"""
+{FOLD_WITH.replace("WITH", "WITH RECURSIVE", 1)},
+sc AS (SELECT sector, fold, {_SCALER} FROM folds WHERE role = 'train' GROUP BY 1, 2),
+xs AS (SELECT f.sector, f.fold, f.role, f.weighted_sector_returns AS y, {_SCALED}
+       FROM folds f JOIN sc USING (sector, fold)),
+mat AS (SELECT sector, fold, avg(y) AS my, [{_MEANS}] AS mx, [{_NORMAL}] AS m
+        FROM xs WHERE role = 'train' GROUP BY 1, 2),
+gj AS (
+  SELECT sector, fold, my, mx, CAST(1 AS BIGINT) AS p, m FROM mat
+  UNION ALL
+  SELECT sector, fold, my, mx, p + 1,
+         list_transform(range(1, {_K + 1}), lambda i: list_transform(range(1, {_K + 2}), lambda j:
+           CASE WHEN i = p THEN m[p][j] / m[p][p] ELSE m[i][j] - m[i][p] / m[p][p] * m[p][j] END))
+  FROM gj WHERE p <= {_K}),
+w AS (SELECT sector, fold, my, mx, list_transform(m, lambda r: r[{_K + 1}]) AS w FROM gj WHERE p = {_K + 1}),
+pr AS (SELECT t.sector, t.fold, y,
+              my + {" + ".join(f"w[{i + 1}] * (x{i} - mx[{i + 1}])" for i in range(_K))} AS p,
+              avg(y) OVER (PARTITION BY t.sector, t.fold) AS ym
+       FROM xs t JOIN w ON t.sector = w.sector AND t.fold = w.fold WHERE t.role = 'test'),
+s AS (SELECT sector, fold, sqrt(avg(power(y - p, 2))) AS rmse, sum(power(y - p, 2)) AS res,
+             sum(power(y - ym, 2)) AS tot FROM pr GROUP BY 1, 2),
+mu AS (SELECT sector, fold, avg(weighted_sector_returns) AS m FROM folds WHERE role = 'train' GROUP BY 1, 2),
+b AS (SELECT f.sector, f.fold, sqrt(avg(power(weighted_sector_returns - mu.m, 2))) AS baseline_rmse
+      FROM folds f JOIN mu USING (sector, fold) WHERE role = 'test' GROUP BY 1, 2)
+SELECT sector, fold, {r4("rmse")} AS rmse,
+       {r4("CASE WHEN tot = 0 THEN CASE WHEN res = 0 THEN 1.0 ELSE 0.0 END ELSE 1 - res / tot END")} AS r2,
+       {r4("baseline_rmse")} AS baseline_rmse
+FROM s JOIN b USING (sector, fold)
+"""
+
 MONTHLY_ROLLUP = f"""
 WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE}, {MACRO_CTE},
 mmac AS (
