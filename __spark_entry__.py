@@ -15,7 +15,7 @@ from candlewick.operators.joins import broadcast_if_small
 from candlewick.functions.nulls import binary_label
 from candlewick.session import cut_lineage
 from candlewick.sources import files
-from candlewick.operators import folds, metrics, models, stats
+from candlewick.operators import boosting, folds, metrics, models, stats
 from candlewick.plans import macro, monthly, sector, ticker, training
 from candlewick.plans.presentation import rounded
 from candlewick.sources import standins as S
@@ -259,7 +259,7 @@ def q_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Spark ML estimators registered as sweeps (each fit: a few distributed jobs).
-CLASSIFIERS = ("logistic", "tree", "naive_bayes_ml")   # the forest is fitted in feature_importance
+CLASSIFIERS = ("logistic", "tree", "forest", "naive_bayes_ml")
 REGRESSORS = ("ridge", "lasso", "elasticnet", "tree")
 
 
@@ -284,10 +284,7 @@ def q_regressor_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores)
 
 
-def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M11 + M24 + A15 + T2 + T5: random-forest importances per fold (wide, one column per
-    fold) with their mean and std per feature, most important first."""
-    _, imp = _sweep(spark, sf_dir, ("forest",), "classification")
+def _importance_table(imp: DataFrame) -> DataFrame:
     # T5: one column per fold (the fold list is fixed, so the pivot needs no extra pass)
     wide = (imp.groupBy(*KEY, "feature").pivot("fold", list(range(5)))
                .agg(F.first("importance")))
@@ -298,6 +295,75 @@ def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .orderBy(*KEY, F.desc("mean_importance"), "feature"))
 
 
+def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 + M24 + A15 + T2 + T5: random-forest importances per fold (wide, one column per
+    fold) with their mean and std per feature, most important first."""
+    return _importance_table(_sweep(spark, sf_dir, ("forest",), "classification")[1])
+
+
+def _classifier_scores(f: DataFrame, name: str) -> DataFrame:
+    """Train and test accuracy per (sector, fold) against the majority baseline."""
+    pred, _ = boosting.fit_groups(_scaled_from(f), MODEL_FEATURES, KEY, name)
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    acc = pred.groupBy(*KEY, "fold").agg(
+        F.avg(F.when(F.col("role") == "train", hit)).alias("train_accuracy"),
+        F.avg(F.when(F.col("role") == "test", hit)).alias("test_accuracy"))
+    out = acc.join(metrics.majority_baseline(f, KEY, "label"), [*KEY, "fold"])
+    return rounded(metrics.beats_baseline(out, "test_accuracy", "baseline_accuracy")
+                   .select(*KEY, "fold", "train_accuracy", "test_accuracy", "baseline_accuracy", "beats_baseline"))
+
+
+def q_boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + M15 + M18 + M22 + M23: tuned boosted-tree classifier on every sector and fold."""
+    return _classifier_scores(_folds(spark, sf_dir), "boosted")
+
+
+def q_boosted_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M24 + A15: boosted-tree importances (mean gain) per fold, with mean and std."""
+    return _importance_table(boosting.fit_groups(_scaled(spark, sf_dir), MODEL_FEATURES, KEY, "boosted")[1])
+
+
+def q_boosted_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19 of the boosted-tree classifier per (sector, fold)."""
+    pred, _ = boosting.fit_groups(_scaled(spark, sf_dir), MODEL_FEATURES, KEY, "boosted")
+    return rounded(metrics.classification_report(pred.where("role = 'test'"), [*KEY, "fold"]))
+
+
+def q_boosted_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 of the boosted-tree classifier per (sector, fold)."""
+    pred, _ = boosting.fit_groups(_scaled(spark, sf_dir), MODEL_FEATURES, KEY, "boosted")
+    return metrics.confusion(pred.where("role = 'test'"), [*KEY, "fold"])
+
+
+def q_adaboost_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 + M15 + M18 + M22 + M23: 50 AdaBoost stumps on every sector and fold."""
+    return _classifier_scores(_folds(spark, sf_dir), "adaboost")
+
+
+def q_boosted_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 + M15-M17: tuned boosted-tree regressor, RMSE and R2 of train and test rows."""
+    pred, _ = boosting.fit_groups(_scaled(spark, sf_dir), MODEL_FEATURES, KEY, "boosted_regression",
+                                  y="weighted_sector_returns")
+    g = [*KEY, "fold", "role"]
+    return rounded(metrics.rmse(pred, g, y="label").join(metrics.r2(pred, g, y="label"), g))
+
+
+def q_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M26: all six classifiers fitted on the first 80 % of every sector; accuracy of the
+    train and of the held-out rows."""
+    h = folds.ordered_holdout(_model_frame(spark, sf_dir), KEY, "date", 0.2)
+    h = cut_lineage(h.withColumn("fold", F.lit(0)))
+    sc = _scaled_from(h)
+    scores, _ = models.sweep_scores(sc.withColumn("label", F.col("label").cast("double")), MODEL_FEATURES,
+                                    KEY, CLASSIFIERS, "classification")
+    for name in ("adaboost", "boosted"):
+        pred, _ = boosting.fit_groups(sc, MODEL_FEATURES, KEY, name)
+        hit = (F.col("label") == F.col("prediction")).cast("double")
+        scores = scores.unionByName(pred.groupBy(F.lit(name).alias("model"), *KEY, "fold", "role").agg(
+            F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy")))
+    return rounded(scores.drop("fold"))
+
+
 def q_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F16 + S6: parse the JSON ``props`` payload of every event; unparsable rows are
     counted as rejects, per event type."""
@@ -401,6 +467,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classifier_sweep": q_classifier_sweep,
         "regressor_sweep": q_regressor_sweep,
         "feature_importance": q_feature_importance,
+        "boosted_scores": q_boosted_scores,
+        "boosted_importance": q_boosted_importance,
+        "boosted_report": q_boosted_report,
+        "boosted_confusion": q_boosted_confusion,
+        "boosted_regression": q_boosted_regression,
+        "adaboost_scores": q_adaboost_scores,
+        "holdout_scores": q_holdout_scores,
         **(llm.queries() if llm else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }

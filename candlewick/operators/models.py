@@ -116,9 +116,8 @@ def regressor(name: str, n_train: int | None = None, y_std: float | None = None)
     lasso:      regParam = alpha, elasticNet 1
     elasticnet: l1 = 0.5, l2 = 0.5 * sd(y) -> regParam = l1 + l2, ratio = l1 / (l1 + l2)
     tree:       DecisionTreeRegressor (maxDepth 30 is Spark's ceiling)
-    gbt / gbt_tuned: boosted trees with the default / tuned settings
     """
-    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+    from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
     sd = y_std or 1.0
     if name == "ridge":
         return LinearRegression(regParam=1.0 / max(n_train or 1, 1) * sd, elasticNetParam=0.0,
@@ -133,19 +132,12 @@ def regressor(name: str, n_train: int | None = None, y_std: float | None = None)
                                 standardization=False, labelCol="label", tol=1e-10, maxIter=1000)
     if name == "tree":
         return DecisionTreeRegressor(maxDepth=30, labelCol="label", seed=42)
-    if name == "gbt":
-        return GBTRegressor(maxDepth=6, maxIter=100, stepSize=0.3, labelCol="label", seed=42)
-    if name == "gbt_tuned":
-        return GBTRegressor(maxDepth=2, maxIter=300, stepSize=0.01, subsamplingRate=0.6,
-                            featureSubsetStrategy="0.6", minInstancesPerNode=20,
-                            labelCol="label", seed=42)
     raise ValueError(name)
 
 
 def classifier(name: str, n_train: int | None = None):
     """Spark ML counterparts of the reference's classifiers (defaults mapped)."""
-    from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
-                                           LogisticRegression, NaiveBayes,
+    from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression, NaiveBayes,
                                            RandomForestClassifier)
     if name == "logistic":
         return LogisticRegression(regParam=1.0 / max(n_train or 1, 1), elasticNetParam=0.0,
@@ -156,57 +148,9 @@ def classifier(name: str, n_train: int | None = None):
         return RandomForestClassifier(numTrees=100, maxDepth=30, labelCol="label", seed=42)
     if name == "naive_bayes_ml":
         return NaiveBayes(modelType="gaussian", labelCol="label")
-    if name == "gbt":
-        return GBTClassifier(maxDepth=6, maxIter=100, stepSize=0.3, labelCol="label", seed=42)
-    if name == "gbt_tuned":
-        return GBTClassifier(maxDepth=2, maxIter=300, stepSize=0.01, subsamplingRate=0.6,
-                             featureSubsetStrategy="0.6", minInstancesPerNode=20,
-                             labelCol="label", seed=42)
     raise ValueError(name)
 
 
-def adaboost_stumps(train: DataFrame, test: DataFrame, features: Sequence[str],
-                    n_estimators: int = 50, ckpt_every: int = 10) -> DataFrame:
-    """M13 ``AdaBoostClassifier()`` (SAMME, 50 depth-1 stumps) on Spark ML trees.
-
-    Sample weights live in a DataFrame column and are updated in SQL each round; the
-    lineage is cut with a reliable checkpoint every ``ckpt_every`` rounds.
-    """
-    from pyspark.ml.classification import DecisionTreeClassifier
-    from candlewick.session import cut_lineage
-    n = train.count()                       # scalar action; no single-task window
-    tr = _assembled(train, features).withColumn("__w", F.lit(1.0 / max(n, 1)))
-    te = _assembled(test, features).withColumn("__score", F.lit(0.0))
-    for m in range(n_estimators):
-        stump = DecisionTreeClassifier(maxDepth=1, labelCol="label", weightCol="__w",
-                                       predictionCol="__p", rawPredictionCol="__raw",
-                                       probabilityCol="__prob").fit(tr)
-        tr = stump.transform(tr)
-        err = tr.agg((F.sum(F.when(F.col("__p") != F.col("label"), F.col("__w")))
-                      / F.sum("__w")).alias("e")).first()["e"] or 0.0
-        if err <= 0:
-            alpha = 1.0
-            te = stump.transform(te).withColumn(
-                "__score", F.col("__score") + F.when(F.col("__p") == 1, 1.0).otherwise(-1.0))
-            break
-        if err >= 0.5:
-            if m == 0:
-                raise ValueError("the first stump is no better than chance")
-            tr = tr.drop("__p", "__raw", "__prob")
-            break
-        alpha = math.log((1 - err) / err)
-        tr = (tr.withColumn("__w", F.col("__w") * F.when(F.col("__p") != F.col("label"),
-                                                          F.lit(math.exp(alpha))).otherwise(1.0))
-                .drop("__p", "__raw", "__prob"))
-        te = (stump.transform(te)
-              .withColumn("__score", F.col("__score")
-                          + F.lit(alpha) * F.when(F.col("__p") == 1, 1.0).otherwise(-1.0))
-              .drop("__p", "__raw", "__prob"))
-        if (m + 1) % ckpt_every == 0:
-            tr, te = cut_lineage(tr), cut_lineage(te)
-    return te.withColumn("prediction", (F.col("__score") > 0).cast("double")).drop("__score")
-
-
 def _group_filter(g: Sequence[str], gv: tuple) -> F.Column:
     cond = F.lit(True)
     for c, v in zip(g, gv):

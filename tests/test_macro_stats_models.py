@@ -149,9 +149,12 @@ def test_classification_report_zero_division(spark):
 
 
 def test_adaboost_stumps_learn_a_threshold(spark):
+    from candlewick.operators import boosting
     rng = np.random.default_rng(0)
     x = rng.normal(size=80)
-    pdf = pd.DataFrame({"x": x, "label": (x > 0.2).astype(float)})
-    df = spark.createDataFrame(pdf)
-    out = models.adaboost_stumps(df, df, ["x"], n_estimators=5).toPandas()
+    pdf = pd.DataFrame({"sector": "s", "fold": 0, "role": ["train"] * 40 + ["test"] * 40,
+                        "row_idx": range(80), "x": x, "label": (x > 0.2).astype(float)})
+    pred, weight = boosting.fit_groups(spark.createDataFrame(pdf), ["x"], ["sector"], "adaboost")
+    out = pred.toPandas()
     assert (out["prediction"] == out["label"]).mean() > 0.95
+    assert [tuple(r) for r in weight.collect()] == [("s", 0, "x", 1.0)]
