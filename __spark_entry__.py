@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from candlewick import sql_oracles as O
-from candlewick.operators.joins import broadcast_if_small
+from candlewick.operators.joins import broadcast_if_small, lookup_first, missing_keys
 from candlewick.functions.nulls import binary_label
 from candlewick.session import cut_lineage
 from candlewick.sources import files
@@ -137,6 +138,18 @@ def q_stationary_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.corr_screen(st, TRAIN_FEATURES, SCREEN_THRESHOLD, ["sector"]))
 
 
+def q_corr_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the screen flags, per sector."""
+    pairs = stats.corr_screen(_training(spark, sf_dir), TRAIN_FEATURES, SCREEN_THRESHOLD, ["sector"])
+    return stats.flagged_columns(pairs, ["sector"])
+
+
+def q_stationary_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 on every feature (all but the target changed), then the screen."""
+    st = training.stationary_transform(_training(spark, sf_dir), MODEL_FEATURES)
+    return rounded(stats.corr_screen(st, TRAIN_FEATURES, SCREEN_THRESHOLD, ["sector"]))
+
+
 def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count, mean, std, min, quartiles (exact), max per sector and feature."""
     return rounded(stats.describe(_training(spark, sf_dir), TRAIN_FEATURES, ["sector"]))
@@ -415,6 +428,50 @@ def q_symbol_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.max("symbol").alias("last_symbol"))
 
 
+def q_series_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """head(3) and tail(3) of every symbol's bars."""
+    b = S.bars(spark, sf_dir).select("symbol", "trade_date", "close_price")
+    w = Window.partitionBy("symbol")
+    n = b.withColumns({"head": F.row_number().over(w.orderBy("trade_date")) <= 3,
+                       "tail": F.row_number().over(w.orderBy(F.desc("trade_date"))) <= 3})
+    return rounded(n.where("head or tail").withColumnsRenamed({"head": "in_head", "tail": "in_tail"}))
+
+
+LISTED = ["T00001", "T00002", "T00003", "T00005", "T00008"]
+
+
+def q_sector_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 + P8 + P18: each member's first close, the shares of a symbol list, and members
+    without bars, per sector."""
+    bars = S.bars(spark, sf_dir).select("symbol", "trade_date", "close_price")
+    members = S.sector_members(spark, sf_dir)
+    first = lookup_first(bars, "symbol", ["close_price"], "trade_date")
+    missing = missing_keys(members, bars, "symbol").withColumn("missing", F.lit(1))
+    listed = S.shares(spark, sf_dir).where(F.col("symbol").isin(LISTED))
+    j = (members.join(first, "symbol", "left").join(missing, "symbol", "left")
+         .join(listed, "symbol", "left"))
+    return rounded(j.groupBy("sector").agg(
+        F.count(F.lit(1)).alias("members"), F.count("missing").alias("missing_bars"),
+        F.sum("close_price").alias("first_close_sum"),
+        F.sum("shares_outstanding").alias("listed_shares")))
+
+
+def q_payload_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S6: a JSON payload for each symbol, its array exploded again; payloads without the
+    array (symbols that end in 7) are routed to the rejects."""
+    record = F.struct(F.col("trade_date").cast("string").alias("trade_date"), "close_price", "volume")
+    text = F.when(F.col("symbol").endswith("7"), F.lit('{"message": "no data"}')).otherwise(
+        F.to_json(F.struct(F.collect_list(record).alias("prices"))))
+    payloads = S.bars(spark, sf_dir).groupBy("symbol").agg(text.alias("value"))
+    kind = StructType([f for f in files.PRICE_FIELDS if f.name in ("trade_date", "close_price", "volume")])
+    rows, rejects = files.explode_payload(payloads, "prices", kind, keep=["symbol"])
+    good = rows.groupBy("symbol").agg(F.lit(False).alias("rejected"), F.count("trade_date").alias("n_rows"),
+                                      F.sum("volume").alias("volume"))
+    bad = rejects.select("symbol", F.lit(True).alias("rejected"), F.lit(0).cast("long").alias("n_rows"),
+                         F.lit(0.0).alias("volume"))
+    return rounded(good.unionByName(bad))
+
+
 def q_sector_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 + P7 + P18 + J9: sector market cap from per-symbol lookups, with coverage."""
     bars = S.bars(spark, sf_dir)
@@ -464,6 +521,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_spine": q_month_spine,
         "symbol_batches": q_symbol_batches,
         "sector_market_cap": q_sector_market_cap,
+        "corr_flagged": q_corr_flagged,
+        "stationary_all": q_stationary_all,
+        "series_ends": q_series_ends,
+        "sector_lookup": q_sector_lookup,
+        "payload_prices": q_payload_prices,
         "classifier_sweep": q_classifier_sweep,
         "regressor_sweep": q_regressor_sweep,
         "feature_importance": q_feature_importance,
@@ -510,6 +572,11 @@ def oracle_sql() -> dict[str, str]:
         "bar_quality": O.BAR_QUALITY,
         "month_spine": O.MONTH_SPINE,
         "symbol_batches": O.SYMBOL_BATCHES,
+        "corr_flagged": O.CORR_FLAGGED,
+        "stationary_all": O.STATIONARY_ALL,
+        "series_ends": O.SERIES_ENDS,
+        "sector_lookup": O.SECTOR_LOOKUP,
+        "payload_prices": O.PAYLOAD_PRICES,
         "sector_market_cap": O.SECTOR_MARKET_CAP,
         **(llm.oracle_sql() if llm else {}),
         **({"pipeline": corpus_pipeline.ORACLE_SQL}

@@ -52,6 +52,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
 
 
+def read_macro(spark: SparkSession, path: str) -> DataFrame:
+    """S1 + P12: the monthly macro CSV, one row per month.
+
+    Adds ``line_no`` (file order, which the fill of ``year`` needs), trims names, and types
+    columns by name: ``year`` (text such as ``2017.0``), ``month_idx``, ``FR_Date``
+    (``MM/dd/yyyy``), lower-case ``month``, and doubles for every other column. Text that does
+    not parse is null.
+    """
+    from pyspark.sql import Window
+    raw = spark.read.option("header", True).csv(path)
+    raw = raw.toDF(*[c.strip() for c in raw.columns]).withColumn("line_no", F.monotonically_increasing_id())
+    kinds = {"year": lambda c: c.try_cast("double").cast("int"), "month": lambda c: F.lower(F.trim(c)),
+             "month_idx": lambda c: c.try_cast("double").cast("int"),
+             "FR_Date": lambda c: F.try_to_timestamp(c, F.lit("MM/dd/yyyy")).cast("date")}
+    typed = [kinds.get(c, lambda x: x.try_cast("double"))(F.col(f"`{c}`")).alias(c)
+             for c in raw.columns if c != "line_no"]
+    order = F.row_number().over(Window.orderBy("line_no"))       # one row a month
+    return raw.select(order.cast("int").alias("line_no"), *typed)
+
+
 def read_price_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
                       schema: StructType = PRICE_SCHEMA) -> DataFrame:
     """S2 + S4: every ``*.csv`` in a folder in one scan; a row's symbol falls back to the

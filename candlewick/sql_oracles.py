@@ -398,22 +398,34 @@ CORR_TARGET = f"""
     + (r4("1.0") if c == "weighted_sector_returns" else r4(f"corr({_q(c)}, weighted_sector_returns)"))
     + " AS corr FROM tf GROUP BY sector" for c in TRAIN_FEATURES)
 
-_PCT = ",\n".join(
-    f"{_q(c)} / lag({_q(c)}) OVER (PARTITION BY sector ORDER BY date) - 1 AS {_q(c)}"
-    for c in COLLINEAR)
-STATIONARY_CTE = f""",
+def stationary_cte(changed: list[str]) -> str:
+    """Relative changes of ``changed`` per sector, rows with a missing change dropped."""
+    pct = ",\n".join(f"{_q(c)} / lag({_q(c)}) OVER (PARTITION BY sector ORDER BY date) - 1 AS {_q(c)}"
+                     for c in changed)
+    return f""",
 st0 AS (
-  SELECT date, sector, {", ".join(_q(c) for c in TRAIN_FEATURES if c not in COLLINEAR)},
-         {_PCT}
+  SELECT date, sector, {", ".join(_q(c) for c in TRAIN_FEATURES if c not in changed)},
+         {pct}
   FROM tf),
-st AS (SELECT * FROM st0 WHERE {not_nan(*[_q(c) for c in COLLINEAR])}
-       AND {" AND ".join(f"isfinite({_q(c)})" for c in COLLINEAR)})"""
+st AS (SELECT * FROM st0 WHERE {not_nan(*[_q(c) for c in changed])}
+       AND {" AND ".join(f"isfinite({_q(c)})" for c in changed)})"""
+
+
+STATIONARY_CTE = stationary_cte(COLLINEAR)
+
+CORR_FLAGGED = f"SELECT DISTINCT sector, col_i FROM ({CORR_SCREEN}) s"
 
 STATIONARY_SCREEN = f"""
 SELECT * FROM ({_corr_matrix_sql("st", TRAIN_FEATURES, STATIONARY_CTE)}) m
 WHERE j < i AND NOT isnan(corr) AND abs(corr) > 0.85
 """
 
+_EVERY = [c for c in TRAIN_FEATURES if c != "weighted_sector_returns"]
+STATIONARY_ALL = f"""
+SELECT * FROM ({_corr_matrix_sql("st", TRAIN_FEATURES, stationary_cte(_EVERY))}) m
+WHERE j < i AND NOT isnan(corr) AND abs(corr) > 0.85
+"""
+
 DESCRIBE = f"""
 {TRAIN_WITH}
 """ + "\nUNION ALL\n".join(
@@ -697,6 +709,33 @@ SELECT batch, count(*) AS symbols, min(symbol) AS first_symbol, max(symbol) AS l
 FROM b GROUP BY batch
 """
 
+SERIES_ENDS = f"""
+WITH {BARS_CTE},
+n AS (SELECT symbol, trade_date, close_price,
+             row_number() OVER (PARTITION BY symbol ORDER BY trade_date) AS head_no,
+             row_number() OVER (PARTITION BY symbol ORDER BY trade_date DESC) AS tail_no FROM bars)
+SELECT symbol, trade_date, {r4("close_price")} AS close_price, head_no <= 3 AS in_head, tail_no <= 3 AS in_tail
+FROM n WHERE head_no <= 3 OR tail_no <= 3
+"""
+
+SECTOR_LOOKUP = f"""
+WITH {BARS_CTE}, {MEMBERS_CTE},
+f AS (SELECT symbol, arg_min(close_price, trade_date) AS first_close FROM bars GROUP BY 1)
+SELECT sector, count(*) AS members, CAST(count_if(f.symbol IS NULL) AS BIGINT) AS missing_bars,
+       {r4("sum(first_close)")} AS first_close_sum,
+       {r4("sum(CASE WHEN mem.symbol IN ('T00001', 'T00002', 'T00003', 'T00005', 'T00008') THEN shares END)")}
+         AS listed_shares
+FROM mem LEFT JOIN f ON f.symbol = mem.symbol GROUP BY sector
+"""
+
+PAYLOAD_PRICES = f"""
+WITH {BARS_CTE}
+SELECT symbol, symbol LIKE '%7' AS rejected,
+       CAST(CASE WHEN symbol LIKE '%7' THEN 0 ELSE count(*) END AS BIGINT) AS n_rows,
+       {r4("CASE WHEN symbol LIKE '%7' THEN 0.0 ELSE sum(volume) END")} AS volume
+FROM bars GROUP BY symbol
+"""
+
 SECTOR_MARKET_CAP = f"""
 WITH {BARS_CTE}, {MEMBERS_CTE},
 lastc AS (SELECT symbol, arg_max(close_price, trade_date) AS last_close FROM bars GROUP BY 1)

@@ -92,3 +92,22 @@ def test_sector_tree_path_is_not_a_pattern(spark, tmp_path):
     (root / "ICT").mkdir(parents=True)
     (root / "ICT" / "ABC_ENGINEERED").write_text("x")
     assert [tuple(r) for r in files.read_sector_tree(spark, str(root)).collect()] == [("ICT", "ABC")]
+
+
+def test_macro_csv_feeds_the_alignment(spark, tmp_path):
+    from candlewick.plans.macro import fill_year
+    from candlewick.sources import files
+    path = tmp_path / "macro_data(csv)"
+    path.write_text("year,month,month_idx, oil price (USD), avg._monthly,gdp & co_quarterly,FR_Date\n"
+                    "2017.0,January ,1,1.5,,01/31/2017\n,february,2,x,,02/28/2017\n"
+                    ",march,3,2.5,7.25,\n2018.0,january,1,3,,13/45/2018\n".replace("1.5,,", "1.5,,,").replace("x,,", "x,,,")
+                    .replace("2.5,7.25,", "2.5,,7.25,").replace("3,,13", "3,,,13"))
+    df = files.read_macro(spark, str(path))
+    assert df.columns == ["line_no", "year", "month", "month_idx", "oil price (USD)", "avg._monthly",
+                          "gdp & co_quarterly", "FR_Date"]
+    got = [tuple(r) for r in fill_year(df).orderBy("line_no").collect()]
+    import datetime as dt
+    assert got == [(1, 2017, "january", 1, 1.5, None, None, dt.date(2017, 1, 31)),
+                   (2, 2017, "february", 2, None, None, None, dt.date(2017, 2, 28)),
+                   (3, 2017, "march", 3, 2.5, None, 7.25, None),
+                   (4, 2018, "january", 1, 3.0, None, None, None)]
