@@ -43,23 +43,35 @@ SPAN = "array<struct<start:bigint,end:bigint>>"
 ROW = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def places(text: Column, found: Column, pattern: str) -> Column:
-    """Code-point spans of the matches ``found`` of ``pattern``: the pieces between them and
-    their own lengths add up to their places."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x).cast("long"))
+def places(text: Column, found: Column, pattern: str, keep: Column | None = None) -> Column:
+    """Code-point spans of the matches ``found`` of ``pattern`` (with ``keep``, an array of flags,
+    of the flagged ones): the pieces between them and their own lengths add up to their places.
+    The text is split once, outside of the fold, so the work is linear in its length."""
+    gaps = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
+                       lambda x: F.char_length(x).cast("long"))
+    pieces = F.zip_with(gaps, found, lambda gap, match: F.struct(
+        gap.alias("gap"), F.char_length(match).cast("long").alias("size")))
+    flags = F.transform(found, lambda _: F.lit(True)) if keep is None else keep
+    pieces = F.zip_with(pieces, flags, lambda p, k: F.struct(
+        p["gap"].alias("gap"), p["size"].alias("size"), k.alias("keep")))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def add(acc: Column, i: Column) -> Column:
-        first = acc["at"] + F.get(gaps, i)
-        end = first + F.char_length(F.get(found, i))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(
-            F.struct(first.alias("start"), end.alias("end")))).alias("spans"))
+    def add(acc: Column, p: Column) -> Column:
+        first = acc["at"] + p["gap"]
+        end = first + p["size"]
+        span = F.array(F.struct(first.alias("start"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(p["keep"], F.concat(acc["spans"], span))
+                        .otherwise(acc["spans"]).alias("spans"))
 
-    steps = F.sequence(F.lit(0), F.size(found) - 1)
-    return F.when(F.size(found) > 0, F.aggregate(steps, start, add, lambda acc: acc["spans"])
+    return F.when(F.size(found) > 0, F.aggregate(pieces, start, add, lambda acc: acc["spans"])
                   ).otherwise(F.array().cast(SPAN))
 
 
+def codes(string: Column) -> Column:
+    """Codes of an ASCII string's characters, in one pass over it."""
+    return F.transform(F.split(string, ""), lambda c: F.ascii(c))
+
+
 def _extract(text: Column, pattern: str, group: int, when: Column | None = None) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     none = F.array().cast("array<string>")
@@ -81,11 +93,13 @@ def base_matches(docs: DataFrame, text_col: str) -> DataFrame:
 
 def steps(samples: DataFrame) -> DataFrame:
     """``kind, a, b, n``: how often code b follows code a in the strings (kind, s)."""
-    at = F.explode(F.sequence(F.lit(1), F.char_length("s") - 1)).alias("i")
-    pair = samples.where(F.char_length("s") > 1).select("kind", "s", at)
-    code = lambda i: F.ascii(F.substring("s", i, 1))
-    return (pair.select("kind", code(F.col("i")).alias("a"), code(F.col("i") + 1).alias("b"))
-            .groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    long_enough = samples.where(F.char_length("s") > 1).select("kind", codes(F.col("s")).alias("c"))
+    rest = F.size("c") - 1
+    pair = F.zip_with(F.slice("c", F.lit(1), rest), F.slice("c", F.lit(2), rest),
+                      lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return (long_enough.select("kind", F.explode(pair).alias("x"))
+            .groupBy("kind", F.col("x.a").alias("a"), F.col("x.b").alias("b"))
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
@@ -119,10 +133,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> li
 
 
 def ratio(token: Column, table: Column) -> Column:
-    """Mean log-likelihood ratio per step of an ASCII token."""
-    code = lambda i: F.ascii(F.substring(token, i, 1))
-    total = F.aggregate(F.sequence(F.lit(1), F.char_length(token) - 1), F.lit(0.0),
-                        lambda acc, i: acc + F.get(table, code(i) * 128 + code(i + 1)))
+    """Mean log-likelihood ratio per step of an ASCII token, in one pass over it."""
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+
+    def add(acc: Column, code: Column) -> Column:
+        more = F.when(acc["last"] < 0, 0.0).otherwise(F.get(table, acc["last"] * 128 + code))
+        return F.struct(code.alias("last"), (acc["sum"] + more).alias("sum"))
+
+    total = F.aggregate(codes(token), start, add, lambda acc: acc["sum"])
     return total / (F.char_length(token) - 1)
 
 
@@ -143,13 +161,12 @@ def scan(docs: DataFrame, table: list[float], threshold: float = THRESHOLD,
     text = F.col("_text")
     long_value = F.transform("_value", lambda v: F.char_length(v) >= LEAST_VALUE)
     m = m.withColumns({
-        "_assign": F.filter(places(text, F.col("_assign"), ASSIGN),
-                            lambda s, i: F.get(long_value, i)),
+        "_assign": places(text, F.col("_assign"), ASSIGN, long_value),
         "_access": places(text, F.col("_access"), ACCESS),
         "_hex": places(text, F.col("_hex"), HEX),
         "_token": F.when(F.exists("_score", lambda x: x > threshold),
-                         F.filter(places(text, F.col("_token"), CANDIDATE),
-                                  lambda s, i: F.get("_score", i) > threshold))
+                         places(text, F.col("_token"), CANDIDATE,
+                                F.transform("_score", lambda x: x > threshold)))
         .otherwise(F.array().cast(SPAN))})
     m = m.withColumn("base_spans", F.array_sort(F.concat(
         *[_kind(F.col(c), k) for k, c in enumerate(("_assign", "_access", "_hex"))])).cast(ROW))
