@@ -141,8 +141,10 @@ def drop_common_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS,
     keys = C.row_keys(id_col, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                                 lambda s: ~F.array_contains("dropped", s["i"]))["x"], "\n")
+    # one split for each text; the numbers that stay come from a hash set, so work is linear
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
+    kept = F.transform(F.array(lines), lambda own: F.array_join(
+        F.transform(numbers, lambda i: F.get(own, i)), "\n"))[0]
     joined = base.withColumns({"key_a": keys[0], "key_b": keys[1]}).join(hits, ["key_a", "key_b"], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in base.columns],

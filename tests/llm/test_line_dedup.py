@@ -62,3 +62,13 @@ def test_perfect_hash(n):
     assert sorted(h.index(a, b)) == list(range(n))
     assert (h.count(a, b) == np.minimum(count, 65535)).all()
     assert (h.count(a ^ np.uint64(1), b) == 0).mean() > 0.999 if n else True
+
+
+def test_long_texts_with_many_common_lines(spark):
+    text = "\n".join(f"line {k % 2 * k}" for k in range(60_000))
+    own = "\n".join(f"own {k}\nline {k % 2 * k}" for k in range(60_000))
+    rows = [(k, text) for k in range(3)] + [(3, own)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["kept_text"], r["n_lines"], r["n_dropped"])
+           for r in D.drop_common_lines(docs, min_documents=4).collect()]
+    assert sorted(got) == sorted(brute(rows, 4))
