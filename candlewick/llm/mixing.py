@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from candlewick.llm import common as C
@@ -83,9 +83,11 @@ def balance(counts: DataFrame, targets: dict[str, float], means: dict[str, float
         at = _table(spark, [(k, 0.0, means[k], lam[k], 0.0, 0.0, 0) for k in todo])
         x = F.col("size") / F.col("mean")
         words = F.col("n") * F.col("size") * _rate()
+        # decimal sums don't depend on the order of rows, so reruns take the same steps
+        exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
         sums = (counts.join(F.broadcast(at), "source_key").groupBy("source_key")
-                .agg(F.sum(words).alias("got"),
-                     F.sum(F.when(_rate() < MOST, words * x).otherwise(0.0)).alias("slope")).collect())
+                .agg(exact(words).alias("got"),
+                     exact(F.when(_rate() < MOST, words * x).otherwise(0.0)).alias("slope")).collect())
         for r in sums:
             k, miss = r["source_key"], r["got"] - targets[r["source_key"]]
             if abs(miss) <= 1e-9 * targets[k] + 1e-6:
@@ -108,21 +110,21 @@ def offsets(rows: DataFrame, state: dict[str, dict]) -> dict[str, float]:
     low, width = {k: -1.0 for k in state}, {k: 2.0 for k in state}
     got = {k: s["floor"] for k, s in state.items()}
     for _ in range(ROUNDS):
-        at = _table(spark, [(k, 0.0, 0.0, 0.0, low[k], width[k], 0) for k in state])
+        at = _table(spark, [(k, state[k]["target"] - got[k], 0.0, 0.0, low[k], width[k], 0)
+                            for k in state]).withColumnRenamed("target", "room")
         j = rows.join(F.broadcast(at), "source_key").withColumn(
             "bin", F.floor((F.col("v") - F.col("shift")) / F.col("width") * BINS))
         hist = (j.where((F.col("bin") >= 0) & (F.col("bin") < BINS)).groupBy("source_key", "bin")
-                .agg(F.sum("size").alias("words")).collect())      # BINS rows a source at most
-        per: dict[str, dict[int, int]] = {}
-        for r in hist:
-            per.setdefault(r["source_key"], {})[r["bin"]] = r["words"]
-        for k, bins in per.items():
-            for b in range(BINS):
-                if got[k] + bins.get(b, 0) > state[k]["target"]:
-                    break
-                got[k] += bins.get(b, 0)
-            else:
-                b = BINS                         # all of them are taken
+                .agg(F.sum("size").alias("words"), F.min("room").alias("room")))
+        # BINS rows a source at most meet in a window; one row a source reaches the driver
+        upto = F.sum("words").over(Window.partitionBy("source_key").orderBy("bin"))
+        over = F.col("upto") > F.col("room")
+        found = (hist.withColumn("upto", upto).groupBy("source_key")
+                 .agg(F.min(F.when(over, F.col("bin"))).alias("bin"),
+                      F.sum(F.when(~over, F.col("words"))).alias("words")).collect())
+        for r in found:
+            k, b = r["source_key"], BINS if r["bin"] is None else r["bin"]     # none: all are taken
+            got[k] += r["words"] or 0
             low[k] += b * width[k] / BINS
             width[k] /= BINS
     return low

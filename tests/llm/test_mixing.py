@@ -59,6 +59,14 @@ def test_odd_rows(spark):
     assert M.mix(docs.limit(0)).count() == 0
 
 
+def test_order_of_rows_is_no_input(spark):
+    docs = Q.documents(spark, "/root/testdata/sf0.001").select("doc_id", "text", "source")
+    order = docs.repartition(7, "text").sortWithinPartitions(M.F.desc("doc_id"))
+    columns = ["doc_id", "rate", "copies", "taken"]
+    assert (sorted(map(tuple, M.mix(docs).select(columns).collect()))
+            == sorted(map(tuple, M.mix(order).select(columns).collect())))
+
+
 @pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 1], [0, 0], [5], [7, 0, 3, 1000]])
 def test_targets(sizes):
     t = M.source_targets(sizes)
