@@ -1,9 +1,10 @@
 """Document fingerprints by content-defined chunking.
 
-A gear hash runs over the UTF-8 bytes (32-byte window). A chunk ends where the hash matches a
+A gear hash runs over the UTF-8 bytes (6-byte window, the shortest chunk). A chunk ends where the hash matches a
 mask: a strict one below the normal size, a loose one beyond it (normalised chunking), at the
 latest at the longest size. Boundaries depend on nearby bytes only, so an edit changes the
-chunks around it and leaves the others. The fingerprint is the set of chunk digests with their
+chunks around it and leaves the others. The sizes hold for all texts; they are small enough that a
+text of some 40 bytes has several chunks. The fingerprint is the set of chunk digests with their
 lengths, as text: 16 hex digits of XXH3 and 3 of the length, sorted and comma-joined.
 
 Likeness of two fingerprints is their weighted containment: the bytes in common chunks over the
@@ -24,16 +25,18 @@ from pyspark.sql.types import StringType, StructField
 
 from candlewick.llm import common as C
 
-SHORTEST, NORMAL, LONGEST = 32, 128, 512
-STRICT_BITS, LOOSE_BITS = 8, 6
+SHORTEST, NORMAL, LONGEST = 6, 12, 48
+STRICT_BITS, LOOSE_BITS = 4, 2
+#: The top 6 bits only: a byte leaves the hash after 6 shifts, so no byte before the chunk counts.
 GEAR = (C.splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        >> np.uint64(32)).astype(np.uint32)
+        >> np.uint64(64 - SHORTEST)).astype(np.uint32) << np.uint32(32 - SHORTEST)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """h[i] = sum of GEAR[data[i - k]] << k over the last 32 bytes, by doubling."""
+    """h[i] = sum of GEAR[data[i - k]] << k over the last 8 bytes, by doubling; GEAR's low
+    bits are 0, so those from the seventh on add nothing."""
     h = GEAR[data]
-    for k in (1, 2, 4, 8, 16):
+    for k in (1, 2, 4):
         shifted = np.zeros_like(h)
         shifted[k:] = h[:-k] << np.uint32(k)
         h = h + shifted

@@ -62,3 +62,16 @@ def test_odd_rows(spark):
     f = {r["doc_id"]: r["fingerprint"] for r in K.fingerprints(docs.where("doc_id > 5")).collect()}
     assert K.likeness(K.parse(f[9]), K.parse(f[12])) > 0.95      # shifted by one byte
     assert K.fingerprints(docs).columns == ["doc_id", "text", "fingerprint"]
+
+
+def test_short_texts_are_near_their_edited_text(spark):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in Q.documents(spark, "/root/testdata/sf0.01").collect())
+    texts = [t for _, t in rows]
+    nexts = texts[1:] + texts[:1]
+    sets = [K.chunk_sets([t.encode() for t in x]) for x in (texts, list(map(Q.edited_text, texts, nexts)), nexts)]
+    for low, high, least in ((32, 128, 0.5), (128, 256, 0.65), (256, 512, 0.65)):
+        at = [k for k, t in enumerate(texts) if low <= len(t) < high and t != nexts[k]]
+        edited, following = ([K.likeness(sets[0][k], s[k]) for k in at] for s in sets[1:])
+        assert len(at) >= 8 and sum(edited) / len(at) > least
+        assert sum(following) / len(at) < 0.1
+        assert sum(a > b for a, b in zip(edited, following)) >= 0.95 * len(at)
