@@ -326,9 +326,17 @@ def _classifier_scores(f: DataFrame, name: str) -> DataFrame:
                    .select(*KEY, "fold", "train_accuracy", "test_accuracy", "baseline_accuracy", "beats_baseline"))
 
 
+# Boosted trees are fitted with both settings; the suffix of the fit's name for each.
+SETTINGS = {"tuned": "", "default": "_default"}
+
+
 def q_boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 + M15 + M18 + M22 + M23: tuned boosted-tree classifier on every sector and fold."""
-    return _classifier_scores(_folds(spark, sf_dir), "boosted")
+    """M14 + M15 + M18 + M22 + M23: tuned and default boosted-tree classifiers on every sector
+    and fold."""
+    f = _folds(spark, sf_dir)
+    tuned, default = (_classifier_scores(f, f"boosted{x}").withColumn("settings", F.lit(s))
+                      for s, x in SETTINGS.items())
+    return tuned.unionByName(default)
 
 
 def q_boosted_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,26 +362,35 @@ def q_adaboost_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_boosted_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8 + M15-M17: tuned boosted-tree regressor, RMSE and R2 of train and test rows."""
-    pred, _ = boosting.fit_groups(_scaled(spark, sf_dir), MODEL_FEATURES, KEY, "boosted_regression",
-                                  y="weighted_sector_returns")
+    """M8 + M15-M17: tuned and default boosted-tree regressors, RMSE and R2 of train and test
+    rows."""
+    sc = _scaled(spark, sf_dir)
     g = [*KEY, "fold", "role"]
-    return rounded(metrics.rmse(pred, g, y="label").join(metrics.r2(pred, g, y="label"), g))
+
+    def scores(settings: str) -> DataFrame:
+        pred, _ = boosting.fit_groups(sc, MODEL_FEATURES, KEY, f"boosted_regression{SETTINGS[settings]}",
+                                      y="weighted_sector_returns")
+        out = metrics.rmse(pred, g, y="label").join(metrics.r2(pred, g, y="label"), g)
+        return rounded(out).withColumn("settings", F.lit(settings))
+
+    return scores("tuned").unionByName(scores("default"))
 
 
 def q_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2 + M26: all six classifiers fitted on the first 80 % of every sector; accuracy of the
-    train and of the held-out rows."""
+    train and of the held-out rows. ``settings`` tells the two boosted-tree models apart."""
     h = folds.ordered_holdout(_model_frame(spark, sf_dir), KEY, "date", 0.2)
     h = cut_lineage(h.withColumn("fold", F.lit(0)))
     sc = _scaled_from(h)
     scores, _ = models.sweep_scores(sc.withColumn("label", F.col("label").cast("double")), MODEL_FEATURES,
                                     KEY, CLASSIFIERS, "classification")
-    for name in ("adaboost", "boosted"):
-        pred, _ = boosting.fit_groups(sc, MODEL_FEATURES, KEY, name)
+    scores = scores.withColumn("settings", F.lit("default"))
+    for name, settings, fit in (("adaboost", "default", "adaboost"),
+                                *[("boosted", s, f"boosted{x}") for s, x in SETTINGS.items()]):
+        pred, _ = boosting.fit_groups(sc, MODEL_FEATURES, KEY, fit)
         hit = (F.col("label") == F.col("prediction")).cast("double")
         scores = scores.unionByName(pred.groupBy(F.lit(name).alias("model"), *KEY, "fold", "role").agg(
-            F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy")))
+            F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"), F.lit(settings).alias("settings")))
     return rounded(scores.drop("fold"))
 
 

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 BINS = 64
-# The tuned settings of boosted trees.
+# The tuned and the default settings of boosted trees.
 TUNED = {"depth": 2, "rounds": 300, "rate": 0.01, "rows": 0.6, "columns": 0.6,
          "l1": 2.0, "l2": 10.0, "least_weight": 20.0}
+DEFAULT = {"depth": 6, "rounds": 100, "rate": 0.3, "rows": 1.0, "columns": 1.0,
+           "l1": 0.0, "l2": 1.0, "least_weight": 1.0}
 
 
 def binned(train: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -135,6 +137,8 @@ def adaboost(x: np.ndarray, y: np.ndarray, train: np.ndarray, rounds: int = 50)
 FITS: dict[str, tuple[str, Callable]] = {
     "boosted": ("classification", lambda x, y, t: boosted_trees(x, y, t, "classification")),
     "boosted_regression": ("regression", lambda x, y, t: boosted_trees(x, y, t, "regression")),
+    "boosted_default": ("classification", lambda x, y, t: boosted_trees(x, y, t, "classification", DEFAULT)),
+    "boosted_regression_default": ("regression", lambda x, y, t: boosted_trees(x, y, t, "regression", DEFAULT)),
     "adaboost": ("classification", adaboost),
 }
 

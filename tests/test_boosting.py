@@ -68,3 +68,18 @@ def test_queries(spark, name):
         assert rows["accuracy"].between(0, 1).all()
     else:
         assert rows["test_accuracy"].between(0, 1).all() and rows["train_accuracy"].between(0, 1).all()
+
+
+@pytest.mark.parametrize("name", ["boosted_scores", "boosted_regression", "holdout_scores"])
+def test_tuned_and_default_settings(spark, name):
+    rows = E.queries()[name](spark, SF001).toPandas()
+    if name == "holdout_scores":
+        rows = rows[(rows["model"] == "boosted") & (rows["role"] == "train")]
+        score = "accuracy"
+    elif name == "boosted_regression":
+        rows, score = rows[rows["role"] == "train"], "r2"
+    else:
+        score = "train_accuracy"
+    mean = rows.groupby("settings")[score].mean()
+    assert set(mean.index) == {"tuned", "default"} and rows["settings"].value_counts().nunique() == 1
+    assert mean["default"] > mean["tuned"]      # deep trees at rate 0.3 fit the train rows closer
