@@ -9,14 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
-from candlewick.llm import (bpe, chunks, language, licenses, line_dedup, mixing, quality, secrets,
-                            simhash, successors, suffix_dedup)
+from candlewick.llm import (bpe, centroids, chunks, hard_negatives, language, licenses, line_dedup, mixing,
+                            quality, secrets, simhash, successors, suffix_dedup)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def byte_vocabulary() -> bpe.Vocabulary:
     import public_tokenizers
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
@@ -126,12 +130,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("removed_lines"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (ids divisible by 100) among all rows; every seventh id gets
+    the next label first."""
+    rows = embeddings(spark, sf_dir)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.prepared(rows.withColumn("label", label)), F.col("id") % 100 == 0)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors after three rounds."""
+    return centroids.cluster(embeddings(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe": op1_bpe, "op2_chunks": op2_chunks, "op4_licenses": op4_licenses,
             "op3_line_dedup": op3_line_dedup,
             "op5_suffix_dedup": op5_suffix_dedup, "op6_language": op6_language, "op7_secrets": op7_secrets,
-            "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality}
+            "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality,
+            "op11_hard_negatives": op11_hard_negatives, "op13_centroids": op13_centroids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": line_dedup.OP3_SQL, "op10_quality": quality.OP10_SQL}
+    return {"op3_line_dedup": line_dedup.OP3_SQL, "op10_quality": quality.OP10_SQL,
+            "op11_hard_negatives": hard_negatives.OP11_SQL, "op13_centroids": centroids.OP13_SQL}
