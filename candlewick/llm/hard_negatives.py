@@ -66,12 +66,16 @@ def _anchor_blocks(anchors: DataFrame, blocks: int, extra: tuple[str, ...] = ())
             .groupBy("block").applyInArrow(pack, schema))
 
 
-def _meet(shards: DataFrame, blocks: DataFrame, n_blocks: int) -> DataFrame:
-    """Every shard with every block of anchors."""
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
-    own = blocks.select("block", *[F.col(c).alias(f"q_{c}") for c in blocks.columns if c != "block"])
-    dealt = shards.withColumn("block", every).repartition("shard", "block")
-    return dealt.join(own, "block").drop("block", "shard")
+def _meet(shards: DataFrame, blocks: DataFrame, n_shards: int, n_blocks: int) -> DataFrame:
+    """Every shard with every block of anchors, each pair a row. The number of partitions is given,
+    so adaptive execution does not gather the few, costly rows in one task."""
+    parts = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(n_shards * n_blocks, max(parts, n_shards))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    queries = blocks.select("block", *[F.col(c).alias(f"q_{c}") for c in blocks.columns if c != "block"])
+    here = shards.withColumn("block", every(n_blocks)).repartition(parts, "shard", "block")
+    there = queries.withColumn("shard", every(n_shards)).repartition(parts, "shard", "block")
+    return here.join(there.hint("shuffle_hash"), ["shard", "block"]).drop("block", "shard")
 
 
 def _search(pairs: DataFrame, schema: StructType, dims: int, books, extra: int,
@@ -166,7 +170,8 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = POSITIVES, negativ
     dims, n = often["dims"], often["n"]
     rows = rows.where(F.size("vec") == dims)
     books = M.fit_codebooks(rows, dims)
-    shards = C.shared_table(M.build_shards(rows, books, M.shard_count(n)), "multi-index")
+    n_shards = M.shard_count(n)
+    shards = C.shared_table(M.build_shards(rows, books, n_shards), "multi-index")
     anchors = rows.where(is_anchor)
     n_anchors = anchors.count()
     if not n_anchors:
@@ -176,7 +181,8 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = POSITIVES, negativ
     def first(shard, own, label, query, _):
         return list(best_of_label(shard, own, label, query, positives))
 
-    found = _search(_meet(shards, _anchor_blocks(anchors, n_blocks), n_blocks), POSITIVE, dims, books, 0, first)
+    met = _meet(shards, _anchor_blocks(anchors, n_blocks), n_shards, n_blocks)
+    found = _search(met, POSITIVE, dims, books, 0, first)
     rank = lambda *by: F.row_number().over(Window.partitionBy(*by[0]).orderBy(*by[1]))
     top = C.shared_table(
         found.withColumn("slot", rank(["anchor_id"], [F.desc("positive_score"), "positive_id"]) - 1)
@@ -193,7 +199,8 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = POSITIVES, negativ
         return [np.repeat(np.arange(len(windows)), times), np.concatenate([w[0] for w in windows]),
                 np.concatenate([w[1] for w in windows])]
 
-    near = _search(_meet(shards, _anchor_blocks(again, n_blocks, ("tops",)), n_blocks), NEGATIVE, dims, books, 1, second)
+    met = _meet(shards, _anchor_blocks(again, n_blocks, ("tops",)), n_shards, n_blocks)
+    near = _search(met, NEGATIVE, dims, books, 1, second)
     best = (near.withColumn("rank", rank(["anchor_id", "slot"], [F.desc("negative_score"), "negative_id"]))
             .where(F.col("rank") <= negatives))
     return best.join(top, ["anchor_id", "slot"]).select(*RESULT.names)
