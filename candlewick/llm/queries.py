@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
 from candlewick.llm import (bpe, centroids, chunks, hard_negatives, language, licenses, line_dedup, mixing,
-                            quality, secrets, simhash, successors, suffix_dedup)
+                            parity_join, quality, secrets, simhash, successors, suffix_dedup)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +138,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.prepared(rows.withColumn("label", label)), F.col("id") % 100 == 0)
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets are alike to nine tenths."""
+    out = parity_join.near_sets(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.col("n_grams").alias("n_shingles"), "component_id")
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all vectors after three rounds."""
     return centroids.cluster(embeddings(spark, sf_dir))
@@ -148,9 +154,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op3_line_dedup": op3_line_dedup,
             "op5_suffix_dedup": op5_suffix_dedup, "op6_language": op6_language, "op7_secrets": op7_secrets,
             "op8_simhash": op8_simhash, "op9_mixing": op9_mixing, "op10_quality": op10_quality,
-            "op11_hard_negatives": op11_hard_negatives, "op13_centroids": op13_centroids}
+            "op11_hard_negatives": op11_hard_negatives, "op12_ngram_join": op12_ngram_join,
+            "op13_centroids": op13_centroids}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": line_dedup.OP3_SQL, "op10_quality": quality.OP10_SQL,
-            "op11_hard_negatives": hard_negatives.OP11_SQL, "op13_centroids": centroids.OP13_SQL}
+            "op11_hard_negatives": hard_negatives.OP11_SQL, "op12_ngram_join": parity_join.OP12_SQL,
+            "op13_centroids": centroids.OP13_SQL}
