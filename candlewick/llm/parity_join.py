@@ -9,11 +9,12 @@ likeness of ``num / den`` or more, which says that their symmetric difference is
 2. Sizes fall into bands. A band allows ``d`` differences, so its sketches have d + 1 segments of 64
    bits; by the pigeonhole principle two linked sets agree in one segment at least. A set enters its
    own band and those whose sizes it can still link with, with a cell for each segment.
-3. Cells of equal segments are found by one sort; sets that meet are candidates. In each cell the
-   least set is the pivot, and the exact difference of every other set to the pivot is taken once. The
-   difference of two sets is the difference of their differences, so a cell verifies its pairs on
-   these short lists: first by the distance of parity sketches (a lower bound), then exactly.
-4. A cell gives a spanning forest of its links, not its pairs; components follow by star contraction.
+3. Cells of equal segments are found by one sort; sets that meet are candidates. The distance of
+   parity sketches of the whole sets splits a cell into groups that no link can leave.
+4. In each group the least set is the pivot, and the exact difference of every other set to the pivot
+   is taken once. The difference of two sets is the difference of their differences, so a group
+   verifies its pairs on these short lists: first by sketches again, then exactly.
+5. A group gives a spanning forest of its links, not its pairs; components follow by star contraction.
 
 Equal sets are one set throughout. Cells with more members than ``CELL`` (fewer for long texts) are
 cut into chunks; members that the pivot does not link meet every chunk, so no pair is lost and no
@@ -42,6 +43,8 @@ from candlewick.llm.components import components
 WORDS, NUM, DEN = 3, 90, 100
 #: Members of a cell that one task verifies, and n-grams of them all, at most.
 CELL, CELL_GRAMS = 1024, 2_000_000
+#: Members that share one copy of their pivot's set.
+STAR_MEMBERS = 256
 #: A band's largest size against its smallest.
 BAND = 1.2
 #: Words whose hashes a task remembers.
@@ -112,17 +115,39 @@ class Bands:
         return np.concatenate(out)
 
 
+def sketch_bits(n: int, num: int, den: int) -> int:
+    """Bits of the parity sketch of a whole set: four to eight times the differences it may have."""
+    return 1 << max(9, (8 * n * (den - num) // (den + num)).bit_length())
+
+
+def sketches(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Parity sketches of sets, one row of 64-bit words each."""
+    sizes = [len(d) for d in sets]
+    row = np.repeat(np.arange(len(sets)), sizes)
+    bit = (np.concatenate([*sets, np.empty(0, np.uint64)]) >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(row * bits + bit, minlength=len(sets) * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1).view(np.uint64)
+
+
+def folded(sketch: bytes, words: int) -> np.ndarray:
+    """The sketch of the same set with fewer bits."""
+    out = np.frombuffer(sketch, np.uint64)
+    while len(out) > words:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
 def gram_rows(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """One row a document: ``id``, row keys, ``node`` (its number), ``n``, a 128-bit digest of the
-    set and its ``cells``."""
+    set, its ``cells`` and the parity ``sketch`` of the whole set."""
     fields = [StructField("n", LongType()), StructField("set_a", LongType()), StructField("set_b", LongType()),
-              StructField("cells", ArrayType(LongType()))]
+              StructField("cells", ArrayType(LongType())), StructField("sketch", BinaryType())]
 
     def make():
         cache, bands = WordHashes(), Bands(num, den)
 
         def run(texts):
-            n, a, b, cells = [], [], [], []
+            n, a, b, cells, sketch = [], [], [], [], []
             for text in texts:
                 grams = gram_hashes(text, words, cache)
                 digest = xxhash.xxh3_128_digest(grams.tobytes())
@@ -130,8 +155,9 @@ def gram_rows(docs: DataFrame, words: int, num: int, den: int, id_col: str, text
                 a.append(int.from_bytes(digest[:8], "big", signed=True))
                 b.append(int.from_bytes(digest[8:], "big", signed=True))
                 cells.append(bands.cells(grams).view(np.int64))
+                sketch.append(sketches([grams], sketch_bits(len(grams), num, den)).tobytes())
             return [pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                    C.list_array(cells, pa.int64())]
+                    C.list_array(cells, pa.int64()), pa.array(sketch, pa.binary())]
         return run
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *C.row_keys(id_col, text_col))
@@ -206,6 +232,42 @@ def linked(n: np.ndarray, other: np.ndarray | int, difference: np.ndarray, num:
     return den * (both - difference) >= num * (both + difference)
 
 
+GROUP = StructType([StructField("pivot", LongType()), StructField("members", ArrayType(LongType()))])
+
+
+def groups(n: np.ndarray, sketch: np.ndarray, num: int, den: int) -> list[np.ndarray]:
+    """Positions of sets that the sketches' lower bound holds together, two or more a group."""
+    out, left = [], np.arange(len(n))
+    while len(left) > 1:
+        group, todo, left = [left[:1]], [int(left[0])], left[1:]
+        while todo and len(left):
+            x = todo.pop()
+            bound = np.bitwise_count(sketch[left] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+            near = linked(n[left], n[x], bound, num, den)
+            group.append(left[near])
+            todo += left[near].tolist()
+            left = left[~near]
+        if len(found := np.sort(np.concatenate(group))) > 1:
+            out.append(found)
+    return out
+
+
+def _groups(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            found = []
+            for k in range(batch.num_rows):
+                node, n, sketch = batch.column(0)[k].values.flatten()
+                node, n = node.to_numpy(), n.to_numpy()
+                words = min(sketch_bits(int(x), num, den) for x in n) // 64
+                rows = np.stack([folded(x, words) for x in sketch.to_pylist()])
+                order = np.argsort(node)
+                found += [node[order][g] for g in groups(n[order], rows[order], num, den)]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in found], pa.int64()),
+                                              C.list_array(found, pa.int64())], names=GROUP.names)
+    return run
+
+
 STAR = StructType([StructField("pivot", LongType()), StructField("node", LongType()), StructField("n", LongType()),
                    StructField("linked", BooleanType()), StructField("delta", BinaryType())])
 
@@ -228,24 +290,13 @@ def _differences(num: int, den: int):
     return run
 
 
-def sketches(deltas: list[np.ndarray], bits: int) -> np.ndarray:
-    """Parity sketches of sets, one row of 64-bit words each."""
-    sizes = [len(d) for d in deltas]
-    row = np.repeat(np.arange(len(deltas)), sizes)
-    bit = (np.concatenate([*deltas, np.empty(0, np.uint64)]) >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64)
-    odd = np.bincount(row * bits + bit, minlength=len(deltas) * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1).view(np.uint64)
-
-
 def forest(n: np.ndarray, deltas: list[np.ndarray], with_pivot: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
     """Spanning forest (pairs of positions) of the links among a cell's members that the pivot's own
     links leave apart."""
     left = np.flatnonzero(~with_pivot)
     if not len(left):
         return []
-    most = 2 * int(n.max()) * (den - num) // (den + num)
-    bits = min(8192, 1 << max(9, (4 * most).bit_length()))
-    sketch = sketches(deltas, bits)
+    sketch = sketches(deltas, min(8192, sketch_bits(int(n.max()), num, den)))
     sizes = np.fromiter(map(len, deltas), np.int64, len(deltas))
     starts = np.cumsum(sizes) - sizes
     grams, code = np.unique(np.concatenate(deltas), return_inverse=True)
@@ -290,11 +341,10 @@ def _forests(num: int, den: int):
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``node, grams`` of the wanted documents (node, key_a, key_b)."""
-    # equal rows are narrowed to one before they meet, so no key is hot
-    texts = (docs.select(F.col(text_col).alias("text"), *C.row_keys(id_col, text_col))
-             .groupBy("key_a", "key_b").agg(F.first("text").alias("text")))
-    found = texts.join(wanted, ["key_a", "key_b"]).select("node", "text")
+    """``node, grams`` of the wanted documents (node, key_a, key_b, copies: rows with this set)."""
+    texts = docs.select(F.col(text_col).alias("text"), *C.row_keys(id_col, text_col))
+    found = (C.join_counted(texts, wanted, ["key_a", "key_b"], "copies")
+             .groupBy("node").agg(F.first("text").alias("text")))          # equal rows
 
     def make():
         cache = WordHashes()
@@ -303,20 +353,23 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col:
     return C.with_text_columns(found, "text", [StructField("grams", BinaryType())], make).drop("text")
 
 
-def _star(docs: DataFrame, rows: DataFrame, met: DataFrame, words: int, num: int, den: int, id_col: str,
-          text_col: str) -> DataFrame:
+def _star(docs: DataFrame, rows: DataFrame, nodes: DataFrame, met: DataFrame, words: int, num: int, den: int,
+          id_col: str, text_col: str) -> DataFrame:
     """The exact difference of every member to its pivots: ``pivot, node, n, linked, delta``."""
-    salts = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pairs = C.shared_table(
-        met.select("pivot", F.explode("members").alias("node")).where("pivot <> node").distinct()
-        .withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts))), "candidate-pairs")
-    nodes = pairs.select("node").unionByName(pairs.select(F.col("pivot").alias("node"))).distinct()
-    wanted = rows.select("node", "key_a", "key_b").join(nodes, "node")
+    pairs = C.shared_table(met.select("pivot", F.explode("members").alias("node")).where("pivot <> node").distinct(),
+                           "candidate-pairs")
+    # a pivot with many members is copied, and its members dealt over the copies
+    pivots = C.shared_table(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("k")).withColumn(
+        "salts", F.ceil(F.col("k") / STAR_MEMBERS)), "pivots")
+    there = pairs.select("node").unionByName(pivots.select(F.col("pivot").alias("node"))).distinct()
+    wanted = C.shared_table(rows.select("node", "key_a", "key_b").join(nodes.join(there, "node"), "node"), "wanted-rows")
     sets = C.shared_table(_sets(docs, wanted, words, id_col, text_col), "candidate-sets")
-    # a pivot is copied to the salts that its members have, so a hot pivot's members stay spread
-    pivots = (pairs.select("pivot", "salt").distinct()
-              .join(sets.select(F.col("node").alias("pivot"), F.col("grams").alias("pivot_grams")), "pivot"))
-    both = (pairs.join(sets, "node").join(pivots, ["pivot", "salt"])
+    dealt = (C.join_counted(pairs, pivots, ["pivot"], "k")
+             .withColumn("salt", F.pmod(F.xxhash64("node"), "salts")).select("pivot", "node", "salt"))
+    copies = (pivots.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+              .join(sets.select(F.col("node").alias("pivot"), F.col("grams").alias("pivot_grams")), "pivot")
+              .select("pivot", "salt", "pivot_grams"))
+    both = (dealt.join(sets, "node").join(copies, ["pivot", "salt"])
             .select("pivot", "node", "grams", "pivot_grams"))
     return C.shared_table(both.mapInArrow(_differences(num, den), STAR), "differences")
 
@@ -324,14 +377,18 @@ def _star(docs: DataFrame, rows: DataFrame, met: DataFrame, words: int, num: int
 def links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
           id_col: str = "doc_id", text_col: str = "text", cell: int = CELL) -> DataFrame:
     """Edges (a, b) whose components are those of all links among the sets of ``nodes`` (numbers of
-    ``rows``, see ``gram_rows``)."""
+    ``rows``, see ``gram_rows``, and in ``copies`` the rows with their sets)."""
     keys = rows.join(nodes, "node", "left_semi").select(F.explode("cells").alias("cell"), "node", "n")
     met = (keys.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_meet(cell), MET))
     met = C.shared_table(met, "met")
-    few = met.where(~F.col("many")).dropDuplicates(["members"])
+    small = C.shared_table(met.where(~F.col("many")).select("members").distinct()
+                           .withColumn("no", F.monotonically_increasing_id()), "small-cells")
+    near = (small.select("no", F.explode("members").alias("node")).join(rows.select("node", "n", "sketch"), "node")
+            .groupBy("no").agg(F.collect_list(F.struct("node", "n", "sketch")).alias("m")).select("m")
+            .mapInArrow(_groups(num, den), GROUP).distinct())
+    few = C.shared_table(near, "groups")
     many = met.where(F.col("many"))
-    star = _star(docs, rows, few.select("pivot", "members").unionByName(many.select("pivot", "members")),
-                 words, num, den, id_col, text_col)
+    star = _star(docs, rows, nodes, few.unionByName(many.select("pivot", "members")), words, num, den, id_col, text_col)
     # of a cell in chunks, members apart from the pivot meet every chunk
     apart = (many.select("cell", "chunk", "pivot", F.explode("members").alias("node"))
              .join(star.where(~F.col("linked")).select("pivot", "node"), ["pivot", "node"])
@@ -357,7 +414,7 @@ def near_sets(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DE
     rows = C.shared_table(gram_rows(docs, words, num, den, id_col, text_col), "gram-rows")
     sets = C.shared_table(rows.where("n > 0").groupBy("set_a", "set_b").agg(
         F.min("node").alias("node"), F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")), "sets")
-    edges = links(docs, rows, sets.select("node"), words, num, den, id_col, text_col, cell)
+    edges = links(docs, rows, sets.select("node", "copies"), words, num, den, id_col, text_col, cell)
     roots = components(edges).withColumnRenamed("root", "set_root")
     rooted = C.shared_table(sets.join(roots, "node", "left").withColumn(
         "set_root", F.coalesce("set_root", "node")), "rooted-sets")
