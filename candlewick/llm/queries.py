@@ -85,12 +85,16 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of repeated 400-byte strings removed from every text."""
+    """Bytes of repeated 400-byte strings removed from every text: the contract's figures, then the
+    verdict (``removed``: the text loses bytes), the removed byte ranges and what is left as text."""
     out = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ranges = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("removed"),
+                      F.array_join(ranges, ",").alias("removed_ranges"),
+                      F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
