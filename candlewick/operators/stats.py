@@ -9,39 +9,123 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from candlewick.functions.columns import col
 
 NAN = float("nan")
 
 
-def _ok(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c)
+#: Groups whose moments a task holds at a time; more are passed on in parts.
+GROUPS_HELD = 64
+#: A variance below this share of the mean square about the shift is rounding: a constant column.
+CONSTANT = 1e-13
+MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+class _Moments:
+    """Pairwise-complete moments of one group about a shift, as blocks of matrix products."""
+
+    def __init__(self, k: int, rows: list[int], cols: list[int]):
+        self.rows, self.cols = rows, cols
+        self.shift, self.known = np.zeros(k), np.zeros(k, bool)
+        self.sums = [np.zeros((len(rows), len(cols))) for _ in MOMENTS]
+
+    def add(self, x: np.ndarray, there: np.ndarray) -> None:
+        for c in np.flatnonzero(~self.known & there.any(axis=0)):     # the first value of a column
+            self.shift[c], self.known[c] = x[there[:, c].argmax(), c], True
+        v = np.where(there, x, self.shift) - self.shift
+        m = there.astype(np.float64)
+        vi, vj, mi, mj = v[:, self.rows], v[:, self.cols], m[:, self.rows], m[:, self.cols]
+        parts = (mi.T @ mj, vi.T @ mj, mi.T @ vj, (vi * vi).T @ mj, mi.T @ (vj * vj), vi.T @ vj)
+        for total, part in zip(self.sums, parts):
+            total += part
+
+
+def _group_codes(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(group of every row, first row of every group) by the first n columns."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for c in range(n):
+        own = batch.column(c).dictionary_encode(null_encoding="encode")
+        code = code * len(own.dictionary) + own.indices.to_numpy(zero_copy_only=False)
+        code = np.unique(code, return_inverse=True)[1]
+    return code, np.unique(code, return_index=True)[1]
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[int, int]],
                group: Sequence[str] = ()) -> DataFrame:
     """Pearson of column pairs over pairwise-complete rows: (group..., i, j, corr).
 
-    One aggregation with map-side partials: every pair is three moments of the same pass
-    (covariance and the two variances over rows where both are present), so what reaches
-    the shuffle is one row per group and task, and nothing is expanded before it. NaN for a
-    constant column or fewer than two rows, as pandas.
+    Blocked Gram aggregation: each Arrow batch adds the matrix products of its mask, values and
+    squared values to its group's blocks, so no expression is built for a pair. A task passes on
+    one row a pair and group, moments about a value of its own; the rows of a pair are moved to a
+    common shift, which is near the data, and added up. Infinite values are missing ones; NaN for a
+    constant column or fewer than two rows; all as pandas.
     """
-    x = [F.when(_ok(col(c)), col(c).cast("double")) for c in cols]
-    items = []
-    for i, j in pairs:
-        n = F.count(F.when(x[i].isNotNull() & x[j].isNotNull(), 1))
-        vi = F.var_pop(F.when(x[j].isNotNull(), x[i]))
-        vj = F.var_pop(F.when(x[i].isNotNull(), x[j])) if i != j else vi
-        r = F.lit(1.0) if i == j else F.greatest(F.lit(-1.0), F.least(
-            F.lit(1.0), F.covar_pop(x[i], x[j]) / F.sqrt(vi * vj)))
-        items.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                              F.when((n < 2) | (F.sqrt(vi * vj) == 0), F.lit(NAN)).otherwise(r).alias("corr")))
-    found = F.array(*items).alias("pairs")
-    one = df.groupBy(*group).agg(found) if group else df.agg(found)
-    return one.select(*group, F.explode("pairs").alias("p")).select(*group, "p.*")
+    k, g = len(cols), len(group)
+    rows, columns = sorted({i for i, _ in pairs}), sorted({j for _, j in pairs})
+    at = [(rows.index(i), columns.index(j)) for i, j in pairs]
+    pair_i, pair_j = (np.array([p[x] for p in pairs], np.int32) for x in (0, 1))
+    at_i, at_j = (np.array([p[x] for p in at], np.int64) for x in (0, 1))
+    slim = df.select(*[col(c) for c in group], *[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    names = ["i", "j", *MOMENTS, "shift_i", "shift_j"]
+    schema = StructType([*slim.schema.fields[:g], *[StructField(n, IntegerType()) for n in names[:2]],
+                         *[StructField(n, DoubleType()) for n in names[2:]]])
+
+    def passed_on(held: dict[tuple, _Moments], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        keys = [np.repeat(np.arange(len(held)), len(pairs)), list(held)]
+        group_columns = [pa.array([key[c] for key in keys[1]], kinds[c]).take(pa.array(keys[0])) for c in range(g)]
+        own = list(held.values())
+        of_pairs = lambda f: pa.array(np.concatenate([f(m) for m in own]))
+        return pa.RecordBatch.from_arrays(
+            [*group_columns, pa.array(np.tile(pair_i, len(own))), pa.array(np.tile(pair_j, len(own))),
+             *[of_pairs(lambda m, x=x: m.sums[x][at_i, at_j]) for x in range(len(MOMENTS))],
+             of_pairs(lambda m: m.shift[pair_i]), of_pairs(lambda m: m.shift[pair_j])], names=schema.names)
+
+    def run(batches):
+        held: dict[tuple, _Moments] = {}
+        kinds: list[pa.DataType] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [batch.column(c).type for c in range(g)]
+            x = np.column_stack([batch.column(g + c).to_numpy(zero_copy_only=False) for c in range(k)]).astype(np.float64)
+            code, first = _group_codes(batch, g)
+            there = np.isfinite(x)                         # nulls arrive as NaN
+            for n, row in enumerate(first.tolist()):
+                key = tuple(batch.column(c)[row].as_py() for c in range(g))
+                if key not in held and len(held) >= GROUPS_HELD:
+                    yield passed_on(held, kinds)
+                    held = {}
+                mine = code == n
+                held.setdefault(key, _Moments(k, rows, columns)).add(x[mine], there[mine])
+        if held:
+            yield passed_on(held, kinds)
+
+    parts = slim.mapInArrow(run, schema)
+    by = [*group, "i", "j"]
+    w = Window.partitionBy(*[col(c) for c in by])
+    # moments about c = s + d:  sum(x-c) = sum(x-s) - n d, and so on; d is a distance between values
+    seen = F.col("n") > 0                     # pairs without a common row stay, as NaN
+    moved = (parts.withColumns({"ci": F.min(F.when(seen, F.col("shift_i"))).over(w),
+                                "cj": F.min(F.when(seen, F.col("shift_j"))).over(w)})
+             .withColumns({"di": F.col("ci") - F.col("shift_i"), "dj": F.col("cj") - F.col("shift_j")}))
+    n, sx, sy, di, dj = (F.col(c) for c in ("n", "sx", "sy", "di", "dj"))
+    sums = moved.groupBy(*[col(c) for c in by]).agg(
+        F.sum(n).alias("n"), F.sum(sx - n * di).alias("sx"), F.sum(sy - n * dj).alias("sy"),
+        F.sum(F.col("sxx") - 2 * di * sx + n * di * di).alias("sxx"),
+        F.sum(F.col("syy") - 2 * dj * sy + n * dj * dj).alias("syy"),
+        F.sum(F.col("sxy") - dj * sx - di * sy + n * di * dj).alias("sxy"))
+    vx, vy = (F.col(f"s{a}{a}") - F.col(f"s{a}") * F.col(f"s{a}") / n for a in "xy")
+    cov = F.col("sxy") - sx * sy / n
+    flat = (vx <= CONSTANT * F.col("sxx")) | (vy <= CONSTANT * F.col("syy"))
+    r = cov / F.sqrt(vx * vy)
+    r = F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    corr = F.when(n.isNull() | (n < 2) | flat, F.lit(NAN)).otherwise(r)
+    return sums.select(*[col(c) for c in group], "i", "j", corr.alias("corr"))
 
 
 def _named(pairs: DataFrame, cols: Sequence[str], group: Sequence[str]) -> DataFrame:

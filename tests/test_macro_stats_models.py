@@ -63,6 +63,51 @@ def test_lag_features_dispatch(spark):
     assert r.cpi_monthly_lag1 == 20.0 and r["cpi_monthly_lag-1"] == 40.0
 
 
+def test_corr_at_eighty_columns_equals_pandas(spark):
+    rng = np.random.default_rng(8)
+    k, n = 80, 3000
+    x = rng.normal(size=(n, k)) @ rng.normal(size=(k, k)) * 0.2 + rng.normal(size=(n, k))
+    x += 10.0 ** rng.integers(-3, 9, k)                       # levels far from zero
+    x[rng.random((n, k)) < 0.1] = np.nan
+    x[:, 7] = 3.25                                            # constant
+    x[:, 9] = np.nan                                          # never there
+    x[::2, 11], x[1::2, 12] = np.nan, np.nan                  # never there together
+    x[5, 13] = np.inf
+    pdf = pd.DataFrame(x, columns=[f"c {i}.x" for i in range(k)])
+    pdf["g"] = [None if i % 3 == 0 else f"g{i % 3}" for i in range(n)]
+    df = spark.createDataFrame(pdf).repartition(7)
+    got = stats.corr_long(df, list(pdf.columns[:k]), ["g"]).toPandas()
+    assert len(got) == 3 * k * k
+    for g, part in got.groupby("g", dropna=False):
+        want = pdf[pdf["g"].isna() if pd.isna(g) else pdf["g"] == g][pdf.columns[:k]]
+        with np.errstate(invalid="ignore"):
+            want = want.corr().to_numpy()
+        m = np.full((k, k), 9.0)
+        m[part["i"], part["j"]] = part["corr"]
+        level = 1e-5                                          # pandas' own error at levels of 1e8
+        assert np.array_equal(np.isnan(m), np.isnan(want))
+        assert np.nanmax(np.abs(m - want)) < level
+
+
+def test_corr_shift_keeps_small_variances_on_high_levels(spark):
+    x = np.arange(1000.0)
+    df = spark.createDataFrame(pd.DataFrame({"a": 1e12 + x, "b": 1e12 - x, "c": 1e12 + (x % 2)})).repartition(5)
+    m = {(r.i, r.j): r.corr for r in stats.corr_long(df, ["a", "b", "c"]).collect()}
+    assert m[(0, 1)] == pytest.approx(-1, abs=1e-12)
+    assert m[(0, 2)] == pytest.approx(np.corrcoef(x, x % 2)[0, 1], rel=1e-9)
+
+
+def test_corr_holds_few_groups_at_a_time(spark):
+    n = stats.GROUPS_HELD * 3 + 1
+    rows = [(g, float(v), float((v * g) % 5)) for g in range(n) for v in range(6)]
+    df = spark.createDataFrame(rows, "g int, a double, b double").repartition(3)
+    got = {(r.g, r.i, r.j): r.corr for r in stats.corr_long(df, ["a", "b"], ["g"]).collect()}
+    assert len(got) == 4 * n
+    want = pd.DataFrame(rows, columns=["g", "a", "b"]).groupby("g")[["a", "b"]].corr()
+    for g in range(n):
+        assert got[(g, 0, 1)] == pytest.approx(want.loc[(g, "a"), "b"], abs=1e-12, nan_ok=True)
+
+
 def test_corr_constant_column_is_nan_and_screen_lower_triangle(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=50)
