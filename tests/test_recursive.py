@@ -36,30 +36,86 @@ def _loop_ema(x, n, start=0):
     return out
 
 
-def test_rsi_macd_match_loop_rules():
+def _pandas_ewm(x, alpha):
+    return pd.Series(x).replace([np.inf, -np.inf], np.nan).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+
+
+def _momentum(spark, series, **kw):
+    """Columns of add_momentum by key, from lists of prices."""
+    rows = [(k, i, None if v is None else float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "symbol string, d int, close_price double").repartition(4)
+    out = recursive.add_momentum(df, "symbol", "d", "close_price", **kw).toPandas().sort_values("d")
+    return {k: g.reset_index(drop=True) for k, g in out.groupby("symbol")}
+
+
+def test_rsi_macd_match_loop_rules(spark):
     rng = np.random.default_rng(11)
-    x = list(100 + np.cumsum(rng.normal(0, 2, 300)))
-    s = pd.Series(x)
-    np.testing.assert_allclose(recursive.rsi(s).to_numpy(), _loop_rsi(x), rtol=1e-10,
-                               equal_nan=True)
-    line, hist, sig = recursive.macd(s)
-    e12, e26 = _loop_ema(x, 12), _loop_ema(x, 26)
-    exp_line = [a - b for a, b in zip(e12, e26)]
-    np.testing.assert_allclose(line.to_numpy(), exp_line, rtol=1e-10, equal_nan=True)
-    exp_sig = _loop_ema([0.0 if math.isnan(v) else v for v in exp_line], 9, start=25)
-    np.testing.assert_allclose(sig.to_numpy()[33:], exp_sig[33:], rtol=1e-10)
-    assert np.isnan(sig.to_numpy()[:33]).all()
-    np.testing.assert_allclose(hist.to_numpy()[33:], (line - sig).to_numpy()[33:])
-
-
-def test_rsi_edge_cases():
-    flat = pd.Series([5.0] * 30)
-    assert recursive.rsi(flat).isna().all()                 # 0 / 0
-    fall_then_flat = pd.Series([6.0] + [5.0] * 29)
-    assert recursive.rsi(fall_then_flat).dropna().eq(0.0).all()
+    series = {str(n): list(100 + np.cumsum(rng.normal(0, 2, n))) for n in (1, 2, 14, 15, 16, 26, 34, 35, 300, 1200)}
+    for k, g in _momentum(spark, series).items():
+        x = series[k]
+        np.testing.assert_allclose(g["stock_RSI"], _loop_rsi(x), rtol=1e-10, equal_nan=True)
+        line = np.array(_loop_ema(x, 12)) - np.array(_loop_ema(x, 26))
+        sig = np.full(len(x), np.nan)
+        if len(x) > 33:
+            sig[25:] = _loop_ema(list(line[25:]), 9)
+        np.testing.assert_allclose(g["MACD"], line, rtol=1e-9, atol=1e-11, equal_nan=True)
+        np.testing.assert_allclose(g["MACD_signal"], sig, rtol=1e-9, atol=1e-11, equal_nan=True)
+        np.testing.assert_allclose(g["MACD_hist"], line - sig, rtol=1e-9, atol=1e-10, equal_nan=True)
+
+
+def test_a_hundred_thousand_bars_agree_with_the_loop(spark):
+    rng = np.random.default_rng(12)
+    x = list(1000 + np.cumsum(rng.normal(0, 1, 100_000)))
+    g = _momentum(spark, {"long": x})["long"]
+    line = np.array(_loop_ema(x, 12)) - np.array(_loop_ema(x, 26))
+    assert np.nanmax(np.abs(g["stock_RSI"].to_numpy() - _loop_rsi(x))) < 1e-9
+    assert np.nanmax(np.abs(g["MACD"].to_numpy() - line)) < 1e-9
+    assert np.nanmax(np.abs(g["MACD_signal"].to_numpy()[25:] - _loop_ema(list(line[25:]), 9))) < 1e-9
+
+
+def test_missing_and_infinite_values_decay_as_in_pandas(spark):
+    rng = np.random.default_rng(3)
+    x = 50 + np.cumsum(rng.normal(0, 1, 900))
+    sparse = [float(v) if rng.random() < 0.1 else None for v in x]
+    gaps = [None if 100 < i < 560 or i < 4 else float(v) for i, v in enumerate(x)]
+    odd = [float("nan") if i % 11 == 3 else float("inf") if i == 200 else float(v) for i, v in enumerate(x)]
+    series = {"sparse": sparse, "gaps": gaps, "odd": odd}
+    for k, g in _momentum(spark, series).items():
+        s = pd.Series([np.nan if v is None else v for v in series[k]], dtype="float64")
+        with np.errstate(invalid="ignore"):
+            d = s.diff()
+        up, down = (_pandas_ewm(v, 1 / 14) for v in (d.clip(lower=0), (-d).clip(lower=0)))
+        enough = np.minimum(*(np.isfinite(v).cumsum() for v in (d.clip(lower=0), (-d).clip(lower=0)))) >= 14
+        with np.errstate(invalid="ignore", divide="ignore"):
+            want = np.where(enough & (up + down != 0), 100 * up / (up + down), np.nan)
+        np.testing.assert_allclose(g["stock_RSI"], want, rtol=1e-9, equal_nan=True)
+        ema = []
+        for n in (12, 26):
+            first = s.first_valid_index()
+            y = s.copy()
+            y.iloc[first + n - 1] = s.iloc[first:first + n].mean()
+            y.iloc[:first + n - 1] = np.nan
+            ema.append(_pandas_ewm(y, 2 / (n + 1)))
+        np.testing.assert_allclose(g["MACD"], ema[0] - ema[1], rtol=1e-8, atol=1e-10, equal_nan=True)
+
+
+def test_rsi_edge_cases(spark):
     rng = np.random.default_rng(5)
-    r = recursive.rsi(pd.Series(100 + np.cumsum(rng.normal(0, 3, 500)))).dropna()
-    assert ((r >= 0) & (r <= 100)).all()
+    series = {"flat": [5.0] * 30, "fall": [6.0] + [5.0] * 6000, "walk": list(100 + np.cumsum(rng.normal(0, 3, 500))),
+              "none": [None] * 40}
+    out = _momentum(spark, series, macd_names=None)
+    assert out["flat"]["stock_RSI"].isna().all() and out["none"]["stock_RSI"].isna().all()     # 0 / 0
+    fall = out["fall"]["stock_RSI"]
+    assert fall[:14].isna().all() and fall[14:].eq(0.0).all()
+    assert out["walk"]["stock_RSI"].dropna().between(0, 100).all()
+    assert list(out["walk"].columns) == ["symbol", "d", "close_price", "stock_RSI"]
+
+
+def test_plans_of_the_features_have_no_python_node(spark):
+    import __spark_entry__ as E
+    for q in ("ticker_features", "sector_features"):
+        plan = E.queries()[q](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Pandas" not in plan and "Arrow" not in plan and "Python" not in plan
 
 
 def test_add_momentum_grouped(spark):
