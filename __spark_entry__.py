@@ -16,7 +16,7 @@ from candlewick.operators.joins import broadcast_if_small, lookup_first, missing
 from candlewick.functions.nulls import binary_label
 from candlewick.session import cut_lineage
 from candlewick.sources import files
-from candlewick.operators import boosting, folds, metrics, models, stats
+from candlewick.operators import boosting, folds, linear, metrics, models, stats
 from candlewick.plans import macro, monthly, sector, ticker, training
 from candlewick.plans.presentation import rounded
 from candlewick.sources import standins as S
@@ -190,8 +190,11 @@ def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1 + M25: five expanding time-ordered folds per sector; sizes and ranges."""
-    return metrics.fold_ranges(_fold_rows(spark, sf_dir), KEY, "date")
+    """M1 + M25: five expanding time-ordered folds per sector; sizes and ranges. Sectors that are
+    too short for folds have one row that says so."""
+    frame = _model_frame(spark, sf_dir)
+    found = metrics.fold_ranges(folds.time_series_folds(frame, KEY, "date", n_splits=5), KEY, "date")
+    return found.unionByName(folds.short_keys(frame, KEY, "date", n_splits=5))
 
 
 def q_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,6 +268,52 @@ def q_ridge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(r)
 
 
+def _penalised(spark: SparkSession, sf_dir: str, l1_ratio: float) -> DataFrame:
+    sc = _scaled(spark, sf_dir).withColumnRenamed("label", "up")
+    target = "weighted_sector_returns"
+    coef = linear.elastic_net(sc, MODEL_FEATURES, KEY, target, 1.0, l1_ratio)
+    size = F.aggregate("w", F.lit(0.0), lambda s, v: s + F.abs(v))
+    pred = linear.predict(sc, coef, MODEL_FEATURES, KEY)
+    g = [*KEY, "fold", "role"]
+    n = pred.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    out = n.join(metrics.rmse(pred, g, y=target), g).join(metrics.r2(pred, g, y=target), g)
+    return rounded(out.join(coef.select(*KEY, "fold", size.alias("coef_l1")), [*KEY, "fold"]))
+
+
+def q_lasso_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M15-M17: lasso (alpha 1) of every sector and fold; RMSE and R2 of train and test rows."""
+    return _penalised(spark, sf_dir, 1.0)
+
+
+def q_elasticnet_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 + M15-M17: elastic net (alpha 1, l1_ratio 0.5) of every sector and fold."""
+    return _penalised(spark, sf_dir, 0.5)
+
+
+def _logistic_predictions(f: DataFrame) -> DataFrame:
+    sc = cut_lineage(_scaled_from(f))                    # read again by every Newton step
+    z = linear.predict(sc, linear.logistic(sc, MODEL_FEATURES, KEY), MODEL_FEATURES, KEY)
+    return z.withColumn("prediction", (F.col("prediction") > 0).cast("int"))
+
+
+def q_logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M15 + M18 + M22 + M23: logistic regression of every sector and fold."""
+    f = _folds(spark, sf_dir)
+    return _against_majority(_logistic_predictions(f), f)
+
+
+def q_logistic_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M19: classification report of logistic regression on the test rows."""
+    pred = _logistic_predictions(_folds(spark, sf_dir)).where("role = 'test'")
+    return rounded(metrics.classification_report(pred, [*KEY, "fold"]))
+
+
+def q_logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 + M20: confusion matrix of logistic regression on the test rows."""
+    pred = _logistic_predictions(_folds(spark, sf_dir)).where("role = 'test'")
+    return metrics.confusion(pred, [*KEY, "fold"])
+
+
 def q_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lagged monthly macro + each sector's last trading row of the month."""
     out = monthly.monthly_rollup(_sector_daily(spark, sf_dir), S.macro(spark, sf_dir))
@@ -272,8 +321,8 @@ def q_monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Spark ML estimators registered as sweeps (each fit: a few distributed jobs).
-CLASSIFIERS = ("logistic", "tree", "forest", "naive_bayes_ml")
-REGRESSORS = ("ridge", "lasso", "elasticnet", "tree")
+CLASSIFIERS = ("tree", "forest", "naive_bayes_ml")
+REGRESSORS = ("ridge", "tree")
 
 
 def _sweep(spark: SparkSession, sf_dir: str, names, task: str):
@@ -286,13 +335,13 @@ def _sweep(spark: SparkSession, sf_dir: str, names, task: str):
 
 
 def q_classifier_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classifiers x sectors x folds; train and test accuracy."""
+    """Classifiers x sectors x folds; train and test accuracy."""
     scores, _ = _sweep(spark, sf_dir, CLASSIFIERS, "classification")
     return rounded(scores)
 
 
 def q_regressor_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regressors x sectors x folds; train and test RMSE and R2."""
+    """Regressors x sectors x folds; train and test RMSE and R2."""
     scores, _ = _sweep(spark, sf_dir, REGRESSORS, "regression")
     return rounded(scores)
 
@@ -314,9 +363,8 @@ def q_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _importance_table(_sweep(spark, sf_dir, ("forest",), "classification")[1])
 
 
-def _classifier_scores(f: DataFrame, name: str) -> DataFrame:
+def _against_majority(pred: DataFrame, f: DataFrame) -> DataFrame:
     """Train and test accuracy per (sector, fold) against the majority baseline."""
-    pred, _ = boosting.fit_groups(_scaled_from(f), MODEL_FEATURES, KEY, name)
     hit = (F.col("label") == F.col("prediction")).cast("double")
     acc = pred.groupBy(*KEY, "fold").agg(
         F.avg(F.when(F.col("role") == "train", hit)).alias("train_accuracy"),
@@ -326,6 +374,10 @@ def _classifier_scores(f: DataFrame, name: str) -> DataFrame:
                    .select(*KEY, "fold", "train_accuracy", "test_accuracy", "baseline_accuracy", "beats_baseline"))
 
 
+def _classifier_scores(f: DataFrame, name: str) -> DataFrame:
+    return _against_majority(boosting.fit_groups(_scaled_from(f), MODEL_FEATURES, KEY, name)[0], f)
+
+
 # Boosted trees are fitted with both settings; the suffix of the fit's name for each.
 SETTINGS = {"tuned": "", "default": "_default"}
 
@@ -385,9 +437,10 @@ def q_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores, _ = models.sweep_scores(sc.withColumn("label", F.col("label").cast("double")), MODEL_FEATURES,
                                     KEY, CLASSIFIERS, "classification")
     scores = scores.withColumn("settings", F.lit("default"))
-    for name, settings, fit in (("adaboost", "default", "adaboost"),
-                                *[("boosted", s, f"boosted{x}") for s, x in SETTINGS.items()]):
-        pred, _ = boosting.fit_groups(sc, MODEL_FEATURES, KEY, fit)
+    fits = [("logistic", "default", _logistic_predictions(h))]
+    fits += [(name, settings, boosting.fit_groups(sc, MODEL_FEATURES, KEY, fit)[0]) for name, settings, fit in (
+        ("adaboost", "default", "adaboost"), *[("boosted", s, f"boosted{x}") for s, x in SETTINGS.items()])]
+    for name, settings, pred in fits:
         hit = (F.col("label") == F.col("prediction")).cast("double")
         scores = scores.unionByName(pred.groupBy(F.lit(name).alias("model"), *KEY, "fold", "role").agg(
             F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"), F.lit(settings).alias("settings")))
@@ -531,6 +584,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nb_report": q_nb_report,
         "nb_confusion": q_nb_confusion,
         "ridge_scores": q_ridge_scores,
+        "lasso_scores": q_lasso_scores,
+        "elasticnet_scores": q_elasticnet_scores,
+        "logistic_scores": q_logistic_scores,
+        "logistic_report": q_logistic_report,
+        "logistic_confusion": q_logistic_confusion,
         "monthly_rollup": q_monthly_rollup,
         "event_props": q_event_props,
         "event_gate": q_event_gate,
@@ -583,6 +641,11 @@ def oracle_sql() -> dict[str, str]:
         "nb_report": O.NB_REPORT,
         "nb_confusion": O.NB_CONFUSION,
         "ridge_scores": O.RIDGE_SCORES,
+        "lasso_scores": O.LASSO_SCORES,
+        "elasticnet_scores": O.ELASTICNET_SCORES,
+        "logistic_scores": O.LOGISTIC_SCORES,
+        "logistic_report": O.LOGISTIC_REPORT,
+        "logistic_confusion": O.LOGISTIC_CONFUSION,
         "monthly_rollup": O.MONTHLY_ROLLUP,
         "event_props": O.EVENT_PROPS,
         "event_gate": O.EVENT_GATE,

@@ -28,7 +28,8 @@ def positions(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 
 def time_series_folds(df: DataFrame, key: Sequence[str], order: str,
                       n_splits: int = 5) -> DataFrame:
-    """M1 long form: (key..., fold, role in {'train','test'}, row_idx, columns...)."""
+    """M1 long form: (key..., fold, role in {'train','test'}, row_idx, columns...). Keys with fewer
+    than ``n_splits + 1`` rows have no fold; ``short_keys`` lists them."""
     p = positions(df, key, order)
     ts = F.floor(F.col("n_rows") / F.lit(n_splits + 1))
     first_test = F.col("n_rows") - F.lit(n_splits) * ts        # start of fold 0's test block
@@ -51,6 +52,16 @@ def time_series_folds(df: DataFrame, key: Sequence[str], order: str,
                                                           if c not in key and c != "__tf"]))
 
 
+def short_keys(df: DataFrame, key: Sequence[str], order: str, n_splits: int = 5) -> DataFrame:
+    """Keys that have too few rows for folds, as rows of the fold report: role 'too short'."""
+    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.min(order).alias("first_date"),
+                                 F.max(order).alias("last_date"))
+            .where(F.col("rows") <= n_splits)
+            .select(*key, F.lit(None).cast("int").alias("fold"), F.lit("too short").alias("role"), "rows",
+                    F.lit(0).cast("long").alias("first_row"), (F.col("rows") - 1).alias("last_row"),
+                    "first_date", "last_date"))
+
+
 def ordered_holdout(df: DataFrame, key: Sequence[str], order: str,
                     test_size: float = 0.2) -> DataFrame:
     """M2 ``train_test_split(test_size, shuffle=False)``: the last ceil(test_size*n) rows

@@ -41,11 +41,12 @@ def accuracy(pred: DataFrame, group: Sequence[str], y: str = "label",
 
 def confusion(pred: DataFrame, group: Sequence[str], classes: Sequence[int] = (0, 1),
               y: str = "label", p: str = "prediction") -> DataFrame:
-    """M20 ``confusion_matrix``: one row per (group..., true class), a count column per
-    predicted class (``pred_<c>``), zeros filled."""
-    cells = (pred.groupBy(*group, F.col(y).alias("true_class"))
-                 .agg(*[F.count_if(F.col(p) == c).alias(f"pred_{c}") for c in classes]))
-    return cells
+    """M20 ``confusion_matrix``: one row per (group..., class of ``classes``), a count column per
+    predicted class (``pred_<c>``); a class without rows has zeros."""
+    cells = [F.struct(F.lit(t).alias("true_class"), *[
+        F.count_if((F.col(y) == t) & (F.col(p) == c)).alias(f"pred_{c}") for c in classes]) for t in classes]
+    agg = pred.groupBy(*group).agg(F.array(*cells).alias("__c"))
+    return agg.select(*group, F.explode("__c").alias("c")).select(*group, "c.*")
 
 
 def classification_report(pred: DataFrame, group: Sequence[str],

@@ -574,9 +574,9 @@ SELECT sector, fold, class, {r4("precision")} AS precision, {r4("recall")} AS re
 
 NB_CONFUSION = f"""
 {FOLD_WITH},{NB_CTE}
-SELECT sector, fold, label AS true_class, CAST(count_if(prediction = 0) AS BIGINT) AS pred_0,
-       CAST(count_if(prediction = 1) AS BIGINT) AS pred_1
-FROM nbp GROUP BY 1, 2, 3
+SELECT sector, fold, c AS true_class, CAST(count_if(label = c AND prediction = 0) AS BIGINT) AS pred_0,
+       CAST(count_if(label = c AND prediction = 1) AS BIGINT) AS pred_1
+FROM nbp, (SELECT unnest([0, 1]) AS c) GROUP BY 1, 2, 3
 """
 
 
@@ -616,6 +616,96 @@ SELECT sector, fold, {r4("rmse")} AS rmse,
 FROM s JOIN b USING (sector, fold)
 """
 
+
+
+_GRAM = ", ".join("[" + ", ".join(f"covar_pop(x{i}, x{j})" for j in range(_K)) + "]" for i in range(_K))
+
+
+def elastic_net_sql(l1: float, l2: float, sweeps: int = 120) -> str:
+    """Coordinate descent on the Gram matrix, one coordinate a recursion step."""
+    return f"""
+{FOLD_WITH.replace("WITH", "WITH RECURSIVE", 1)},
+sc AS (SELECT sector, fold, {_SCALER} FROM folds WHERE role = 'train' GROUP BY 1, 2),
+xs AS (SELECT f.sector, f.fold, f.role, f.weighted_sector_returns AS y, {_SCALED}
+       FROM folds f JOIN sc USING (sector, fold)),
+mat AS (SELECT sector, fold, avg(y) AS my, [{_MEANS}] AS mx, [{_GRAM}] AS g,
+               [{", ".join(f"covar_pop(x{i}, y)" for i in range(_K))}] AS c
+        FROM xs WHERE role = 'train' GROUP BY 1, 2),
+cd AS (
+  SELECT sector, fold, my, mx, g, c, 0 AS s, list_transform(range({_K}), lambda i: 0.0::DOUBLE) AS w FROM mat
+  UNION ALL
+  SELECT sector, fold, my, mx, g, c, s + 1, list_transform(range(1, {_K} + 1), lambda i:
+           CASE WHEN i <> s % {_K} + 1 THEN w[i] WHEN g[i][i] + {l2} <= 0 THEN 0.0
+                ELSE sign(rho) * greatest(abs(rho) - {l1}, 0.0) / (g[i][i] + {l2}) END)
+  FROM (SELECT *, c[s % {_K} + 1] - list_inner_product(g[s % {_K} + 1], w)
+                  + g[s % {_K} + 1][s % {_K} + 1] * w[s % {_K} + 1] AS rho FROM cd)
+  WHERE s < {_K * sweeps}),
+w AS (SELECT sector, fold, my, mx, w FROM cd WHERE s = {_K * sweeps}),
+pr AS (SELECT t.sector, t.fold, t.role, y, list_sum(list_transform(w, lambda v: abs(v))) AS size,
+              my + {" + ".join(f"w[{i + 1}] * (x{i} - mx[{i + 1}])" for i in range(_K))} AS p,
+              avg(y) OVER (PARTITION BY t.sector, t.fold, t.role) AS ym
+       FROM xs t JOIN w ON t.sector = w.sector AND t.fold = w.fold)
+SELECT sector, fold, role, count(*) AS n, {r4("any_value(size)")} AS coef_l1, {r4("sqrt(avg(power(y - p, 2)))")} AS rmse,
+       {r4("CASE WHEN sum(power(y - ym, 2)) = 0 THEN CASE WHEN sum(power(y - p, 2)) = 0 THEN 1.0 ELSE 0.0 END "
+           "ELSE 1 - sum(power(y - p, 2)) / sum(power(y - ym, 2)) END")} AS r2
+FROM pr GROUP BY 1, 2, 3
+"""
+
+
+LASSO_SCORES = elastic_net_sql(1.0, 0.0)
+ELASTICNET_SCORES = elastic_net_sql(0.5, 0.5)
+
+# Logistic regression: steps of a fixed matrix that bounds every Hessian, X'X / 4 + I without the
+# intercept's part; its inverse comes from Gauss-Jordan elimination, one pivot a recursion step.
+_ONE = ["1.0", *(f"x{i}" for i in range(_K))]
+_BOUND = ", ".join(
+    "[" + ", ".join([f"sum({a} * {b}) / 4" + (" + 1.0" if i == j and i else "") for j, b in enumerate(_ONE)]
+                    + [f"{float(i == j)}" for j in range(_K + 1)]) + "]" for i, a in enumerate(_ONE))
+_Z = " + ".join(f"it.w[{i + 1}] * {a}" for i, a in enumerate(_ONE))
+
+
+def logistic_ctes(steps: int = 150) -> str:
+    return f"""
+sc AS (SELECT sector, fold, {_SCALER} FROM folds WHERE role = 'train' GROUP BY 1, 2),
+xs AS (SELECT f.sector, f.fold, f.role, f.row_idx, f.label, {_SCALED}
+       FROM folds f JOIN sc USING (sector, fold)),
+mat AS (SELECT sector, fold, [{_BOUND}] AS m FROM xs WHERE role = 'train' GROUP BY 1, 2),
+gj AS (
+  SELECT sector, fold, CAST(1 AS BIGINT) AS p, m FROM mat
+  UNION ALL
+  SELECT sector, fold, p + 1,
+         list_transform(range(1, {_K + 2}), lambda i: list_transform(range(1, {2 * _K + 3}), lambda j:
+           CASE WHEN i = p THEN m[p][j] / m[p][p] ELSE m[i][j] - m[i][p] / m[p][p] * m[p][j] END))
+  FROM gj WHERE p <= {_K + 1}),
+inv AS (SELECT sector, fold, list_transform(m, lambda r: r[{_K + 2}:]) AS b FROM gj WHERE p = {_K + 2}),
+it AS (
+  SELECT sector, fold, b, 0 AS s, list_transform(range({_K + 1}), lambda i: 0.0::DOUBLE) AS w FROM inv
+  UNION ALL
+  SELECT sector, fold, b, s + 1, list_transform(range(1, {_K + 2}), lambda i: w[i] - list_inner_product(b[i], g))
+  FROM (SELECT it.sector, it.fold, any_value(it.b) AS b, any_value(it.s) AS s, any_value(it.w) AS w,
+               [{", ".join(f"sum((1 / (1 + exp(-({_Z}))) - label) * {a})" + (f" + any_value(it.w[{i + 1}])" if i else "")
+                           for i, a in enumerate(_ONE))}] AS g
+        FROM it JOIN xs ON xs.sector = it.sector AND xs.fold = it.fold
+        WHERE xs.role = 'train' AND it.s < {steps} GROUP BY 1, 2)),
+lgp AS (SELECT xs.sector, xs.fold, role, row_idx, label, CASE WHEN {_Z} > 0 THEN 1 ELSE 0 END AS prediction
+        FROM xs JOIN it ON xs.sector = it.sector AND xs.fold = it.fold AND it.s = {steps})"""
+
+
+LOGISTIC_SCORES = f"""
+{FOLD_WITH.replace("WITH", "WITH RECURSIVE", 1)},{_MAJ},{logistic_ctes()},
+acc AS (SELECT sector, fold, avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FILTER (role = 'train') AS train_accuracy,
+               avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FILTER (role = 'test') AS test_accuracy
+        FROM lgp GROUP BY 1, 2)
+SELECT sector, fold, {r4("train_accuracy")} AS train_accuracy, {r4("test_accuracy")} AS test_accuracy,
+       {r4("baseline_accuracy")} AS baseline_accuracy, test_accuracy > baseline_accuracy AS beats_baseline
+FROM acc JOIN base USING (sector, fold)
+"""
+
+LOGISTIC_REPORT = NB_REPORT.replace(FOLD_WITH, FOLD_WITH.replace("WITH", "WITH RECURSIVE", 1), 1).replace(
+    NB_CTE, logistic_ctes()).replace("FROM nbp", "FROM (SELECT * FROM lgp WHERE role = 'test')")
+LOGISTIC_CONFUSION = NB_CONFUSION.replace(FOLD_WITH, FOLD_WITH.replace("WITH", "WITH RECURSIVE", 1), 1).replace(
+    NB_CTE, logistic_ctes()).replace("FROM nbp", "FROM (SELECT * FROM lgp WHERE role = 'test')")
+
 MONTHLY_ROLLUP = f"""
 WITH {BARS_CTE}, {RET_CTE}, {MEMBERS_CTE}, {SECTOR_AGG_CTE}, {MACRO_CTE},
 mmac AS (
