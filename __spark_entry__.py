@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from candlewick import sql_oracles as O
-from candlewick.operators.joins import broadcast_if_small, lookup_first, missing_keys
+from candlewick.operators.joins import lookup_first, missing_keys
 from candlewick.functions.nulls import binary_label
 from candlewick.session import cut_lineage
 from candlewick.sources import files
@@ -42,9 +42,8 @@ def q_ticker_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sector_inputs(spark: SparkSession, sf_dir: str):
-    supplier = S.table(spark, sf_dir, "supplier")
-    members = broadcast_if_small(S.sector_members(spark, sf_dir), bound=supplier)
-    shares = broadcast_if_small(S.shares(spark, sf_dir), bound=supplier)
+    members = S.sector_members(spark, sf_dir)
+    shares = S.shares(spark, sf_dir)
     return S.bars(spark, sf_dir), members, shares
 
 

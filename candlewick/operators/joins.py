@@ -1,14 +1,7 @@
-"""Join helpers (J1-J9): size-checked broadcast, keyed lookups, missing-key reports.
+"""Join helpers (J1-J9): keyed lookups and missing-key reports.
 
-Two ways a side gets broadcast, both behind a size check with a shuffle join beyond it:
-
-* ``broadcast_if_small(df, bound=base)``: an explicit hint after counting a *base* table
-  whose row count bounds the side (e.g. sector members <= suppliers). Counting a Parquet
-  base table is answered from file footers, so the check costs no data scan.
-* ``runtime_sized(df)``: no hint. Adaptive execution measures the side's real size after
-  its shuffle stage and converts to a broadcast join only below
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise sort-merge stays. Used
-  for derived sides (monthly / daily macro tables) whose count would cost a full job.
+No side is forced into a broadcast: Spark broadcasts one whose size, estimated or measured by
+adaptive execution, lies below the session's threshold, and keeps a shuffle join beyond it.
 """
 
 from __future__ import annotations
@@ -17,23 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       bound: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` when the row count of ``bound`` (a base table whose row count is an
-    upper bound for ``df``'s) is at most ``max_rows``. Without a bound the decision is
-    left to adaptive execution (see ``runtime_sized``)."""
-    if bound is None:
-        return runtime_sized(df)
-    return F.broadcast(df) if bound.count() <= max_rows else df
-
-
-def runtime_sized(df: DataFrame) -> DataFrame:
-    """Leave the join strategy to AQE's measured-size check (no static hint)."""
-    return df
-
 
 def lookup_first(ref: DataFrame, key: str, cols: Sequence[str], order: str) -> DataFrame:
     """P7 ``df.loc[df.key == k, col].iloc[0]`` for every key at once: the row that comes first

@@ -19,12 +19,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from candlewick.functions.columns import by_suffix, col
 from candlewick.functions.dates import next_month, next_month_year, next_quarter_of_month
 from candlewick.functions.nulls import drop_all_null, drop_any_null
-from candlewick.operators.joins import broadcast_if_small
 
 RESERVE_RENAMES = {"Date": "fr_date_daily",
                    "Gross (USD)": "foreign_reserve_gross(USD)_daily",
                    "Liquid (USD)": "foreign_reserve_liquid(USD)_daily"}
-CALENDAR_BOUND = 200_000   # rows: ~550 years of days; macro sides are far below it
 
 
 def _last_row_per_key(df: DataFrame, keys: Sequence[str], order: str,
@@ -60,11 +58,11 @@ def align_macro(macro: DataFrame, calendar: DataFrame, reserves: DataFrame | Non
 
     cal = calendar.drop(*[c for c in monthly + quarterly if c in calendar.columns])
     cal = cal.withColumns({"Year": F.year(date), "Month_idx": F.month(date)})
-    out = (cal.join(broadcast_if_small(mon, CALENDAR_BOUND),
+    out = (cal.join(mon,
                     (F.col("Year") == F.col("target_year"))
                     & (F.col("Month_idx") == F.col("target_month")), "left")
               .drop("target_year", "target_month"))
-    out = (out.join(broadcast_if_small(qtr, CALENDAR_BOUND),
+    out = (out.join(qtr,
                     (F.col(quarter) == F.col("target_quarter"))
                     & (F.col("Year") == F.col("target_year")), "left")
               .drop("target_year", "target_quarter"))
@@ -108,5 +106,5 @@ def lag_features(data: DataFrame, features_lag: Mapping[str, Sequence[int]] | No
         lagged = per.select(*keys, *[
             (F.lag(col(f), n) if n >= 0 else F.lead(col(f), -n)).over(w).alias(f"{f}_lag{n}")
             for f, lags in feats.items() for n in lags])
-        out = out.join(broadcast_if_small(lagged, CALENDAR_BOUND), keys, "left")
+        out = out.join(lagged, keys, "left")
     return out

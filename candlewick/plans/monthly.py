@@ -15,9 +15,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from candlewick.functions.columns import by_suffix, col
 from candlewick.functions.nulls import drop_any_null
 from candlewick.operators import windows as W
-from candlewick.operators.joins import broadcast_if_small
-
-MONTH_BOUND = 100_000
 
 
 def monthly_macro(macro: DataFrame, date: str = "FR_Date", line_col: str = "line_no",
@@ -48,7 +45,7 @@ def monthly_rollup(sector_df: DataFrame, macro: DataFrame, key: str = "sector",
         W.series_window(key, date)))
     s = last_row_per_month(drop_any_null(s), key, date)
     mm = monthly_macro(macro).drop("date")
-    out = drop_any_null(s.join(broadcast_if_small(mm, MONTH_BOUND), "month"))   # J4 + J8
+    out = drop_any_null(s.join(mm, "month"))   # J4 + J8
     w = W.series_window(key, "month")
     out = W.pct_change(out, "sector_index", "new_monthly_returns", w, scale=100.0, fill=None)
     return out

@@ -1,8 +1,8 @@
 """Training frames C10-C12: sector features joined to aligned macro series.
 
 All sectors are handled at once (the reference fits one sector at a time); per-sector
-lags use ``partitionBy(sector)`` and the macro side -- one row per calendar day -- is
-broadcast behind a size check.
+lags use ``partitionBy(sector)``; the macro side has one row per calendar day, and Spark decides
+by its size how to join it.
 """
 
 from __future__ import annotations
@@ -14,11 +14,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from candlewick.functions.columns import col
 from candlewick.functions.nulls import drop_any_null, drop_inf_and_null, safe_div
 from candlewick.operators import stats, windows as W
-from candlewick.operators.joins import broadcast_if_small
 
 RESERVE_COLUMNS = ("foreign_reserve_gross(USD)_daily", "foreign_reserve_liquid(USD)_daily")
 MACRO_KEYS = ("Year", "Month_idx", "Quarter", "Month")
-CALENDAR_BOUND = 200_000
 
 
 def training_frame(sector_df: DataFrame, macro_df: DataFrame,
@@ -35,7 +33,7 @@ def training_frame(sector_df: DataFrame, macro_df: DataFrame,
     m = m.withColumns({c: F.lag(col(c), 1).over(Window.orderBy(date)) for c in macro_lag
                        if c in m.columns})
     m = drop_any_null(m)
-    out = s.join(broadcast_if_small(m, CALENDAR_BOUND), date, "inner")
+    out = s.join(m, date, "inner")
     return drop_any_null(out.drop(*[c for c in drop if c in out.columns]))
 
 
@@ -47,7 +45,7 @@ def daily_training_frame(sector_df: DataFrame, reserves: DataFrame, key: str = "
     r = r.withColumns({c: F.lag(col(c), 1).over(Window.orderBy(date)) for c in RESERVE_COLUMNS})
     s = sector_df.withColumn("sector_volume", F.lag("sector_volume", 1).over(
         W.series_window(key, date)))
-    out = s.join(broadcast_if_small(drop_any_null(r), CALENDAR_BOUND), date, "inner")
+    out = s.join(drop_any_null(r), date, "inner")
     return drop_any_null(out)
 
 

@@ -57,9 +57,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_scratch: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, below one folder of this session that Hadoop deletes when
+    the driver's JVM ends. Tables there are read as long as results are, so none goes earlier."""
+    sc = spark.sparkContext
+    root = _scratch.get(sc.applicationId)
+    if root is None:
+        root = f"{checkpoint_dir(spark)}/candlewick-{uuid.uuid4().hex}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch[sc.applicationId] = root
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a columnar table in the shared folder and read it back: readers take the
     columns they need, and a lost executor sends no work back beyond the table."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
