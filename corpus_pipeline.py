@@ -1,4 +1,5 @@
-"""A training corpus from ``documents``: language ID, line dedup, near-dedup, mixing, encoding.
+"""A training corpus from ``documents``: language ID, line dedup, near-dedup, mixing, encoding and
+decoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next one's ``docs``; all but the last return the columns of ``documents``.
@@ -15,9 +16,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (no letter in the text) go."""
+    """Documents whose language can't be told (no letter in the text) go. Where no language can be
+    learned, no text has one: then those with a letter stay too."""
     docs = docs.select(*COLUMNS)
     model = language.fit(docs.where(~language.held_out() & F.col("doc_id").isNotNull()))
+    if not model.families:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return language.predict(docs, model).where("lang_pred <> 'und'").select(*COLUMNS)
 
 
@@ -39,15 +43,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
+    """Token ids of every text, and the digests of the text and of what the ids decode to."""
     vocab = queries.byte_vocabulary()
     docs = docs.select(*COLUMNS)
-    out = bpe.encode(docs, vocab, bpe.build_lexicon(docs, vocab))
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    out = bpe.encode(docs, vocab, bpe.build_lexicon(docs, vocab), decoded_col="decoded")
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                      F.sha2("text", 256).alias("text_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("language ID", language_id), ("line dedup", line_dedup_stage),
-          ("SimHash near-dedup", near_dedup), ("mixing", mix_sources), ("BPE encoding", encode)]
+          ("SimHash near-dedup", near_dedup), ("mixing", mix_sources), ("BPE encoding and decoding", encode)]
 
 #: Language models, SimHash classes and BPE ids are beyond SQL; tests/llm/test_pipeline.py holds
 #: the result against a brute-force version.
