@@ -4,7 +4,6 @@ the shared folder, and content keys of rows."""
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from candlewick.session import checkpoint_dir
+from candlewick.session import scratch_path
 
 SLICE_BYTES = 1 << 20
 
@@ -62,8 +61,8 @@ def with_text_columns(df: DataFrame, text_col: str, fields: list[StructField],
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the cluster's shared checkpoint folder; it goes when the session ends."""
+    return scratch_path(spark, name)
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,10 @@ rounded into whole copies: a document gets the floor, and one more where its has
 its fraction, shifted by the source's offset that brings the taken words to the target; offsets
 are found by repeated histograms.
 
+All that belongs to a source (its target, lambda, bracket, offset) is a row of a distributed table,
+written anew by each step; the driver sees single numbers only, so sources may be as many as rows.
+Sources with many rows meet theirs by broadcast (``join_counted``), the others as Spark sees fit.
+
 Null texts have size 0 and are taken once or not at all, which adds no words. A null source is a
 source of its own and comes last. Repeated rows hash alike and are treated alike; ids may be
 null or tied. Extra columns stay; those named as an added column are replaced.
@@ -18,8 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from candlewick.llm import common as C
 
@@ -27,8 +30,8 @@ from candlewick.llm import common as C
 #: that a target may be of its source's size.
 WEIGHTS, TOTAL, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 NEWTON_STEPS, BINS, ROUNDS = 40, 256, 5
-#: Sources are a dimension of the corpus; their totals, one row each, go through the driver.
-MOST_SOURCES = 1_000_000
+INF = float("inf")
+SOURCE = ["source_key"]
 
 
 def with_size(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -37,103 +40,112 @@ def with_size(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return C.without(docs, ["size"]).withColumn("size", F.coalesce(words, F.lit(0)).cast("long"))
 
 
-def source_targets(sizes: list[int], weights=WEIGHTS, total: float = TOTAL,
-                   most: float = MOST) -> list[float]:
-    """Targets of sources in order: shares of ``total`` times all words by weight; a target
-    above ``most`` times its source's words stops there and the excess is shared again."""
-    weight = [weights[k % len(weights)] for k in range(len(sizes))]
-    left, open_, out = total * sum(sizes), list(range(len(sizes))), [0.0] * len(sizes)
-    while open_:
-        unit = left / sum(weight[k] for k in open_)
-        full = [k for k in open_ if unit * weight[k] >= most * sizes[k]]
-        if not full:
-            for k in open_:
-                out[k] = unit * weight[k]
-            break
-        for k in full:
-            out[k] = most * sizes[k]
-            left -= out[k]
-        open_ = [k for k in open_ if k not in set(full)]
-    return out
-
-
-def _rate() -> F.Column:
+def ranked(sources: DataFrame, order: list) -> DataFrame:
+    """Append ``rank`` (from 0) in ``order``: rows are range-partitioned, numbered in their
+    partition and shifted by the rows of the partitions before it."""
+    at = C.shared_table(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = at.groupBy("part").agg(F.count(F.lit(1)).alias("part_rows"))
+    before = F.sum("part_rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    shift = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))      # one row a partition
+    own = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return at.join(shift, "part").withColumn("rank", own + F.col("before")).drop("part", "before")
+
+
+def source_targets(sources: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST) -> DataFrame:
+    """Append ``target`` to one row a source (``source_key``, ``words``): shares of ``total`` times
+    all words by weight; a target above ``most`` times its source's words stops there and the excess
+    is shared again. Sources come by code point, the null one last. The share a unit of weight gets
+    grows from round to round until no further source stops; each round is one sum over all sources."""
+    by = F.col("source_key")
+    table = ranked(sources, [(by == "-").cast("int"), by.cast("binary")])
+    turn = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    table = C.shared_table(table.withColumn("weight", turn).drop("rank"), "source-weights")
+    all_words = table.agg(F.sum("words")).first()[0] or 0
+    full, unit = F.lit(False), 0.0
+    stopped = -1
+    while True:
+        r = table.agg(F.count_if(full).alias("k"), F.sum(F.when(full, F.col("words"))).alias("words"),
+                      F.sum(F.when(~full, F.col("weight"))).alias("weight")).first()
+        if r["k"] == stopped or not r["weight"]:
+            return table.withColumn("target", F.when(full, most * F.col("words")).otherwise(unit * F.col("weight")))
+        stopped = r["k"]
+        unit = (total * all_words - most * (r["words"] or 0)) / r["weight"]
+        full = F.lit(unit) * F.col("weight") >= most * F.col("words")
+
+
+def _rate() -> Column:
     """The tilted rate of a row joined to its source's mean and lambda."""
     tilted = F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(50.0)))
     return (F.when(F.col("size") == 0, 1.0).when(F.col("lam") == math.inf, MOST)
             .otherwise(F.least(F.lit(MOST), tilted)))
 
 
-def _table(spark, rows: list[tuple]) -> DataFrame:
-    """One row a source: its key and doubles."""
-    names = ["source_key", "target", "mean", "lam", "shift", "width", "source_size"]
-    kinds = [StringType()] + [DoubleType()] * 5 + [LongType()]
-    return spark.createDataFrame(rows, StructType([StructField(n, k) for n, k in zip(names, kinds)]))
-
-
-def balance(counts: DataFrame, targets: dict[str, float], means: dict[str, float]) -> dict[str, float]:
-    """Newton iterations on the dual: lambda of each source. ``counts``: source_key, size, n."""
-    spark = counts.sparkSession
-    lam = {k: 0.0 for k in targets}
-    low, high = {k: -math.inf for k in targets}, {k: math.inf for k in targets}
-    todo = {k for k in targets if targets[k] > 0}
+def balance(counts: DataFrame, sources: DataFrame) -> DataFrame:
+    """Newton iterations on the dual: append ``lam`` to the sources (source_key, target, mean).
+    ``counts``: source_key, size, n. A full target needs no step: its lambda is infinite."""
+    is_full = F.col("target") >= MOST * F.col("words")
+    state = sources.withColumns({
+        "lam": F.when(is_full, INF).otherwise(0.0), "low": F.lit(-INF), "high": F.lit(INF),
+        "done": is_full | (F.col("target") <= 0)})
+    columns = state.columns
+    state = C.shared_table(state, "newton")
+    done, todo = state.where("done"), state.where(~F.col("done"))
+    x = F.col("size") / F.col("mean")
+    words = F.col("n") * F.col("size") * _rate()
+    # decimal sums don't depend on the order of rows, so reruns take the same steps
+    exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
     for _ in range(NEWTON_STEPS):
-        if not todo:
+        if todo.isEmpty():
             break
-        at = _table(spark, [(k, 0.0, means[k], lam[k], 0.0, 0.0, 0) for k in todo])
-        x = F.col("size") / F.col("mean")
-        words = F.col("n") * F.col("size") * _rate()
-        # decimal sums don't depend on the order of rows, so reruns take the same steps
-        exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
-        sums = (counts.join(F.broadcast(at), "source_key").groupBy("source_key")
+        sums = (counts.join(todo.select("source_key", "mean", "lam"), "source_key").groupBy("source_key")
                 .agg(exact(words).alias("got"),
-                     exact(F.when(_rate() < MOST, words * x).otherwise(0.0)).alias("slope")).collect())
-        for r in sums:
-            k, miss = r["source_key"], r["got"] - targets[r["source_key"]]
-            if abs(miss) <= 1e-9 * targets[k] + 1e-6:
-                todo.discard(k)
-                continue
-            (high if miss > 0 else low)[k] = lam[k]
-            step = lam[k] - miss / r["slope"] if r["slope"] > 0 else math.nan
-            if not low[k] < step < high[k]:
-                step = (low[k] + high[k]) / 2
-            if not math.isfinite(step):          # no bracket yet: widen
-                step = lam[k] + math.copysign(1 + abs(lam[k]), -miss)
-            lam[k] = step
-    return lam
-
-
-def offsets(rows: DataFrame, state: dict[str, dict]) -> dict[str, float]:
-    """For each source the offset v so that whole copies, floor + [u - fraction < v], come
-    nearest to the target: the bin of v that crosses the target is cut again in each round."""
-    spark = rows.sparkSession
-    low, width = {k: -1.0 for k in state}, {k: 2.0 for k in state}
-    got = {k: s["floor"] for k, s in state.items()}
+                     exact(F.when(_rate() < MOST, words * x).otherwise(0.0)).alias("slope")))
+        miss = F.col("got") - F.col("target")
+        met = F.abs(miss) <= 1e-9 * F.col("target") + 1e-6
+        at = todo.join(sums, "source_key").withColumns({
+            "low": F.when(miss > 0, F.col("low")).otherwise(F.col("lam")),
+            "high": F.when(miss > 0, F.col("lam")).otherwise(F.col("high"))})
+        newton = F.when(F.col("slope") > 0, F.col("lam") - miss / F.col("slope"))
+        inside = (newton > F.col("low")) & (newton < F.col("high"))
+        no_bracket = (F.col("low") == -INF) | (F.col("high") == INF)
+        wider = F.col("lam") + F.when(miss > 0, -1.0).otherwise(1.0) * (1 + F.abs(F.col("lam")))
+        step = (F.when(F.coalesce(inside, F.lit(False)), newton).when(no_bracket, wider)
+                .otherwise((F.col("low") + F.col("high")) / 2))
+        at = at.withColumn("done", met).withColumn("lam", F.when(met, F.col("lam")).otherwise(step))
+        now = C.shared_table(at.select(*columns), "newton")
+        done, todo = done.unionByName(now.where("done")), now.where(~F.col("done"))
+    return C.shared_table(done.unionByName(todo).drop("low", "high", "done"), "lambdas")
+
+
+def offsets(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """For each source (source_key, n_rows, target, got: words of the whole copies) append the
+    offset ``shift`` so that whole copies, floor + [u - fraction < shift], come nearest to the target:
+    the bin of ``v`` that crosses the target is cut again in each round."""
+    state = C.shared_table(sources.select("source_key", "n_rows", (F.col("target") - F.col("got")).alias("room"),
+                                          F.lit(-1.0).alias("shift"), F.lit(2.0).alias("width")), "offsets")
     for _ in range(ROUNDS):
-        at = _table(spark, [(k, state[k]["target"] - got[k], 0.0, 0.0, low[k], width[k], 0)
-                            for k in state]).withColumnRenamed("target", "room")
-        j = rows.join(F.broadcast(at), "source_key").withColumn(
+        j = C.join_counted(rows, state, SOURCE, "n_rows").withColumn(
             "bin", F.floor((F.col("v") - F.col("shift")) / F.col("width") * BINS))
         hist = (j.where((F.col("bin") >= 0) & (F.col("bin") < BINS)).groupBy("source_key", "bin")
                 .agg(F.sum("size").alias("words"), F.min("room").alias("room")))
-        # BINS rows a source at most meet in a window; one row a source reaches the driver
+        # BINS rows a source at most meet in a window
         upto = F.sum("words").over(Window.partitionBy("source_key").orderBy("bin"))
         over = F.col("upto") > F.col("room")
         found = (hist.withColumn("upto", upto).groupBy("source_key")
                  .agg(F.min(F.when(over, F.col("bin"))).alias("bin"),
-                      F.sum(F.when(~over, F.col("words"))).alias("words")).collect())
-        for r in found:
-            k, b = r["source_key"], BINS if r["bin"] is None else r["bin"]     # none: all are taken
-            got[k] += r["words"] or 0
-            low[k] += b * width[k] / BINS
-            width[k] /= BINS
-    return low
+                      F.sum(F.when(~over, F.col("words"))).alias("words")))
+        crossing = F.when(F.col("words").isNull() & F.col("bin").isNull(), 0).otherwise(
+            F.coalesce("bin", F.lit(BINS)))                                         # none crosses: all are taken
+        state = C.shared_table(state.join(found, "source_key", "left").select(
+            "source_key", "n_rows", (F.col("room") - F.coalesce("words", F.lit(0))).alias("room"),
+            (F.col("shift") + crossing * F.col("width") / BINS).alias("shift"),
+            (F.col("width") / BINS).alias("width")), "offsets")
+    return state.select("source_key", "shift")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Append ``size``, ``source_size``, ``target``, ``rate``, ``copies`` and ``taken``."""
-    spark = docs.sparkSession
     added = ["size", "source_size", "target", "rate", "copies", "taken"]
     base = with_size(C.without(docs, added), text_col)
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("-"))
@@ -141,37 +153,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, id_col: str = "d
          .bitwiseAND((1 << 53) - 1).cast("double") / float(1 << 53))
     base = base.withColumn("source_key", key).withColumn("u", u)
     slim = C.shared_table(base.select("source_key", "size", "u"), "mix-sizes")
-    counts = C.shared_table(slim.groupBy("source_key", "size").agg(F.count(F.lit(1)).alias("n"))
-                            .where("size > 0"), "mix-counts")
-    totals = (slim.groupBy("source_key").agg(F.sum("size").alias("words"), F.count_if(F.col("size") > 0)
-                                             .alias("n")).limit(MOST_SOURCES + 1).collect())
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    # by code point, which UTF-8 bytes keep; the null source ("-") last
-    totals.sort(key=lambda r: (r["source_key"] == "-", r["source_key"].encode()))
-    sizes = {r["source_key"]: r["words"] for r in totals}
-    targets = dict(zip(sizes, source_targets(list(sizes.values()), weights, total)))
-    means = {r["source_key"]: max(1.0, r["words"] / max(1, r["n"])) for r in totals}
-    full = {k for k in sizes if targets[k] >= MOST * sizes[k]}
-    lam = balance(counts, {k: t for k, t in targets.items() if k not in full}, means)
-    lam |= {k: math.inf for k in full}
-
-    def rated(df: DataFrame, shift: dict[str, float]) -> DataFrame:
-        at = _table(spark, [(k, targets[k], means[k], lam[k], shift.get(k, -2.0), 0.0, sizes[k])
-                            for k in sizes])
-        return (df.join(F.broadcast(at), "source_key", "left").withColumn("rate", _rate())
-                .withColumn("floor", F.floor("rate"))
-                .withColumn("v", F.col("u") - F.col("rate") + F.col("floor")))
-
-    first = rated(slim, {}).select("source_key", "size", "floor", "v", "rate")
-    floors = {r["source_key"]: r["w"] for r in first.groupBy("source_key").agg(
-        F.sum(F.col("floor") * F.col("size")).alias("w")).collect()}
-    open_ = first.where((F.col("rate") > F.col("floor")) & (F.col("size") > 0))
-    shift = offsets(open_.select("source_key", "size", "v"),
-                    {k: {"target": targets[k], "floor": floors[k]} for k in sizes})
-    more = ((F.col("rate") > F.col("floor")) & (F.col("v") < F.col("shift"))).cast("long")
-    out = rated(base, shift).withColumn("copies", F.col("floor") + more)
-    out = out.withColumn("taken", F.col("copies") * F.col("size"))
+    sizes = C.shared_table(slim.groupBy("source_key", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    totals = sizes.groupBy("source_key").agg(
+        F.sum(F.col("size") * F.col("n")).alias("words"), F.sum("n").alias("n_rows"),
+        F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("with_words"))
+    mean = F.greatest(F.lit(1.0), F.col("words") / F.greatest(F.lit(1), F.coalesce("with_words", F.lit(0))))
+    sources = source_targets(totals, weights, total).withColumn("mean", mean)
+    sources = balance(sizes.where("size > 0"), sources.select("source_key", "words", "n_rows", "target", "mean"))
+
+    # floors follow from the sizes alone
+    floors = (C.join_counted(sizes, sources.drop("words").join(
+        sizes.groupBy("source_key").agg(F.count(F.lit(1)).alias("k")), "source_key"), SOURCE, "k")
+        .groupBy("source_key").agg(F.sum(F.floor(_rate()) * F.col("size") * F.col("n")).alias("got")))
+    fraction = F.col("rate") - F.floor("rate")
+    open_ = (C.join_counted(slim, sources, SOURCE, "n_rows").withColumn("rate", _rate())
+             .where((fraction > 0) & (F.col("size") > 0))
+             .select("source_key", "size", (F.col("u") - fraction).alias("v")))
+    shift = offsets(open_, sources.join(floors, "source_key"))
+    at = C.shared_table(sources.join(shift, "source_key").withColumnRenamed("words", "source_size"), "source-mix")
+    more = ((fraction > 0) & (F.col("u") - fraction < F.col("shift"))).cast("long")
+    out = (C.join_counted(base, at, SOURCE, "n_rows").withColumn("rate", _rate())
+           .withColumn("copies", F.floor("rate") + more).withColumn("taken", F.col("copies") * F.col("size")))
     keep = [c for c in base.columns if c not in ("size", "source_key", "u")]
     return out.select(*[F.col(f"`{c}`") for c in keep], *added)
 

@@ -2,6 +2,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from candlewick.llm import mixing as M, queries as Q
 
@@ -10,13 +11,27 @@ def size(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
 
+def targets_of(sizes, weights=(3.0, 1.0, 2.0), total=1.5, most=2.0):
+    """Targets of sources in order, by the rule read one source at a time."""
+    weight = [weights[k % len(weights)] for k in range(len(sizes))]
+    left, open_, out = total * sum(sizes), set(range(len(sizes))), [0.0] * len(sizes)
+    while open_:
+        unit = left / sum(weight[k] for k in open_)
+        full = {k for k in open_ if unit * weight[k] >= most * sizes[k]}
+        for k in full or open_:
+            out[k] = most * sizes[k] if full else unit * weight[k]
+        left -= sum(out[k] for k in full)
+        open_ = open_ - full if full else set()
+    return out
+
+
 def check(got, rows):
     """rows: (doc_id, text, source); got has one row for each."""
     sizes = {}
     for _, t, s in rows:
         sizes[s] = sizes.get(s, 0) + size(t)
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
-    targets = dict(zip(order, M.source_targets([sizes[s] for s in order])))
+    targets = dict(zip(order, targets_of([sizes[s] for s in order])))
     assert len(got) == len(rows)
     taken, most, by = {}, {}, {}
     for r in got:
@@ -67,8 +82,25 @@ def test_order_of_rows_is_no_input(spark):
             == sorted(map(tuple, M.mix(order).select(columns).collect())))
 
 
-@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 1], [0, 0], [5], [7, 0, 3, 1000]])
-def test_targets(sizes):
-    t = M.source_targets(sizes)
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 100, 1], [0, 0], [5], [7, 0, 3, 1000],
+                                   [3 ** k for k in range(12)], [2 ** (11 - k) for k in range(12)]])
+def test_targets(spark, sizes):
+    table = spark.createDataFrame([(f"s{k:03d}", n) for k, n in enumerate(sizes)], "source_key string, words long")
+    t = [r["target"] for r in M.source_targets(table).orderBy("source_key").collect()]
+    assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-9) for a, b in zip(t, targets_of(sizes)))
     assert all(a <= 2 * b + 1e-9 for a, b in zip(t, sizes))
-    assert math.isclose(sum(t), min(1.5 * sum(sizes), 2 * sum(sizes)), abs_tol=1e-9)
+    assert math.isclose(sum(t), 1.5 * sum(sizes), abs_tol=1e-9)
+
+
+def test_a_hundred_thousand_sources(spark):
+    n = 100_000
+    docs = spark.range(2 * n).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 5).cast("int")).alias("text"),
+        F.format_string("%07d", F.col("id") % n).alias("source"))
+    out = M.mix(docs).drop("text").toPandas()
+    assert len(out) == 2 * n and out["copies"].between(0, 2).all()
+    by = out.groupby("source").agg(size=("source_size", "first"), own=("size", "sum"), target=("target", "first"),
+                                   taken=("taken", "sum"), most=("size", "max"))
+    assert len(by) == n and (by["size"] == by["own"]).all()
+    assert by["target"].tolist() == pytest.approx(targets_of(by["size"].tolist()))
+    assert ((by["taken"] - by["target"]).abs() <= by["most"] + 1e-6).all()
