@@ -2,7 +2,8 @@
 
 One Arrow pass measures every text and hashes its normalised lines (words lower-cased A-Z,
 joined by one space). Distinct documents are counted for each (host, line hash); lines found in
-more than ``limit`` documents of a host are removed from all of that host's documents. A document
+``least_documents`` or more of a host's documents that are also ``host_percent`` or more of them are
+removed from all of that host's documents, whatever the host's size. A document
 that keeps less than ``least_share`` of its words, or fewer than ``least_words``, is depleted and
 rejected, as is one that fails the base rules.
 
@@ -24,8 +25,8 @@ from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, St
 
 from candlewick.llm import common as C
 
-#: More documents of one host than this make a line boilerplate.
-LINE_LIMIT = 100
+#: So many documents of one host, and so large a share of them in percent, make a line boilerplate.
+LEAST_DOCUMENTS, HOST_PERCENT = 10, 5
 LEAST_SHARE, LEAST_WORDS = 0.5, 20
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
@@ -90,7 +91,7 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def quality_rules(docs: DataFrame, limit: int = LINE_LIMIT, least_share: float = LEAST_SHARE,
+def quality_rules(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, host_percent: int = HOST_PERCENT, least_share: float = LEAST_SHARE,
                   least_words: int = LEAST_WORDS, id_col: str = "doc_id",
                   text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``id_col``, the measures, ``removed_lines`` (numbers from 0), ``words_left``,
@@ -101,9 +102,12 @@ def quality_rules(docs: DataFrame, limit: int = LINE_LIMIT, least_share: float =
                           .withColumn("row_id", F.monotonically_increasing_id()), "measured")
     lines = rows.select("row_id", "host", F.explode(F.arrays_zip(*[n for n, _, _ in LINE_FIELDS]))
                         .alias("x")).select("row_id", "host", "x.*")
+    hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    counts = (lines.where("line_first").groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("documents"))
+              .where(F.col("documents") >= least_documents))
     frequent = C.shared_table(
-        lines.where("line_first").groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("documents"))
-        .where(F.col("documents") > limit).select("host", "line_hash"), "frequent-lines")
+        counts.join(hosts, "host").where(100 * F.col("documents") >= host_percent * F.col("host_documents"))
+        .select("host", "line_hash"), "frequent-lines")
     removed = (lines.join(frequent, ["host", "line_hash"]).groupBy("row_id")
                .agg(F.array_sort(F.collect_list("line_no")).alias("removed_lines"),
                     F.sum("line_words").alias("words_removed")))
@@ -125,7 +129,10 @@ lw AS (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS ws FROM l),
 n AS (SELECT doc_id, source, line, len(ws) AS k,
              translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                        'abcdefghijklmnopqrstuvwxyz') AS norm FROM lw WHERE len(ws) > 0),
-f AS (SELECT source, norm FROM n GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > {LINE_LIMIT}),
+hd AS (SELECT source, count(DISTINCT doc_id) AS k FROM documents GROUP BY 1),
+f AS (SELECT c.source, norm FROM (SELECT source, norm, count(DISTINCT doc_id) AS k FROM n GROUP BY 1, 2) AS c
+      JOIN hd ON hd.source IS NOT DISTINCT FROM c.source
+      WHERE c.k >= {LEAST_DOCUMENTS} AND 100 * c.k >= {HOST_PERCENT} * hd.k),
 r AS (SELECT doc_id, sum(k) AS gone FROM n JOIN f ON n.norm = f.norm AND n.source IS NOT DISTINCT FROM f.source
       GROUP BY 1),
 d AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup FROM n GROUP BY 1),
