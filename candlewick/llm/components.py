@@ -14,8 +14,9 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     else:
         around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = C.shared_table(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "star")
-    linked = around.join(least, "a")
+    least = C.shared_table(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"),
+                                                   F.count(F.lit(1)).alias("degree")), "star")
+    linked = C.join_counted(around, least, ["a"], "degree")       # the centre of a star is a hot key
     if small:
         linked = linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))

@@ -167,18 +167,21 @@ def links(fps: DataFrame, bits: int = MOST_BITS) -> DataFrame:
 
 def near_classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,
                  id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Rows (id, row keys, fp) and classes (fp, ``group_fp``, ``component_id``): fingerprints
-    that links connect share ``group_fp``, the least of them as a signed number."""
+    """Rows (id, row keys, fp) and classes (fp, ``group_fp``, ``component_id``, ``n_rows`` with this
+    fp): fingerprints that links connect share ``group_fp``, the least of them as a signed number."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        *C.row_keys(id_col, text_col))
     rows = C.shared_table(fingerprints(slim, shingle).drop("text"), "fingerprints")
-    fps = C.shared_table(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "distinct-fps")
+    fps = C.shared_table(rows.groupBy("fp").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("n_rows")),
+                         "distinct-fps")
     roots = C.shared_table(components(links(fps, bits)), "roots")
-    member = C.shared_table(fps.join(roots, fps["fp"] == roots["node"]).select("fp", "root", "least_id"), "members")
-    least = C.shared_table(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "least-ids")
-    linked = member.join(least, "root").select("fp", F.col("root").alias("group_fp"), "component_id")
+    member = C.shared_table(fps.join(roots, fps["fp"] == roots["node"]).select("fp", "root", "least_id", "n_rows"), "members")
+    least = C.shared_table(member.groupBy("root").agg(F.min("least_id").alias("component_id"),
+                                                      F.count(F.lit(1)).alias("n_fps")), "least-ids")
+    linked = C.join_counted(member, least, ["root"], "n_fps").select(
+        "fp", F.col("root").alias("group_fp"), "component_id", "n_rows")
     alone = fps.join(member, "fp", "left_anti").select(
-        "fp", F.col("fp").alias("group_fp"), F.col("least_id").alias("component_id"))
+        "fp", F.col("fp").alias("group_fp"), F.col("least_id").alias("component_id"), "n_rows")
     return rows, C.shared_table(linked.unionByName(alone), "classes")
 
 
@@ -186,7 +189,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BI
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``fp`` and ``component_id``, the smallest id that is reachable by links."""
     rows, classes = near_classes(docs, shingle, bits, id_col, text_col)
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return (C.join_counted(rows, classes, ["fp"], "n_rows")
+            .select(F.col("id").alias(id_col), "fp", "component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = MOST_BITS,

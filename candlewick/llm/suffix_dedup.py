@@ -243,8 +243,8 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str
     rows = C.shared_table(anchor_rows(docs, id_col, text_col), "anchors")
     grams = C.shared_table(
         rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b"))
-        .where("n > 1").select("key", (F.col("a") != F.col("b")).alias("mixed")), "grams")
-    near = C.shared_table(rows.join(grams, "key"), "repeated-grams")
+        .where("n > 1").select("key", (F.col("a") != F.col("b")).alias("mixed"), "n"), "grams")
+    near = C.shared_table(C.join_counted(rows, grams, ["key"], "n").drop("n"), "repeated-grams")
     mixed = near.where("mixed")
     places = (mixed.groupBy("key", "ctx")
               .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEYS, "anchor", "first", "last")).alias("p"))
@@ -253,8 +253,9 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str
     contexts = C.shared_table(
         texts.join(places, KEYS).select("packed", "places").mapInArrow(cut_contexts, _fields(CONTEXT))
         .dropDuplicates(["key", "ctx"]), "contexts")
-    ranges = C.shared_table(merged(resolve(contexts)), "ranges")
-    some = mixed.join(ranges, ["key", "ctx"]).select(*KEYS, F.transform("windows", lambda w: F.struct(
+    ranges = C.shared_table(merged(resolve(contexts)).join(contexts.select("key", "ctx", "n"), ["key", "ctx"]),
+                            "ranges")
+    some = C.join_counted(mixed, ranges, ["key", "ctx"], "n").select(*KEYS, F.transform("windows", lambda w: F.struct(
         (F.col("first") + w["lo"]).alias("start"), (F.col("first") + w["hi"] + WINDOW).alias("end"))).alias("r"))
     every = near.where("not mixed").select(*KEYS, F.array(F.struct(
         F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end"))).alias("r"))

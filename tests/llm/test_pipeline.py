@@ -1,3 +1,4 @@
+import hashlib
 from collections import Counter
 
 import public_tokenizers
@@ -40,6 +41,9 @@ def test_against_brute_force(spark):
     for r in out[4].collect():
         assert r["ids"] == reference.encode(text[r["doc_id"]], add_special_tokens=False).ids
         assert r["n_tokens"] == len(r["ids"])
+        assert r["decoded_sha256"] == hashlib.sha256(
+            reference.decode(r["ids"], skip_special_tokens=False).encode()).hexdigest()
+        assert r["text_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest()
     assert sorted(map(str, P.run(spark, D).collect())) == sorted(map(str, out[4].collect()))
 
 
@@ -57,3 +61,11 @@ def test_odd_rows(spark):
     one = simhash.keep_one(docs.drop("fp")).collect()
     assert sum(r["text"] == "the same row" for r in one) == 1
     assert {r["text"] or "" for r in one} == {r[1] or "" for r in rows}
+
+
+def test_no_learned_language_keeps_texts_with_letters(spark):
+    rows = [(k, t, None, "a", 1) for k, t in enumerate(["plain english", "другой язык", "12 + 34", "", None, "é"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.language_id(spark, docs, D)
+    assert got.columns == P.COLUMNS
+    assert sorted(r["doc_id"] for r in got.collect()) == [k for k, t, *_ in rows if any(map(str.isalpha, t or ""))]
