@@ -154,6 +154,14 @@ def q_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.describe(_training(spark, sf_dir), TRAIN_FEATURES, ["sector"]))
 
 
+FACTS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def q_describe_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on a fact table: exact quartiles of raw lineitem columns by return flag."""
+    return rounded(stats.describe(S.table(spark, sf_dir, "lineitem"), FACTS, ["l_returnflag"]))
+
+
 def q_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P17 + A8: up/down label (return > 0) counts per sector."""
     tf = _training(spark, sf_dir).withColumn("label", binary_label("weighted_sector_returns"))
@@ -573,6 +581,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corr_screen": q_corr_screen,
         "stationary_screen": q_stationary_screen,
         "describe": q_describe,
+        "describe_facts": q_describe_facts,
         "label_counts": q_label_counts,
         "fold_report": q_fold_report,
         "holdout": q_holdout,
@@ -630,6 +639,7 @@ def oracle_sql() -> dict[str, str]:
         "corr_screen": O.CORR_SCREEN,
         "stationary_screen": O.STATIONARY_SCREEN,
         "describe": O.DESCRIBE,
+        "describe_facts": O.DESCRIBE_FACTS,
         "label_counts": O.LABEL_COUNTS,
         "fold_report": O.FOLD_REPORT,
         "holdout": O.HOLDOUT,

@@ -1,7 +1,8 @@
-"""Join helpers (J1-J9): keyed lookups and missing-key reports.
+"""Join helpers (J1-J9): keyed lookups, missing-key reports, joins on hot keys.
 
 No side is forced into a broadcast: Spark broadcasts one whose size, estimated or measured by
-adaptive execution, lies below the session's threshold, and keeps a shuffle join beyond it.
+adaptive execution, lies below the session's threshold, and keeps a shuffle join beyond it. Only
+``join_counted`` broadcasts by itself, fewer than ``HOT_SHARE`` rows.
 """
 
 from __future__ import annotations
@@ -21,3 +22,18 @@ def lookup_first(ref: DataFrame, key: str, cols: Sequence[str], order: str) -> D
 def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys of ``left`` that ``right`` lacks (``left_anti``)."""
     return left.select(key).distinct().join(right.select(key), key, "left_anti")
+
+
+#: Keys that hold more than one in so many rows are joined by broadcast; there are fewer of them.
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """``rows`` joined to ``table``, which has one row a key and in ``n`` the number of rows of
+    ``rows`` with that key. Hot keys, under ``HOT_SHARE`` of them by their share of the rows, are
+    broadcast, so that their rows stay where they are; the others are joined as Spark sees fit."""
+    total = table.agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * HOT_SHARE > F.lit(total)
+    hot = F.broadcast(table.where(is_hot))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(~is_hot), keys)
+    return rows.join(hot, keys).unionByName(rest)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from candlewick.functions.columns import col
+from candlewick.operators.joins import join_counted
+from candlewick.session import cut_lineage
 
 NAN = float("nan")
 
@@ -175,26 +177,90 @@ def flagged_columns(pairs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     return pairs.select(*group, "col_i").distinct()
 
 
+#: Rows of a range that one task sorts; the grid that narrows larger ranges, and its rank error as one
+#: over so many rows, far finer than the grid.
+SORT_ROWS, GRID, ACCURACY = 100_000, 256, 10_000
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Narrow the ranges of ``targets``: a grid of approximate percentiles inside each range brackets
+    its ranks; then the rows below and inside the new range are counted exactly."""
+    at = ["g", "i", "k"]
+    n_rows = targets.select("g", "i", "k", "first", "second", "below", "inside", "a", "b")
+    inside = join_counted(rows, n_rows.groupBy("g", "i").agg(
+        F.collect_list(F.struct("k", "a", "b")).alias("ranges"), F.max("inside").alias("n")), ["g", "i"], "n")
+    inside = inside.select("g", "i", "x", F.explode("ranges").alias("r")).where("x >= r.a AND x <= r.b")
+    grid = F.percentile_approx("x", [j / GRID for j in range(GRID + 1)], ACCURACY)
+    grids = inside.groupBy("g", "i", F.col("r.k").alias("k")).agg(grid.alias("grid"))
+    part = lambda c: F.floor((F.col(c) - F.col("below")) * GRID / F.col("inside")).cast("int")
+    new = cut_lineage(targets.join(grids, at).withColumns({
+        "a": F.when(part("first") >= 2, F.element_at("grid", part("first"))).otherwise(F.col("a")),
+        "b": F.when(part("second") <= GRID - 3, F.element_at("grid", part("second") + 3)).otherwise(F.col("b"))})
+        .drop("grid"))
+    old = targets.select(*at, F.col("a").alias("old_a"))
+    spans = new.join(old, at).groupBy("g", "i").agg(
+        F.collect_list(F.struct("k", "a", "b", "old_a")).alias("ranges"), F.max("inside").alias("n"))
+    seen = join_counted(rows, spans, ["g", "i"], "n").select("g", "i", "x", F.explode("ranges").alias("r"))
+    counts = seen.where("x >= r.old_a AND x <= r.b").groupBy("g", "i", F.col("r.k").alias("k")).agg(
+        F.count_if(F.col("x") < F.col("r.a")).alias("skipped"), F.count_if(F.col("x") >= F.col("r.a")).alias("left"))
+    return cut_lineage(new.join(counts, at).withColumns({"below": F.col("below") + F.col("skipped"),
+                                                         "inside": F.col("left")}).drop("skipped", "left"))
+
+
 def describe(df: DataFrame, cols: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
     """A9 ``describe()`` in long form (group..., column, count, mean, std, min, 25%, 50%,
-    75%, max) with exact linearly interpolated percentiles (pandas), std with ddof 1.
+    75%, max) with exact linearly interpolated percentiles (pandas; NaN is missing), std with ddof 1.
 
-    Exact percentiles keep every distinct value of a group in its final task; use this on
-    feature tables whose groups are calendar-bounded series, not on raw fact tables.
+    Percentiles come from distributed rank selection: ranges that hold more than ``SORT_ROWS`` rows are
+    narrowed around the wanted ranks, round by round, with bounded sketches and exact counts; only
+    the values left in a range, equal ones counted once, are put in order by one task. Groups of any size
+    take the same way.
     """
-    structs = []
-    for c in cols:
-        x = col(c)
-        p = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        structs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"),
-                                F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                                F.min(x).cast("double").alias("min"),
-                                p[0].alias("p25"), p[1].alias("p50"), p[2].alias("p75"),
-                                F.max(x).cast("double").alias("max")))
-    agg_exprs = [s.alias(f"d{n}") for n, s in enumerate(structs)]
-    agg = df.groupBy(*group).agg(*agg_exprs) if group else df.agg(*agg_exprs)
-    return (agg.select(*group, F.explode(F.array(*[F.col(f"d{n}") for n in range(len(cols))]))
-                       .alias("d")).select(*group, "d.*"))
+    x = {c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in cols}
+    data = cut_lineage(df.select(F.struct(*[col(c) for c in group], F.lit(0).alias("__one")).alias("g"),
+                                 *[v.alias(f"x{i}") for i, v in enumerate(x.values())]))
+    stats = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(c).alias("column"), F.count(f"x{i}").alias("count"), F.avg(f"x{i}").alias("mean"),
+        F.stddev_samp(f"x{i}").alias("std"), F.min(f"x{i}").alias("min"), F.max(f"x{i}").alias("max"))
+        for i, c in enumerate(cols)])
+    table = cut_lineage(data.groupBy("g").agg(stats.alias("s")).select("g", F.explode("s").alias("s")).select("g", "s.*"))
+    rows = data.select("g", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("x")) for i in range(len(cols))])).alias("v")).select(
+        "g", "v.*").where("x IS NOT NULL")
+    place = F.col("p") * (F.col("count") - 1)
+    targets = (
+        table.where("count > 0").select("g", "i", "count", "min", "max", F.posexplode(F.array(*map(F.lit, QUARTILES)))
+                                        .alias("k", "p"))
+        .select("g", "i", "k", F.floor(place).alias("first"), F.ceil(place).alias("second"),
+                (place - F.floor(place)).alias("part"), F.col("min").alias("a"), F.col("max").alias("b"),
+                F.lit(0).cast("long").alias("below"), F.col("count").alias("inside")))
+    wide, narrowed = (F.col("inside") > SORT_ROWS) & (F.col("a") < F.col("b")), False
+    while not targets.where(wide).isEmpty():
+        done, before = targets.where(~wide), targets.where(wide)
+        new, narrowed = _narrowed(rows, before), True
+        # a range that its rows' ties keep from narrowing is put in order as it is
+        stuck = new.join(before.select("g", "i", "k", F.col("inside").alias("had")), ["g", "i", "k"])
+        if stuck.where(F.col("inside") < F.col("had")).isEmpty():
+            targets = done.unionByName(new)
+            break
+        targets = cut_lineage(done.unionByName(new))
+    spans = targets.groupBy("g", "i").agg(
+        F.collect_list(F.struct("k", "a", "b", "first", "second", "below")).alias("ranges"), F.max("inside").alias("n"))
+    # without a narrowed range no group holds more than SORT_ROWS rows, so no key is hot
+    met = join_counted(rows, spans, ["g", "i"], "n") if narrowed else rows.join(spans, ["g", "i"])
+    inside = (met.select("g", "i", "x", F.explode("ranges").alias("r"))
+              .where("x >= r.a AND x <= r.b").groupBy("g", "i", "r", "x").agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(Window.partitionBy("g", "i", "r.k").orderBy("x")) + F.col("r.below")
+    found = (inside.withColumn("upto", upto).groupBy("g", "i", F.col("r.k").alias("k")).agg(
+        F.min(F.when(F.col("upto") > F.col("r.first"), F.col("x"))).alias("low"),
+        F.min(F.when(F.col("upto") > F.col("r.second"), F.col("x"))).alias("high")))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    quartiles = found.join(targets.select("g", "i", "k", "part"), ["g", "i", "k"]).groupBy("g", "i").agg(*[
+        F.min(F.when(F.col("k") == k, value)).alias(n) for k, n in enumerate(("p25", "p50", "p75"))])
+    out = table.join(quartiles, ["g", "i"], "left")
+    return out.select(*[F.col("g")[c].alias(c) for c in group], "column", "count", "mean", "std", "min", "p25", "p50",
+                      "p75", "max")
 
 
 def value_counts(df: DataFrame, c: str, group: Sequence[str] = ()) -> DataFrame:

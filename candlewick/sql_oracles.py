@@ -435,6 +435,13 @@ DESCRIBE = f"""
     f"{r4(f'quantile_cont({_q(c)}, 0.5)')} AS p50, {r4(f'quantile_cont({_q(c)}, 0.75)')} AS p75, "
     f"{r4(f'max({_q(c)})')} AS max FROM tf GROUP BY sector" for c in TRAIN_FEATURES)
 
+DESCRIBE_FACTS = "\nUNION ALL\n".join(
+    f"SELECT l_returnflag, '{c}' AS \"column\", count({c}) AS \"count\", "
+    f"{r4(f'avg({c})')} AS mean, {r4(f'stddev_samp({c})')} AS std, {r4(f'CAST(min({c}) AS DOUBLE)')} AS min, "
+    f"{r4(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)')} AS p25, {r4(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)')} AS p50, "
+    f"{r4(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)')} AS p75, {r4(f'CAST(max({c}) AS DOUBLE)')} AS max "
+    f"FROM lineitem GROUP BY l_returnflag" for c in ("l_quantity", "l_extendedprice", "l_discount"))
+
 LABEL_COUNTS = f"""
 {TRAIN_WITH}
 SELECT sector, CASE WHEN weighted_sector_returns > 0 THEN 1 ELSE 0 END AS value,

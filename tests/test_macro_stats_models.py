@@ -63,6 +63,29 @@ def test_lag_features_dispatch(spark):
     assert r.cpi_monthly_lag1 == 20.0 and r["cpi_monthly_lag-1"] == 40.0
 
 
+@pytest.mark.parametrize("sort_rows", [40, 100_000])
+def test_describe_equals_pandas_whatever_one_task_sorts(spark, monkeypatch, sort_rows):
+    monkeypatch.setattr(stats, "SORT_ROWS", sort_rows)
+    rng = np.random.default_rng(4)
+    n = 20_000
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], n, p=[0.9, 0.0995, 0.0005]),
+                        "x.y": rng.normal(size=n), "heavy": np.exp(rng.normal(0, 60, n)),
+                        "ties": rng.choice([0.0, 1.0, 2.0], n, p=[0.3, 0.2, 0.5]), "none": np.full(n, np.nan)})
+    pdf.loc[rng.random(n) < 0.1, "x.y"] = np.nan
+    df = spark.createDataFrame(pdf).repartition(6)
+    cols = ["x.y", "heavy", "ties", "none"]
+    got = stats.describe(df, cols, ["g"]).toPandas()
+    assert len(got) == 4 * 3
+    for r in got.itertuples():
+        x = pdf[pdf["g"].isna() if pd.isna(r.g) else pdf["g"] == r.g][r.column].describe()
+        assert int(got.loc[r.Index, "count"]) == int(x["count"])
+        for a, b in (("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"),
+                     ("max", "max")):
+            assert got.loc[r.Index, a] == pytest.approx(x[b], rel=1e-9, abs=1e-12, nan_ok=True), (r.g, r.column, a)
+    whole = stats.describe(df, ["ties"]).collect()
+    assert [tuple(r)[5:8] for r in whole] == [tuple(pdf["ties"].quantile([0.25, 0.5, 0.75]))]
+
+
 def test_corr_at_eighty_columns_equals_pandas(spark):
     rng = np.random.default_rng(8)
     k, n = 80, 3000
