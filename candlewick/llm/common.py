@@ -13,6 +13,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from candlewick.operators.joins import join_counted   # noqa: F401  (shared with the operators here)
 from candlewick.session import scratch_path
 
 SLICE_BYTES = 1 << 20
@@ -112,18 +113,3 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
-
-
-#: Keys that hold more than one in so many rows are joined by broadcast; there are fewer of them.
-HOT_SHARE = 1000
-
-
-def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
-    """``rows`` joined to ``table``, which has one row a key and in ``n`` the number of rows of
-    ``rows`` with that key. Hot keys, under ``HOT_SHARE`` of them by their share of the rows, are
-    broadcast, so that their rows stay where they are; the others are joined as Spark sees fit."""
-    total = table.agg(F.sum(n)).first()[0] or 0
-    is_hot = F.col(n) * HOT_SHARE > F.lit(total)
-    hot = F.broadcast(table.where(is_hot))
-    rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(~is_hot), keys)
-    return rows.join(hot, keys).unionByName(rest)
