@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from candlewick import sql_oracles as O
 from candlewick.operators.joins import lookup_first, missing_keys
 from candlewick.functions.nulls import binary_label
-from candlewick.session import cut_lineage
+from candlewick.session import cut_lineage, scratch_path
 from candlewick.sources import files
 from candlewick.operators import boosting, folds, linear, metrics, models, stats
 from candlewick.plans import macro, monthly, sector, ticker, training
@@ -549,6 +549,68 @@ def q_payload_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(good.unionByName(bad))
 
 
+def _listed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars whose first two symbols have names that a reader could take for numbers."""
+    odd = F.when(F.col("symbol") == "T00001", "INFINITY").when(F.col("symbol") == "T00002", "007").otherwise(F.col("symbol"))
+    return S.bars(spark, sf_dir).withColumn("symbol", odd)
+
+
+def q_partitioned_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars published with one folder per symbol, read back through partition pruning."""
+    bars = _listed_bars(spark, sf_dir)
+    path = scratch_path(spark, "bars-by-symbol")
+    files.publish(bars, path, lambda df, p: files.write_partitioned(df, p, "symbol"))
+    back = files.read_partitioned(spark, path, bars.schema)
+    return rounded(back.where(F.col("symbol").isin("007", "INFINITY", *LISTED)))
+
+
+def q_csv_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S4 + S8: bars written as CSV files, a folder per symbol, and scanned back with the
+    symbol from the path; lines with a volume that is no number (those of the 13th) are rejects."""
+    bars = _listed_bars(spark, sf_dir).select(
+        "symbol", F.col("trade_date").cast("string").alias("trade_date"), "close_price",
+        F.when(F.dayofmonth("trade_date") == 13, "n/a").otherwise(F.col("volume").cast("string")).alias("volume"))
+    path = scratch_path(spark, "bars-csv")
+    files.publish(bars, path, lambda df, p: files.write_partitioned(df, p, "symbol", "csv"))
+    wanted = {"trade_date", "close_price", "volume"}
+    kind = StructType([f for f in files.PRICE_FIELDS if f.name in wanted])
+    rows, rejects = files.scan_price_folder(spark, path, "*.csv", kind, key_from="folder")
+    good = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), F.count("volume").alias("n_volume"),
+                                      F.sum("volume").alias("volume"), F.min("trade_date").alias("first_date"),
+                                      F.sum("close_price").alias("close_sum"))
+    bad = rejects.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rejected"))
+    out = good.join(bad, "symbol", "left").withColumn("n_rejected", F.coalesce("n_rejected", F.lit(0)))
+    return rounded(out)
+
+
+def q_sector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: members written as a tree (sector folder, ticker folder) and read back from its listing;
+    the file of a table beside it, at another depth, is counted as a reject."""
+    members = S.sector_members(spark, sf_dir)
+    path = scratch_path(spark, "sector-tree")
+    tree = members.select("sector", F.concat("symbol", F.lit("_bars")).alias("ticker"), F.lit(1).alias("one"))
+    files.publish(tree, path, lambda df, p: files.write_partitioned(df, p, ["sector", "ticker"]))
+    members.select("sector").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/stray")
+    found, rejects = files.scan_sector_tree(spark, path, leaf="folder")
+    per = found.groupBy("sector").agg(F.count(F.lit(1)).alias("members"), F.min("symbol").alias("first_symbol"),
+                                      F.max("symbol").alias("last_symbol"))
+    other = rejects.agg(F.lit("(files at another depth)").alias("sector"), F.count(F.lit(1)).alias("members"),
+                        F.lit(None).cast("string").alias("first_symbol"), F.lit(None).cast("string").alias("last_symbol"))
+    return per.unionByName(other)
+
+
+WINDOW_START, WINDOW_END = "1996-03-01", "1996-05-31"
+
+
+def q_bars_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of a date range, from a table clustered on the date, so that the range skips files."""
+    path = scratch_path(spark, "bars-by-date")
+    bars = S.bars(spark, sf_dir)
+    files.publish(bars, path, lambda df, p: files.write_by_range(df, p, "trade_date", 16))
+    back = spark.read.schema(bars.schema).parquet(path)
+    return rounded(back.where(F.col("trade_date").between(F.lit(WINDOW_START).cast("date"), F.lit(WINDOW_END).cast("date"))))
+
+
 def q_sector_market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 + P7 + P18 + J9: sector market cap from per-symbol lookups, with coverage."""
     bars = S.bars(spark, sf_dir)
@@ -609,6 +671,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "series_ends": q_series_ends,
         "sector_lookup": q_sector_lookup,
         "payload_prices": q_payload_prices,
+        "partitioned_bars": q_partitioned_bars,
+        "csv_bars": q_csv_bars,
+        "sector_tree": q_sector_tree,
+        "bars_window": q_bars_window,
         "classifier_sweep": q_classifier_sweep,
         "regressor_sweep": q_regressor_sweep,
         "feature_importance": q_feature_importance,
@@ -666,6 +732,10 @@ def oracle_sql() -> dict[str, str]:
         "series_ends": O.SERIES_ENDS,
         "sector_lookup": O.SECTOR_LOOKUP,
         "payload_prices": O.PAYLOAD_PRICES,
+        "partitioned_bars": O.PARTITIONED_BARS,
+        "csv_bars": O.CSV_BARS,
+        "sector_tree": O.SECTOR_TREE,
+        "bars_window": O.BARS_WINDOW,
         "sector_market_cap": O.SECTOR_MARKET_CAP,
         **(llm.oracle_sql() if llm else {}),
         **({"pipeline": corpus_pipeline.ORACLE_SQL}

@@ -11,7 +11,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
@@ -42,8 +43,8 @@ STOCK_INFO_SCHEMA = StructType([StructField("symbol", StringType()),
 
 def typed_prices(df: DataFrame) -> DataFrame:
     """Parse the text columns of a price table: date (F1) and ISO-8601 timestamp."""
-    return df.withColumns({"trade_date": parse_date(F.col("trade_date")),
-                           "created_at": F.try_to_timestamp(F.col("created_at"))})
+    parsed = {"trade_date": parse_date(F.col("trade_date")), "created_at": F.try_to_timestamp(F.col("created_at"))}
+    return df.withColumns({c: parsed[c] for c in parsed if c in df.columns})
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
@@ -72,35 +73,71 @@ def read_macro(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(order.cast("int").alias("line_no"), *typed)
 
 
-def read_price_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
-                      schema: StructType = PRICE_SCHEMA) -> DataFrame:
-    """S2 + S4: every ``*.csv`` in a folder in one scan; a row's symbol falls back to the
-    file name without extension when the column is empty."""
-    df = (spark.read.schema(schema).option("header", True)
+CORRUPT = "__corrupt"
+
+
+def _price_files(spark: SparkSession, folder: str, glob: str, schema: StructType, key_from: str) -> DataFrame:
+    """The scan of both readers below: fields, the corrupt line and the file."""
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    df = (spark.read.schema(with_corrupt).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
           .option("pathGlobFilter", glob).csv(folder)
-          .withColumn("__file", F.col("_metadata.file_name")))
-    from_name = F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1)
-    return typed_prices(df.withColumn("symbol", F.coalesce(F.col("symbol"), from_name))
-                          .drop("__file"))
+          .withColumns({"__file": F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+    from_file = F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1)
+    from_folder = F.url_decode(F.regexp_extract("__path", r"([^/=]+)/[^/]*$", 1))
+    key = {"file": from_file, "folder": from_folder}[key_from]
+    return df.withColumn("symbol", F.coalesce(F.col("symbol"), key) if "symbol" in schema.names else key).drop("__path")
 
 
-def read_sector_tree(spark: SparkSession, root: str) -> DataFrame:
-    """S3: (sector, symbol) from ``root/<sector>/<TICKER>_<anything>`` file names.
+def read_price_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
+                      schema: StructType = PRICE_SCHEMA, key_from: str = "file") -> DataFrame:
+    """S2 + S4: every ``*.csv`` below a folder in one scan, fields that do not parse being null.
+
+    A row's symbol falls back to the path when the column is empty: to the file name without
+    extension (``key_from="file"``), or to the name of the file's folder, without a ``key=`` prefix
+    (``"folder"``). The schema is given, so symbols stay text whatever they look like.
+    """
+    return typed_prices(_price_files(spark, folder, glob, schema, key_from).drop("__file", CORRUPT))
+
+
+def scan_price_folder(spark: SparkSession, folder: str, glob: str = "*.csv", schema: StructType = PRICE_SCHEMA,
+                      key_from: str = "file") -> tuple[DataFrame, DataFrame]:
+    """S2 + S4 with rejects: (rows, rejects) of ``read_price_folder``'s files.
+
+    ``rejects`` has ``symbol``, ``file`` and the raw ``line`` of every row with a field that does not
+    parse; rows keep them with nulls in those fields. The scan is written once as a shared table that
+    both read: a reader of some columns only would not try to parse the others.
+    """
+    df = cut_lineage(_price_files(spark, folder, glob, schema, key_from))
+    rejects = df.where(F.col(CORRUPT).isNotNull()).select(
+        "symbol", F.col("__file").alias("file"), F.col(CORRUPT).alias("line"))
+    return typed_prices(df.drop("__file", CORRUPT)), rejects
 
-    Files at any other depth belong to no sector and are left out. Only the file listing is needed: ``binaryFile`` prunes the unused ``content`` column,
-    so file bodies are never read.
+
+def scan_sector_tree(spark: SparkSession, root: str, leaf: str = "file") -> tuple[DataFrame, DataFrame]:
+    """S3: (members, rejects) of a tree ``root/<sector>/<TICKER>_<anything>``.
+
+    ``leaf`` says what the last name is: a file's, or a folder's that holds files (any number).
+    ``key=`` prefixes of folders are left out. ``members`` has distinct (sector, symbol); ``rejects`` the
+    ``path`` of every file at another depth. Only the file listing is needed: ``binaryFile`` prunes
+    the unused ``content`` column, so file bodies are never read.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root).select("path"))
     # components below the root, counted, so that the root's name is no pattern
     steps = len(spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/").split("/"))
+    last = {"file": -1, "folder": -2}[leaf]
     parts = F.split(F.regexp_replace("path", "^[A-Za-z0-9+.-]+:(//[^/]*)?", ""), "/")
-    name = F.element_at(parts, -1)
-    stem = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1)
-    return (files.where(F.size(parts) == steps + 2)
-                 .select(F.element_at(parts, -2).alias("sector"),
-                         F.split(stem, "_")[0].alias("symbol"))
-                 .distinct())
+    name = lambda k: F.regexp_replace(F.element_at(parts, k), "^[^=]*=", "")
+    stem = F.regexp_extract(name(last), r"^(.*?)(\.[^.]*)?$", 1)
+    fits = F.size(parts) == steps + 1 - last
+    members = files.where(fits).select(name(last - 1).alias("sector"), F.split(stem, "_")[0].alias("symbol")).distinct()
+    return members, files.where(~fits)
+
+
+def read_sector_tree(spark: SparkSession, root: str) -> DataFrame:
+    """S3: (sector, symbol) from ``root/<sector>/<TICKER>_<anything>`` file names."""
+    return scan_sector_tree(spark, root)[0]
 
 
 def explode_payload(payloads: DataFrame, array_field: str, record: StructType,
@@ -164,8 +201,35 @@ def symbol_batches(symbols: DataFrame, batch_size: int, col: str = "symbol") ->
             .select(col, F.floor(at / batch_size).cast("int").alias("batch")))
 
 
-def write_partitioned(df: DataFrame, path: str, key: str, fmt: str = "parquet",
+def write_partitioned(df: DataFrame, path: str, key: str | Sequence[str], fmt: str = "parquet",
                       mode: str = "overwrite") -> None:
     """S8 + S9 + S10: one folder per key value; the writer creates folders as needed."""
-    (df.repartition(key).write.mode(mode).partitionBy(key).format(fmt)
+    keys = [key] if isinstance(key, str) else list(key)
+    (df.repartition(*keys).write.mode(mode).partitionBy(*keys).format(fmt)
        .option("header", True).save(path))
+
+
+def publish(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
+    """S8-S10 as an idempotent job: write beside ``path``, then rename. A reader sees no half-written
+    table; where ``path`` is there already, or another run publishes it first, it stays as it is."""
+    spark = df.sparkSession
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at(path)):
+        return
+    draft = f"{path}.draft-{uuid.uuid4().hex}"
+    write(df, draft)
+    if fs.exists(at(path)) or not fs.rename(at(draft), at(path)):
+        fs.delete(at(draft), True)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a table with one folder per key value. The schema holds the key columns too, so their
+    types are not guessed from folder names; filters on keys prune folders."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_by_range(df: DataFrame, path: str, order: str, files: int) -> None:
+    """A table clustered on ``order``: each file holds one range of it, sorted, so that a range
+    filter skips files by their statistics."""
+    df.repartitionByRange(files, order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)

@@ -833,6 +833,34 @@ SELECT symbol, symbol LIKE '%7' AS rejected,
 FROM bars GROUP BY symbol
 """
 
+_ODD = "CASE symbol WHEN 'T00001' THEN 'INFINITY' WHEN 'T00002' THEN '007' ELSE symbol END AS symbol"
+_BAR = ", ".join(_r(c, c) for c in ("open_price", "high_price", "low_price", "close_price", "volume"))
+PARTITIONED_BARS = f"""
+WITH {BARS_CTE}
+SELECT {_ODD}, trade_date, {_BAR} FROM bars
+WHERE symbol IN ('T00001', 'T00002', 'T00003', 'T00005', 'T00008')
+"""
+
+CSV_BARS = f"""
+WITH {BARS_CTE},
+b AS (SELECT {_ODD}, trade_date, close_price, CASE WHEN day(trade_date) <> 13 THEN volume END AS volume FROM bars)
+SELECT symbol, count(*) AS n_rows, count(volume) AS n_volume, {_r("sum(volume)", "volume")},
+       min(trade_date) AS first_date, {_r("sum(close_price)", "close_sum")},
+       count(*) FILTER (volume IS NULL) AS n_rejected
+FROM b GROUP BY symbol
+"""
+
+SECTOR_TREE = f"""
+WITH {MEMBERS_CTE}
+SELECT sector, count(*) AS members, min(symbol) AS first_symbol, max(symbol) AS last_symbol FROM mem GROUP BY sector
+UNION ALL SELECT '(files at another depth)', 1, NULL, NULL
+"""
+
+BARS_WINDOW = f"""
+WITH {BARS_CTE}
+SELECT symbol, trade_date, {_BAR} FROM bars WHERE trade_date BETWEEN DATE '1996-03-01' AND DATE '1996-05-31'
+"""
+
 SECTOR_MARKET_CAP = f"""
 WITH {BARS_CTE}, {MEMBERS_CTE},
 lastc AS (SELECT symbol, arg_max(close_price, trade_date) AS last_close FROM bars GROUP BY 1)

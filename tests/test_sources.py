@@ -111,3 +111,81 @@ def test_macro_csv_feeds_the_alignment(spark, tmp_path):
                    (2, 2017, "february", 2, None, None, None, dt.date(2017, 2, 28)),
                    (3, 2017, "march", 3, 2.5, None, 7.25, None),
                    (4, 2018, "january", 1, 3.0, None, None, None)]
+
+
+def test_scan_routes_lines_that_do_not_parse_to_rejects(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "bars")
+    for name, lines in {"symbol=007": ["1,,2020-01-02,1,2,0.5,1.5,100,", "2,,2020-01-03,1,2,0.5,n/a,100,"],
+                        "symbol=INFINITY": ["3,,2020-01-02,1,2,0.5,7,5,"]}.items():
+        os.makedirs(os.path.join(folder, name))
+        with open(os.path.join(folder, name, "part-0.csv"), "w") as f:
+            f.write(HEADER + "\n".join(lines) + "\n")
+    rows, rejects = files.scan_price_folder(spark, folder, key_from="folder")
+    got = {r.id: (r.symbol, r.close_price) for r in rows.collect()}
+    assert got == {1: ("007", 1.5), 2: ("007", None), 3: ("INFINITY", 7.0)}
+    assert [(r.symbol, r.file, r.line.split(",")[6]) for r in rejects.collect()] == [("007", "part-0.csv", "n/a")]
+
+
+def test_sector_tree_reports_files_at_another_depth(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "tree")
+    for p in ("a/X_1.csv", "a/Y.csv", "top.csv", "a/deep/Z_1.csv"):
+        os.makedirs(os.path.dirname(os.path.join(root, p)), exist_ok=True)
+        open(os.path.join(root, p), "w").write("x\n")
+    members, rejects = files.scan_sector_tree(spark, root)
+    assert {tuple(r) for r in members.collect()} == {("a", "X"), ("a", "Y")}
+    assert {r.path.rsplit("/", 1)[1] for r in rejects.collect()} == {"top.csv", "Z_1.csv"}
+    folders, _ = files.scan_sector_tree(spark, root, leaf="folder")
+    assert [tuple(r) for r in folders.collect()] == [("a", "deep")]
+
+
+def test_publish_is_idempotent_and_partitions_are_pruned(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.createDataFrame([("007", 1), ("INFINITY", 2), ("A", 3)], "symbol string, v int")
+    write = lambda d, p: files.write_partitioned(d, p, "symbol")
+    files.publish(df, path, write)
+    files.publish(df.where("v > 1"), path, write)                    # is there already: stays
+    back = files.read_partitioned(spark, path, df.schema)
+    assert {(r.symbol, r.v) for r in back.collect()} == {("007", 1), ("INFINITY", 2), ("A", 3)}
+    assert not [n for n in os.listdir(tmpdir_path) if "draft" in n]
+    plan = back.where("symbol = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and back.where("symbol = '007'").count() == 1
+
+
+def test_a_date_range_reads_few_rows_of_a_clustered_table(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "clustered")
+    files.write_by_range(spark.range(100_000).select((F.col("id") % 997).alias("d"), "id"), path, "d", 10)
+    part = spark.read.parquet(path).where("d BETWEEN 100 AND 120")
+    n = part.count()
+    assert n == sum(1 for i in range(100_000) if 100 <= i % 997 <= 120)
+    query = part.select("id", "d")
+    plan = query._jdf.queryExecution().executedPlan()
+    query._jdf.toLocalIterator().hasNext()
+    assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,100), LessThanOrEqual(d,120)]" in plan.toString()
+    rows = query._jdf.queryExecution()
+    rows.toRdd().count()
+    leaves = rows.executedPlan().collectLeaves()
+    read = sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+    assert 0 < read < 100_000 / 2
+
+
+def test_intermediate_tables_go_with_the_session(tmpdir_path):
+    import subprocess
+    import sys
+    import time
+    code = f"""
+import sys; sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from candlewick.session import cut_lineage
+s = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+     .config("spark.checkpoint.dir", {tmpdir_path!r}).getOrCreate())
+t = cut_lineage(s.range(10))
+import glob
+assert t.count() == 10 and glob.glob({tmpdir_path!r} + "/**/part-*", recursive=True)
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+    for _ in range(100):                                  # the JVM ends after its Python process
+        left = [f for _, _, names in os.walk(tmpdir_path) for f in names]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert left == []
