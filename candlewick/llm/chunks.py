@@ -5,7 +5,8 @@ mask: a strict one below the normal size, a loose one beyond it (normalised chun
 latest at the longest size. Boundaries depend on nearby bytes only, so an edit changes the
 chunks around it and leaves the others. The sizes hold for all texts; they are small enough that a
 text of some 40 bytes has several chunks. The fingerprint is the set of chunk digests with their
-lengths, as text: 16 hex digits of XXH3 and 3 of the length, sorted and comma-joined.
+lengths: numbers of 48 bits of XXH3 and 6 of the length, ascending, written as 9 characters of 6 bits
+each (``ALPHABET``, in the order of its characters) with nothing between them.
 
 Likeness of two fingerprints is their weighted containment: the bytes in common chunks over the
 bytes in distinct chunks of the smaller side; two empty texts are alike (1), an empty and another
@@ -43,8 +44,8 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_sets(texts: list[bytes]) -> list[dict[str, int]]:
-    """For every text its distinct chunks: digest and length as hex -> length."""
+def chunked(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every text its chunks in order: numbers (digest and length) and ends in bytes."""
     data = b"".join(texts)
     h = gear_hashes(np.frombuffer(data, np.uint8))
     loose = np.flatnonzero(h < np.uint32(1 << 32 - LOOSE_BITS))
@@ -52,34 +53,62 @@ def chunk_sets(texts: list[bytes]) -> list[dict[str, int]]:
     loose = loose.tolist()
     strict.append(1 << 62)
     loose.append(1 << 62)
-    digest, out, start = xxhash.xxh3_64_hexdigest, [], 0
+    digest, out, start = xxhash.xxh3_64_intdigest, [], 0
     for t in texts:
-        end, found = start + len(t), {}
+        first, end, numbers, ends = start, start + len(t), [], []
         while start < end:
             cut = strict[bisect_left(strict, start + SHORTEST - 1)] + 1
             if cut > start + NORMAL:
                 cut = min(loose[bisect_left(loose, start + NORMAL)] + 1, start + LONGEST)
             cut = min(cut, end)
-            size = cut - start
-            found[f"{digest(data[start:cut])}{size:03x}"] = size
+            numbers.append(digest(data[start:cut]))
+            ends.append(cut)
             start = cut
-        out.append(found)
+        ends = np.array(ends, np.int64)
+        sizes = np.diff(ends, prepend=first).astype(np.uint64)
+        out.append(((np.array(numbers, np.uint64) >> np.uint64(16)) << np.uint64(6) | sizes, ends - first))
     return out
 
 
-def as_text(chunks: dict[str, int]) -> str:
-    return ",".join(sorted(chunks))
+def chunk_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """For every text the ascending numbers of its distinct chunks."""
+    return [np.unique(numbers) for numbers, _ in chunked(texts)]
 
 
-def likeness(a: dict[str, int], b: dict[str, int]) -> float:
-    if not a or not b:
-        return float(not a and not b)
-    common = sum(a[x] for x in a.keys() & b.keys())
-    return common / min(sum(a.values()), sum(b.values()))
+def edited_sets(own: list[tuple[np.ndarray, np.ndarray]], kept: list[int], edited: list[bytes]) -> list[np.ndarray]:
+    """``chunk_sets`` of texts that keep their first ``kept`` bytes of the ``own`` (``chunked``) ones:
+    chunks that end there are the same, and chunking goes on after the last of them."""
+    same = [int(np.searchsorted(ends, k, side="right")) for (_, ends), k in zip(own, kept)]
+    # the end of the old text is no boundary of the new one
+    same = [n - (n > 0 and n == len(ends) and ends[-1] < len(t)) for n, (_, ends), t in zip(same, own, edited)]
+    starts = [int(ends[n - 1]) if n else 0 for n, (_, ends) in zip(same, own)]
+    rest = chunked([t[a:] for t, a in zip(edited, starts)])
+    return [np.unique(np.concatenate([numbers[:n], new])) for n, (numbers, _), (new, _) in zip(same, own, rest)]
 
 
-def parse(fingerprint: str) -> dict[str, int]:
-    return {x: int(x[16:], 16) for x in fingerprint.split(",") if x}
+#: Ascending in ASCII, so that fingerprints sort as their numbers.
+ALPHABET = np.frombuffer(b"-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz", np.uint8)
+SHIFTS = np.arange(48, -1, -6, dtype=np.uint64)
+
+
+def as_text(chunks: np.ndarray) -> str:
+    return ALPHABET[(chunks[:, None] >> SHIFTS & np.uint64(63)).astype(np.int64)].tobytes().decode()
+
+
+def parse(fingerprint: str) -> np.ndarray:
+    six = np.searchsorted(ALPHABET, np.frombuffer(fingerprint.encode(), np.uint8)).astype(np.uint64)
+    return (six.reshape(-1, len(SHIFTS)) << SHIFTS).sum(axis=1, dtype=np.uint64)
+
+
+def weight(chunks: np.ndarray) -> int:
+    """Bytes in the chunks."""
+    return int((chunks & np.uint64(63)).sum())
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    return weight(np.intersect1d(a, b, assume_unique=True)) / min(weight(a), weight(b))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField
@@ -44,10 +45,17 @@ def edited_text(text: str, following: str) -> str:
 
 
 def _fingerprint_pairs(texts: list[bytes], nexts: list[bytes]) -> list[pa.Array]:
-    own = [t.decode() for t in texts]
-    edited = [edited_text(t, n.decode()).encode() for t, n in zip(own, nexts)]
-    sets, edited_sets, next_sets = map(chunks.chunk_sets, (texts, edited, nexts))
-    return [pa.array([len(t) for t in own], pa.int64()),
+    strings = [t.decode() for t in texts]
+    edited = [edited_text(t, n.decode()).encode() for t, n in zip(strings, nexts)]
+    kept = [len(t[:len(t) - len(t) // 4].encode()) for t in strings]
+    own = chunks.chunked(texts)
+    sets = [np.unique(numbers) for numbers, _ in own]
+    edited_sets = chunks.edited_sets(own, kept, edited)
+    # mostly the next text is the next row's own
+    known = [k + 1 < len(texts) and nexts[k] == texts[k + 1] for k in range(len(texts))]
+    others = iter(chunks.chunk_sets([n for n, k in zip(nexts, known) if not k]))
+    next_sets = [sets[i + 1] if k else next(others) for i, k in enumerate(known)]
+    return [pa.array([len(t) for t in strings], pa.int64()),
             pa.array([hashlib.sha256(t).hexdigest() for t in edited], pa.string()),
             pa.array(list(map(chunks.as_text, sets)), pa.string()),
             pa.array(list(map(chunks.as_text, edited_sets)), pa.string()),

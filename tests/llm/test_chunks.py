@@ -5,8 +5,8 @@ from candlewick.llm import chunks as K, queries as Q, successors
 
 
 def slow_chunks(text: bytes):
-    """Byte-by-byte normalised chunking."""
-    out, start = {}, 0
+    """Byte-by-byte normalised chunking: distinct chunks as (48 bits of digest, length)."""
+    out, start = set(), 0
     while start < len(text):
         end = min(len(text), start + K.LONGEST)
         for i in range(start, end):
@@ -17,11 +17,30 @@ def slow_chunks(text: bytes):
                 end = i + 1
                 break
         part = text[start:end]
-        out[f"{K.xxhash.xxh3_64_hexdigest(part)}{len(part):03x}"] = len(part)
+        out.add((K.xxhash.xxh3_64_intdigest(part) >> 16, len(part)))
         start = end
     return out
 
 
+def slow_text(chunks):
+    letters = sorted("-_" + "".join(chr(c) for c in range(128) if chr(c).isalnum()))
+    out = []
+    for digest, size in sorted(chunks):
+        n, word = digest * 64 + size, ""
+        for _ in range(9):
+            n, r = divmod(n, 64)
+            word = letters[r] + word
+        out.append(word)
+    return "".join(out)
+
+
+def slow_likeness(a, b):
+    if not a or not b:
+        return float(not a and not b)
+    size = lambda x: sum(n for _, n in x)
+    return size(a & b) / min(size(a), size(b))
+
+
 def brute(rows):
     """rows: (id, text) in order."""
     out = []
@@ -29,8 +48,8 @@ def brute(rows):
         t, n = t or "", rows[(k + 1) % len(rows)][1] or ""
         e = Q.edited_text(t, n)
         sets = [slow_chunks(x.encode()) for x in (t, e, n)]
-        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), K.as_text(sets[0]), K.as_text(sets[1]),
-                    K.likeness(sets[0], sets[1]), K.likeness(sets[0], sets[2])))
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), slow_text(sets[0]), slow_text(sets[1]),
+                    slow_likeness(sets[0], sets[1]), slow_likeness(sets[0], sets[2])))
     return out
 
 
@@ -41,6 +60,18 @@ def test_query_matches_brute_force(spark):
     assert got == sorted(brute(rows))
     big = [r for r in got if r[1] > 2000]
     assert sum(r[5] for r in big) / len(big) > 0.55
+    assert sum(len(r[3]) for r in got) < 0.7 * sum(len((t or "").encode()) for _, t in rows)
+
+
+def test_edited_chunks_go_on_from_the_kept_ones():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abcé \n") for _ in range(n)).encode() for n in (0, 1, 3, 5, 7, 48, 49, 100, 1000, 5000)]
+    for kept_share in (0, 0.3, 0.75, 1):
+        kept = [int(len(t) * kept_share) for t in texts]
+        edited = [t[:k] + rng.randbytes(rng.randrange(60)) for t, k in zip(texts, kept)]
+        got = K.edited_sets(K.chunked(texts), kept, edited)
+        assert [g.tolist() for g in got] == [w.tolist() for w in K.chunk_sets(edited)]
+        assert all(K.parse(K.as_text(g)).tolist() == g.tolist() for g in got)
 
 
 def test_odd_rows(spark):
