@@ -34,7 +34,8 @@ class Template:
     base: bool = False
 
 
-# Phrases and license wording.
+# Phrases and license wording. A label that ends in -text, -notice, -header or -conditions
+# stands for that part of a license; -full for all of its mandatory wording.
 BASE = (Template("mit", "mit license", True), Template("apache", "apache license", True),
         Template("gpl", "general public license", True))
 TEMPLATES = BASE + (
@@ -45,11 +46,39 @@ TEMPLATES = BASE + (
         or sell copies of {1-4} and to permit persons to whom {1-4} is furnished to do so subject to the
         following conditions the above copyright notice and this permission notice [including the next
         paragraph] shall be included in all copies or substantial portions of {1-4}"""),
+    Template("mit-text-full", """permission is hereby granted free of charge to any person obtaining a copy of
+        this software and associated documentation files the {1-3} to deal in {1-4} without restriction
+        including without limitation the rights to use copy modify merge publish distribute sublicense and
+        or sell copies of {1-4} and to permit persons to whom {1-4} is furnished to do so subject to the
+        following conditions the above copyright notice and this permission notice [including the next
+        paragraph] shall be included in all copies or substantial portions of {1-4} the {1-3} is provided as is
+        without warranty of any kind express or implied including but not limited to the warranties of
+        merchantability fitness for a particular purpose and noninfringement in no event shall the
+        authors or copyright holders be liable for any claim damages or other liability whether in an action
+        of contract tort or otherwise arising from out of or in connection with {1-4} or the use or other
+        dealings in {1-4}"""),
     Template("isc-text", """permission to use copy modify and or distribute this software for any purpose
         with or without fee is hereby granted provided that the above copyright notice and this permission
         notice appear in all copies"""),
     Template("bsd-text", """redistribution and use in source and binary forms with or without modification
         are permitted provided that the following conditions are met"""),
+    Template("bsd-2-conditions", """redistribution and use in source and binary forms with or without
+        modification are permitted provided that the following conditions are met [1] [a] redistributions of
+        source code must retain the above copyright notice this list of conditions and the following
+        disclaimer [2] [b] redistributions in binary form must reproduce the above copyright notice this list
+        of conditions and the following disclaimer in the documentation and or other materials provided with
+        the distribution"""),
+    Template("bsd-3-conditions", """redistribution and use in source and binary forms with or without
+        modification are permitted provided that the following conditions are met [1] [a] redistributions of
+        source code must retain the above copyright notice this list of conditions and the following
+        disclaimer [2] [b] redistributions in binary form must reproduce the above copyright notice this list
+        of conditions and the following disclaimer in the documentation and or other materials provided with
+        the distribution [3] [c] neither the name [s] of {1-20} nor the names of its contributors may be used
+        to endorse or promote products derived from this software without specific prior written
+        permission"""),
+    Template("bsd-disclaimer", """this software is provided by {1-20} as is and any express or implied warranties
+        including but not limited to the implied warranties of merchantability and fitness for a particular
+        purpose are disclaimed"""),
     Template("bsd-3-clause", """neither the name [s] of {1-20} nor the names of its contributors may be used
         to endorse or promote products derived from this software without specific prior written
         permission"""),
@@ -57,6 +86,37 @@ TEMPLATES = BASE + (
     Template("apache-2.0", "apache license [v] [version] 2 0"),
     Template("apache-2.0-notice", """licensed under the apache license version 2 0 the license you may not use
         {1-4} except in compliance with the license"""),
+    Template("apache-2.0-header", """licensed under the apache license version 2 0 the license you may not use
+        {1-4} except in compliance with the license you may obtain a copy of the license at [http] [https] [www]
+        apache org licenses license 2 0 unless required by applicable law or agreed to in writing software
+        distributed under the license is distributed on an as is basis without warranties or conditions of any
+        kind either express or implied see the license for the specific language governing permissions and
+        limitations under the license"""),
+    Template("zlib-text", """this software is provided as is without any express or implied warranty in no
+        event will the {1-4} be held liable for any damages arising from the use of this software permission is
+        granted to anyone to use this software for any purpose including commercial applications and to alter
+        it and redistribute it freely subject to the following restrictions"""),
+    Template("unlicense", """this is free and unencumbered software released into the public domain anyone is
+        free to copy modify publish use compile sell or distribute this software either in source code form or
+        as a compiled binary for any purpose commercial or non commercial and by any means"""),
+    Template("bsl-1.0", "boost software license version 1 0"),
+    Template("bsl-1.0-text", """permission is hereby granted free of charge to any person or organization obtaining
+        a copy of the software and accompanying documentation covered by this license the software to use
+        reproduce display distribute execute and transmit the software and to prepare derivative works of the
+        software and to permit third parties to whom the software is furnished to do so all subject to the
+        following"""),
+    Template("mpl-2.0", "mozilla public license [v] [version] 2 0"),
+    Template("mpl-2.0-notice", """this source code form is subject to the terms of the mozilla public license v 2 0 if
+        a copy of the mpl was not distributed with this file you can obtain one at [http] [https] mozilla org mpl
+        2 0"""),
+    Template("cc0-1.0", "cc0 1 0 [universal]"),
+    Template("cc0-notice", """to the extent possible under law {1-12} has waived all copyright and related or
+        neighboring rights to"""),
+    *(Template(f"{name}-{version.replace(' ', '.')}-or-later", f"""free software you can redistribute it and or modify it
+        under the terms of the gnu {kind} general public license as published by the free software foundation
+        either version {version} of the license or [at your option] any later version""")
+      for name, kind, versions in (("gpl", "", ("2", "3")), ("lgpl", "lesser", ("2 1", "3")), ("agpl", "affero", ("3",)))
+      for version in versions),
     Template("gpl-notice", """free software you can redistribute it and or modify it under the terms
         of the gnu [lesser] [library] [affero] general public license"""),
     Template("gpl-version", "gnu [lesser] [library] [affero] general public license [as published by the free "

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 from candlewick.llm import licenses as L, queries as Q
 
@@ -63,3 +65,44 @@ def test_odd_rows(spark):
         assert (r["n_words"], len(base)) == (n, k)
         assert min((m["start"] for m in base), default=None) == first
     assert L.scan(docs.limit(0)).count() == 0
+
+
+def expanded(markup):
+    """The template as a regular expression over words that are each followed by one space."""
+    out = []
+    for token in re.findall(r"\[|\]|\{\d+-\d+\}|[^\s\[\]{}]+", markup):
+        least_most = token[1:-1].split("-")
+        out.append("(?:" if token == "[" else ")?" if token == "]"
+                   else f"(?:\\S+ ){{{least_most[0]},{least_most[1]}}}" if token[0] == "{" else re.escape(token) + " ")
+    return re.compile("".join(out))
+
+
+def test_template_matches_equal_an_expansion_to_regular_expressions():
+    rng = random.Random(6)
+    patterns = [expanded(t.markup) for t in L.TEMPLATES]
+    automaton = L.TokenAutomaton(L.TEMPLATES)
+    hits = Counter()
+    for trial in range(6 * len(L.TEMPLATES)):
+        t = L.TEMPLATES[trial % len(L.TEMPLATES)]
+        words = rng.choices(["software", "the", "license", "x1"], k=rng.randrange(3))
+        depth, keep = 0, [True]
+        for token in re.findall(r"\[|\]|\{\d+-\d+\}|[^\s\[\]{}]+", t.markup):
+            if token == "[":
+                keep.append(keep[-1] and rng.random() < 0.5)
+            elif token == "]":
+                keep.pop()
+            elif keep[-1]:
+                words += (rng.choices(["acme", "the", "software"], k=rng.randint(*map(int, token[1:-1].split("-"))))
+                          if token[0] == "{" else [token])
+        if trial // len(L.TEMPLATES) % 3 == 2:               # a mandatory word changed: mostly no match
+            words[rng.randrange(len(words))] = "changed"
+        words += rng.choices(["of", "mit", "2", "0"], k=rng.randrange(3))
+        want = set()
+        for i in range(len(words)):
+            for k, p in enumerate(patterns):
+                end = next((j for j in range(len(words), i, -1) if p.fullmatch(" ".join(words[i:j]) + " ")), None)
+                if end:
+                    want.add((i, end, k))
+        assert set(automaton.matches([w.encode() for w in words])) == want
+        hits.update(L.TEMPLATES[k].label for _, _, k in want)
+    assert {t.label for t in L.TEMPLATES} == set(hits)

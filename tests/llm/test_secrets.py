@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from candlewick.llm import queries as Q, secrets as S
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -85,3 +88,30 @@ def test_long_texts_and_tokens(spark):
     got = docs.where("doc_id = 2").select(S.ratio(S.F.split("text", " ")[1], literal).alias("r")).first()["r"]
     want = sum(table[128 * ord(a) + ord(b)] for a, b in zip(blob, blob[1:])) / (len(blob) - 1)
     assert abs(got - want) < 1e-9
+
+
+def test_recall_of_held_out_secrets_and_false_alarms_of_names(spark):
+    """Trained on the documents with even ids, scored on values of the others and on names."""
+    docs = Q.documents(spark, "/root/testdata/sf0.1").select("doc_id", "text")
+    model = S.train(docs.where("doc_id % 2 = 0"))
+    odd = docs.where("doc_id % 2 = 1")
+    base = S.scan(odd, model).select("text", F.explode("base_spans").alias("b"))
+    kinds = {f.name for f in base.schema["b"].dataType.fields}
+    assert {"start", "end"} <= kinds
+    values = sorted({r["text"][r["b"]["start"]:r["b"]["end"]] for r in base.collect()})
+    values = sorted({re.split(r"[:=\s\"']+", v)[-1] for v in values if len(v) >= 16})
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    drawn = ["".join(rng.choice(letters) for _ in range(20)) for _ in range(500)]
+    words = sorted({w for r in odd.select("text").collect() for w in re.findall(r"[a-z]{5,9}", r["text"] or "")})
+    names = [rng.choice(words) + "_" + rng.choice(words) + "_" + rng.choice(words) for _ in range(500)]
+    names += [w.capitalize() + rng.choice(words).capitalize() + rng.choice(words).capitalize() for w in rng.choices(words, k=500)]
+
+    def flagged(tokens):
+        df = spark.createDataFrame([(k, f"x {t} y") for k, t in enumerate(tokens)], "doc_id long, text string")
+        return S.scan(df, model).where(F.size("secret_spans") > 0).count() / len(tokens)
+
+    shares = {"values": flagged(values), "drawn": flagged(drawn), "names": flagged(names)}
+    print(shares)
+    assert len(values) > 50 and shares["values"] >= 0.9 and shares["drawn"] >= 0.9
+    assert shares["names"] <= 0.1
