@@ -24,16 +24,20 @@ def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.select(key).distinct().join(right.select(key), key, "left_anti")
 
 
-#: Keys that hold more than one in so many rows are joined by broadcast; there are fewer of them.
-HOT_SHARE = 1000
+#: A key is hot if it holds more than one in ``HOT_SHARE`` of the rows, and so many that one task should
+#: not get them all. There are fewer than ``HOT_SHARE`` such keys.
+HOT_SHARE, HOT_ROWS = 1000, 20_000
 
 
 def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
     """``rows`` joined to ``table``, which has one row a key and in ``n`` the number of rows of
-    ``rows`` with that key. Hot keys, under ``HOT_SHARE`` of them by their share of the rows, are
-    broadcast, so that their rows stay where they are; the others are joined as Spark sees fit."""
-    total = table.agg(F.sum(n)).first()[0] or 0
-    is_hot = F.col(n) * HOT_SHARE > F.lit(total)
+    ``rows`` with that key. Hot keys are broadcast, so that their rows stay where they are; the others
+    are joined as Spark sees fit."""
+    sums = table.agg(F.sum(n), F.max(n)).first()
+    total, most = sums[0] or 0, sums[1] or 0
+    if most < HOT_ROWS or most * HOT_SHARE <= total:
+        return rows.join(table, keys)
+    is_hot = (F.col(n) >= HOT_ROWS) & (F.col(n) * HOT_SHARE > F.lit(total))
     hot = F.broadcast(table.where(is_hot))
     rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(~is_hot), keys)
     return rows.join(hot, keys).unionByName(rest)
