@@ -89,21 +89,21 @@ def balance(counts: DataFrame, sources: DataFrame) -> DataFrame:
         "done": is_full | (F.col("target") <= 0)})
     columns = state.columns
     state = C.shared_table(state, "newton")
-    done, todo = state.where("done"), state.where(~F.col("done"))
     x = F.col("size") / F.col("mean")
     words = F.col("n") * F.col("size") * _rate()
     # decimal sums don't depend on the order of rows, so reruns take the same steps
     exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
     for _ in range(NEWTON_STEPS):
+        todo = state.where(~F.col("done"))
         if todo.isEmpty():
             break
         sums = (counts.join(todo.select("source_key", "mean", "lam"), "source_key").groupBy("source_key")
                 .agg(exact(words).alias("got"),
                      exact(F.when(_rate() < MOST, words * x).otherwise(0.0)).alias("slope")))
-        miss = F.col("got") - F.col("target")
+        miss = F.col("got") - F.col("target")            # null for sources that are done
         met = F.abs(miss) <= 1e-9 * F.col("target") + 1e-6
-        at = todo.join(sums, "source_key").withColumns({
-            "low": F.when(miss > 0, F.col("low")).otherwise(F.col("lam")),
+        at = state.join(sums, "source_key", "left").withColumns({
+            "low": F.when(miss <= 0, F.col("lam")).otherwise(F.col("low")),
             "high": F.when(miss > 0, F.col("lam")).otherwise(F.col("high"))})
         newton = F.when(F.col("slope") > 0, F.col("lam") - miss / F.col("slope"))
         inside = (newton > F.col("low")) & (newton < F.col("high"))
@@ -111,10 +111,10 @@ def balance(counts: DataFrame, sources: DataFrame) -> DataFrame:
         wider = F.col("lam") + F.when(miss > 0, -1.0).otherwise(1.0) * (1 + F.abs(F.col("lam")))
         step = (F.when(F.coalesce(inside, F.lit(False)), newton).when(no_bracket, wider)
                 .otherwise((F.col("low") + F.col("high")) / 2))
-        at = at.withColumn("done", met).withColumn("lam", F.when(met, F.col("lam")).otherwise(step))
-        now = C.shared_table(at.select(*columns), "newton")
-        done, todo = done.unionByName(now.where("done")), now.where(~F.col("done"))
-    return C.shared_table(done.unionByName(todo).drop("low", "high", "done"), "lambdas")
+        rest = F.coalesce(met, F.lit(True))
+        state = C.shared_table(at.withColumns({"done": rest, "lam": F.when(rest, F.col("lam")).otherwise(step)})
+                               .select(*columns), "newton")
+    return state.drop("low", "high", "done")
 
 
 def offsets(rows: DataFrame, sources: DataFrame) -> DataFrame:
