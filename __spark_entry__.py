@@ -435,23 +435,56 @@ def q_boosted_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores("tuned").unionByName(scores("default"))
 
 
-def q_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 + M26: all six classifiers fitted on the first 80 % of every sector; accuracy of the
-    train and of the held-out rows. ``settings`` tells the two boosted-tree models apart."""
-    h = folds.ordered_holdout(_model_frame(spark, sf_dir), KEY, "date", 0.2)
-    h = cut_lineage(h.withColumn("fold", F.lit(0)))
-    sc = _scaled_from(h)
-    scores, _ = models.sweep_scores(sc.withColumn("label", F.col("label").cast("double")), MODEL_FEATURES,
-                                    KEY, CLASSIFIERS, "classification")
-    scores = scores.withColumn("settings", F.lit("default"))
-    fits = [("logistic", "default", _logistic_predictions(h))]
+def _classifier_counts(spark: SparkSession, f: DataFrame) -> DataFrame:
+    """All six classifiers fitted on the train rows of ``f``: rows by model, settings, key, fold,
+    role, label and prediction. ``settings`` tells the two boosted-tree models apart."""
+    sc = _scaled_from(f)
+    counts, _ = models.sweep_counts(sc.withColumn("label", F.col("label").cast("double")), MODEL_FEATURES,
+                                    KEY, CLASSIFIERS)
+    counts = counts.withColumn("settings", F.lit("default"))
+    fits = [("logistic", "default", _logistic_predictions(f))]
     fits += [(name, settings, boosting.fit_groups(sc, MODEL_FEATURES, KEY, fit)[0]) for name, settings, fit in (
         ("adaboost", "default", "adaboost"), *[("boosted", s, f"boosted{x}") for s, x in SETTINGS.items()])]
     for name, settings, pred in fits:
-        hit = (F.col("label") == F.col("prediction")).cast("double")
-        scores = scores.unionByName(pred.groupBy(F.lit(name).alias("model"), *KEY, "fold", "role").agg(
-            F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"), F.lit(settings).alias("settings")))
-    return rounded(scores.drop("fold"))
+        row = [F.lit(name).alias("model"), F.lit(settings).alias("settings"), *KEY, "fold", "role",
+               F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")]
+        counts = counts.unionByName(pred.select(*row).groupBy(
+            "model", "settings", *KEY, "fold", "role", "label", "prediction").agg(F.count(F.lit(1)).alias("n")))
+    return counts
+
+
+def _report_and_confusion(counts: DataFrame) -> DataFrame:
+    """Report rows of the test rows, with the row of the confusion matrix beside each class."""
+    g = ["model", "settings", *KEY, "fold"]
+    test = cut_lineage(counts.where("role = 'test'"))      # the fits feed the report and the matrix
+    matrix = metrics.confusion(test, g, n="n").withColumn("class", F.col("true_class").cast("string"))
+    return rounded(metrics.classification_report(test, g, n="n")
+                   .join(matrix.drop("true_class"), [*g, "class"], "left"))
+
+
+def _holdout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = folds.ordered_holdout(_model_frame(spark, sf_dir), KEY, "date", 0.2)
+    return cut_lineage(h.withColumn("fold", F.lit(0)))
+
+
+def q_holdout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M26: all six classifiers fitted on the first 80 % of every sector; accuracy of the
+    train and of the held-out rows."""
+    hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+    counts = _classifier_counts(spark, _holdout_rows(spark, sf_dir))
+    return rounded(counts.groupBy("model", "settings", *KEY, "role").agg(
+        F.sum("n").alias("n"), (hits / F.sum("n")).alias("accuracy")))
+
+
+def q_holdout_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M19 + M20 + M26: report and confusion of all six classifiers on the held-out rows."""
+    return _report_and_confusion(_classifier_counts(spark, _holdout_rows(spark, sf_dir))).drop("fold")
+
+
+def q_classifier_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9-M14 + M19 + M20 + M26: report and confusion of all six classifiers on the test rows of
+    every sector and fold."""
+    return _report_and_confusion(_classifier_counts(spark, _folds(spark, sf_dir)))
 
 
 def q_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -684,6 +717,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "boosted_confusion": q_boosted_confusion,
         "boosted_regression": q_boosted_regression,
         "adaboost_scores": q_adaboost_scores,
+        "holdout_report": q_holdout_report,
+        "classifier_report": q_classifier_report,
         "holdout_scores": q_holdout_scores,
         **(llm.queries() if llm else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def rmse(pred: DataFrame, group: Sequence[str], y: str = "label",
@@ -39,26 +39,31 @@ def accuracy(pred: DataFrame, group: Sequence[str], y: str = "label",
         F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
 
 
+def _rows(condition: Column, n: str | None) -> Column:
+    """Rows that meet a condition; ``n`` names a column of counts if a row stands for several."""
+    return F.count_if(condition) if n is None else F.sum(F.when(condition, F.col(n)).otherwise(0))
+
+
 def confusion(pred: DataFrame, group: Sequence[str], classes: Sequence[int] = (0, 1),
-              y: str = "label", p: str = "prediction") -> DataFrame:
+              y: str = "label", p: str = "prediction", n: str | None = None) -> DataFrame:
     """M20 ``confusion_matrix``: one row per (group..., class of ``classes``), a count column per
     predicted class (``pred_<c>``); a class without rows has zeros."""
     cells = [F.struct(F.lit(t).alias("true_class"), *[
-        F.count_if((F.col(y) == t) & (F.col(p) == c)).alias(f"pred_{c}") for c in classes]) for t in classes]
+        _rows((F.col(y) == t) & (F.col(p) == c), n).alias(f"pred_{c}") for c in classes]) for t in classes]
     agg = pred.groupBy(*group).agg(F.array(*cells).alias("__c"))
     return agg.select(*group, F.explode("__c").alias("c")).select(*group, "c.*")
 
 
 def classification_report(pred: DataFrame, group: Sequence[str],
                           classes: Sequence[int] = (0, 1), y: str = "label",
-                          p: str = "prediction") -> DataFrame:
+                          p: str = "prediction", n: str | None = None) -> DataFrame:
     """M19 ``classification_report``: per class precision, recall, F1, support, plus
     'macro avg' and 'weighted avg' rows; a 0/0 ratio is 0 (zero_division default)."""
     per = []
     for c in classes:
-        tp = F.count_if((F.col(y) == c) & (F.col(p) == c))
-        pp = F.count_if(F.col(p) == c)
-        sup = F.count_if(F.col(y) == c)
+        tp = _rows((F.col(y) == c) & (F.col(p) == c), n)
+        pp = _rows(F.col(p) == c, n)
+        sup = _rows(F.col(y) == c, n)
         per.append(F.struct(F.lit(str(c)).alias("class"), tp.alias("tp"), pp.alias("pp"),
                             sup.alias("support")))
     agg = pred.groupBy(*group).agg(F.array(*per).alias("__c"))

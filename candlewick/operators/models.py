@@ -6,20 +6,19 @@ Two kinds of estimators:
   Gaussian naive Bayes (class means / variances are grouped aggregates) and ridge
   regression (per-group Gram matrices X'X, X'y aggregated with partial aggregation, then a
   k x k solve per group -- the only non-SQL step works on k*k numbers, not on rows).
-* Spark ML estimators (lasso, elastic net, trees, boosted trees, logistic regression,
-  random forest, AdaBoost with weighted stumps) fitted once per (key, fold) by a driver
-  loop; each fit is a distributed job over that fold's rows.
+* Spark ML estimators (lasso, elastic net, trees, logistic regression, random forest) fitted
+  once per (key, fold) by a driver loop; each fit is a distributed job over that fold's rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from candlewick.functions.columns import col
 
@@ -158,20 +157,17 @@ def _group_filter(g: Sequence[str], gv: tuple) -> F.Column:
     return cond
 
 
-def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
-                 names: Sequence[str], task: str = "classification",
-                 max_parallel: int = 8) -> tuple[DataFrame, DataFrame]:
-    """M15 + M16-M18 + M24 + M26: fit every (model, key, fold) on the fold's train rows and
-    score train and test rows right away.
+def _sweep(scaled: DataFrame, features: Sequence[str], key: Sequence[str], names: Sequence[str],
+           make: Callable, score: Callable[[DataFrame], DataFrame], fields: Sequence[StructField],
+           max_parallel: int) -> tuple[DataFrame, DataFrame]:
+    """Fit every (model, key, fold) on the fold's train rows and ``score`` train and test rows
+    right away; (scores, importances).
 
     Each fit is a distributed Spark ML job over one fold's rows; the small, independent
-    fits are submitted concurrently from a thread pool. Only metric rows (a handful per
+    fits are submitted concurrently from a thread pool. Only score rows (a handful per
     fit) and importances (one per feature) come back to the driver, so no plan of
     unioned predictions is ever built. The fold table is written once into the shared
     folder and every fit reads its rows from there.
-
-    Returns (scores, importances): scores has (model, key..., fold, role, n, metric
-    columns); importances has (model, key..., fold, feature, importance).
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -182,45 +178,62 @@ def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
     sizes = {tuple(r[c] for c in g): (int(r["n"]), float(r["sd"] or 1.0)) for r in
              data.filter(F.col("role") == "train").groupBy(*g)
                  .agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).collect()}
-    groups = sorted(sizes)
-    y, p = F.col("label"), F.col("prediction")
-    agg = [F.count(F.lit(1)).alias("n"), F.avg((y == p).cast("double")).alias("accuracy")]
 
     def fit_one(job):
         name, gv = job
         part = data.filter(_group_filter(g, gv))
-        n, sd = sizes[gv]
-        est = regressor(name, n, sd) if task == "regression" else classifier(name, n)
-        model = est.fit(part.filter(F.col("role") == "train"))
-        pred = model.transform(part)
-        if task == "regression":
-            pred = pred.withColumn("__dev", F.pow(y - F.avg(y).over(Window.partitionBy("role")), 2))
-            rows = (pred.groupBy("role").agg(
-                F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.pow(y - p, 2))).alias("rmse"),
-                F.sum(F.pow(y - p, 2)).alias("__res"), F.sum("__dev").alias("__tot")).collect())
-            out = [(name, *gv, r["role"], int(r["n"]), float(r["rmse"]),
-                    (1.0 if r["__res"] == 0 else 0.0) if r["__tot"] == 0
-                    else 1.0 - r["__res"] / r["__tot"]) for r in rows]
-        else:
-            rows = pred.groupBy("role").agg(*agg).collect()
-            out = [(name, *gv, r["role"], int(r["n"]), float(r["accuracy"])) for r in rows]
+        model = make(name, *sizes[gv]).fit(part.filter(F.col("role") == "train"))
+        rows = score(model.transform(part)).select(*[f.name for f in fields]).collect()
         fi = getattr(model, "featureImportances", None)
-        imp = [] if fi is None else [(name, *gv, f, float(v))
-                                     for f, v in zip(features, fi.toArray())]
-        return out, imp
+        imp = [] if fi is None else [(name, *gv, f, float(v)) for f, v in zip(features, fi.toArray())]
+        return [(name, *gv, *r) for r in rows], imp
 
-    jobs = [(name, gv) for name in names for gv in groups]
+    jobs = [(name, gv) for name in names for gv in sorted(sizes)]
     with ThreadPoolExecutor(max_workers=max_parallel) as pool:
         results = list(pool.map(fit_one, jobs))
-    key_fields = [scaled.schema[c] for c in g]
-    metric_fields = ([StructField("accuracy", DoubleType())] if task == "classification" else
-                     [StructField("rmse", DoubleType()), StructField("r2", DoubleType())])
-    score_schema = StructType([StructField("model", StringType()), *key_fields,
-                               StructField("role", StringType()),
-                               StructField("n", LongType()), *metric_fields])
-    imp_schema = StructType([StructField("model", StringType()), *key_fields,
-                             StructField("feature", StringType()),
+    key_fields = [StructField("model", StringType()), *[scaled.schema[c] for c in g]]
+    imp_schema = StructType([*key_fields, StructField("feature", StringType()),
                              StructField("importance", DoubleType())])
-    scores = spark.createDataFrame([r for out, _ in results for r in out], score_schema)
+    scores = spark.createDataFrame([r for out, _ in results for r in out], StructType([*key_fields, *fields]))
     imps = spark.createDataFrame([r for _, imp in results for r in imp], imp_schema)
     return scores, imps
+
+
+def sweep_counts(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
+                 names: Sequence[str], max_parallel: int = 8) -> tuple[DataFrame, DataFrame]:
+    """M15 + M24 + M26 for classifiers: (counts, importances). counts has (model, key..., fold,
+    role, label, prediction, n), from which accuracy, report and confusion follow; importances
+    has (model, key..., fold, feature, importance)."""
+    def score(pred: DataFrame) -> DataFrame:
+        return pred.groupBy("role", F.col("label").cast("int").alias("label"),
+                            F.col("prediction").cast("int").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+    fields = [StructField("role", StringType()), StructField("label", IntegerType()),
+              StructField("prediction", IntegerType()), StructField("n", LongType())]
+    return _sweep(scaled, features, key, names, lambda name, n, sd: classifier(name, n), score, fields, max_parallel)
+
+
+def sweep_scores(scaled: DataFrame, features: Sequence[str], key: Sequence[str],
+                 names: Sequence[str], task: str = "classification",
+                 max_parallel: int = 8) -> tuple[DataFrame, DataFrame]:
+    """M15 + M16-M18 + M24 + M26: (scores, importances); scores has (model, key..., fold, role, n,
+    metric columns), importances has (model, key..., fold, feature, importance)."""
+    if task == "classification":
+        counts, imps = sweep_counts(scaled, features, key, names, max_parallel)
+        hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+        return counts.groupBy("model", *key, "fold", "role").agg(
+            F.sum("n").alias("n"), (hits / F.sum("n")).alias("accuracy")), imps
+    y, p = F.col("label"), F.col("prediction")
+
+    def score(pred: DataFrame) -> DataFrame:
+        pred = pred.withColumn("__dev", F.pow(y - F.avg(y).over(Window.partitionBy("role")), 2))
+        sums = pred.groupBy("role").agg(
+            F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.pow(y - p, 2))).alias("rmse"),
+            F.sum(F.pow(y - p, 2)).alias("__res"), F.sum("__dev").alias("__tot"))
+        flat = F.when(F.col("__res") == 0, 1.0).otherwise(0.0)
+        return sums.withColumn("r2", F.when(F.col("__tot") == 0, flat)
+                               .otherwise(1 - F.try_divide(F.col("__res"), F.col("__tot"))))
+
+    fields = [StructField("role", StringType()), StructField("n", LongType()),
+              StructField("rmse", DoubleType()), StructField("r2", DoubleType())]
+    return _sweep(scaled, features, key, names, regressor, score, fields, max_parallel)

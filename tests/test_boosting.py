@@ -83,3 +83,29 @@ def test_tuned_and_default_settings(spark, name):
     mean = rows.groupby("settings")[score].mean()
     assert set(mean.index) == {"tuned", "default"} and rows["settings"].value_counts().nunique() == 1
     assert mean["default"] > mean["tuned"]      # deep trees at rate 0.3 fit the train rows closer
+
+
+def test_reports_of_all_classifiers(spark):
+    rows = E.queries()["holdout_report"](spark, SF001).toPandas()
+    key = ["model", "settings", "sector"]
+    assert set(rows["model"]) == {"logistic", "tree", "forest", "naive_bayes_ml", "adaboost", "boosted"}
+    assert set(rows["class"]) == {"0", "1", "macro avg", "weighted avg"}
+    per_class = rows[rows["class"].isin(["0", "1"])]
+    assert (per_class["pred_0"] + per_class["pred_1"] == per_class["support"]).all()
+    # accuracy is the diagonal of the confusion matrix, and the weighted recall
+    hits = per_class["pred_0"].where(per_class["class"] == "0", per_class["pred_1"])
+    got = hits.groupby([per_class[c] for c in key]).sum() / per_class.groupby(key)["support"].sum()
+    weighted = rows[rows["class"] == "weighted avg"].set_index(key)["recall"]
+    np.testing.assert_allclose(weighted.sort_index(), got.sort_index(), atol=1e-4)
+
+
+def test_counted_rows_give_the_metrics_of_single_rows(spark):
+    from candlewick.operators import metrics
+    rng = np.random.default_rng(3)
+    cells = [(g, int(y), int(p)) for g, y, p in zip("aab" * 40, rng.integers(0, 2, 120), rng.integers(0, 2, 120))]
+    single = spark.createDataFrame([*cells, ("c", 1, 1)], "g string, label int, prediction int")
+    counted = single.groupBy("g", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    for f, order in ((metrics.confusion, ["g", "true_class"]), (metrics.classification_report, ["g", "class"])):
+        a = f(single, ["g"]).toPandas().sort_values(order, ignore_index=True)
+        b = f(counted, ["g"], n="n").toPandas().sort_values(order, ignore_index=True)
+        assert a.equals(b.astype(a.dtypes)), (a, b)
