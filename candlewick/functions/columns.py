@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 FREQ_SUFFIXES = ("_daily", "_monthly", "_quarterly")
 
 
+def quoted(name: str) -> str:
+    """The name in backticks, for functions that parse the names they are given."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col(name: str) -> Column:
     """Column reference safe for names holding dots, spaces, commas or parentheses."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def by_suffix(df: DataFrame, suffix: str) -> list[str]:

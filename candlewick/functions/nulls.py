@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
+from candlewick.functions.columns import quoted
+
 INF = float("inf")
 NAN = float("nan")
 
@@ -58,12 +60,12 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def drop_any_null(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """P10 ``dropna()``: drops rows holding null or NaN (inf is kept, as in pandas)."""
-    return df.na.drop(how="any", subset=list(subset) if subset else None)
+    return df.na.drop(how="any", subset=[quoted(c) for c in subset or df.columns])
 
 
 def drop_all_null(df: DataFrame, subset: Iterable[str]) -> DataFrame:
     """P11 ``dropna(subset=..., how='all')``."""
-    return df.na.drop(how="all", subset=list(subset))
+    return df.na.drop(how="all", subset=[quoted(c) for c in subset])
 
 
 def drop_inf_and_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:

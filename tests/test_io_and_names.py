@@ -51,3 +51,12 @@ def test_clean_and_save_partitions_by_symbol(spark, tmpdir_path):
     assert os.path.isdir(os.path.join(out, "symbol=GTCO"))       # upper-cased key folder
     back = spark.read.parquet(out)
     assert back.count() == feats.count() > 0
+
+
+def test_null_rows_are_dropped_by_columns_of_any_name(spark):
+    from candlewick.functions.nulls import drop_all_null, drop_any_null
+    names = ["A. b (c)_quarterly", "d`e", " f"]
+    df = spark.createDataFrame([(1.0, None, 2.0), (None, None, 1.0), (1.0, 2.0, None)], "a double, b double, c double").toDF(*names)
+    assert drop_any_null(df, names[:2]).count() == 1
+    assert drop_all_null(df, names[:2]).count() == 2
+    assert drop_any_null(df).count() == 0
