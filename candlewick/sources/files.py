@@ -12,7 +12,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
@@ -75,6 +76,22 @@ def read_macro(spark: SparkSession, path: str) -> DataFrame:
 
 CORRUPT = "__corrupt"
 
+#: Tasks that list a folder's subfolders. Spark starts up to 10,000, one a subfolder, each of which
+#: takes longer to start than to list it.
+LISTING_TASKS = 200
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Loads inside list their folders in ``LISTING_TASKS`` tasks, or fewer where the session says so."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTING_TASKS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
 def _price_files(spark: SparkSession, folder: str, glob: str, schema: StructType, key_from: str) -> DataFrame:
     """The scan of both readers below: fields, the corrupt line and the file."""
@@ -122,8 +139,8 @@ def scan_sector_tree(spark: SparkSession, root: str, leaf: str = "file") -> tupl
     ``path`` of every file at another depth. Only the file listing is needed: ``binaryFile`` prunes
     the unused ``content`` column, so file bodies are never read.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load(root).select("path"))
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     # components below the root, counted, so that the root's name is no pattern
     steps = len(spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/").split("/"))
     last = {"file": -1, "folder": -2}[leaf]
@@ -203,9 +220,15 @@ def symbol_batches(symbols: DataFrame, batch_size: int, col: str = "symbol") ->
 
 def write_partitioned(df: DataFrame, path: str, key: str | Sequence[str], fmt: str = "parquet",
                       mode: str = "overwrite") -> None:
-    """S8 + S9 + S10: one folder per key value; the writer creates folders as needed."""
+    """S8 + S9 + S10: one folder per key value; the writer creates folders as needed.
+
+    The cost is in folders and files, not in bytes. So the number of tasks is given: adaptive
+    execution would merge small partitions until one task wrote all folders.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    (df.repartition(*keys).write.mode(mode).partitionBy(*keys).format(fmt)
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    (df.repartition(tasks, *keys).write.mode(mode).partitionBy(*keys).format(fmt)
        .option("header", True).save(path))
 
 

@@ -168,6 +168,36 @@ def test_a_date_range_reads_few_rows_of_a_clustered_table(spark, tmpdir_path):
     assert 0 < read < 100_000 / 2
 
 
+def test_folders_of_few_bytes_are_written_by_several_tasks(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    keys = spark.range(300).select((F.col("id") % 3).alias("a"), F.col("id").alias("b"), F.lit(1).alias("one"))
+    files.write_partitioned(keys, path, ["a", "b"])
+    found = [n for _, _, names in os.walk(path) for n in names if n.startswith("part-")]
+    assert len(found) == 300 and len({n[:10] for n in found}) > 4       # one file a folder, of many tasks
+    assert files.read_partitioned(spark, path, keys.schema).count() == 300
+
+
+def _widest_stage(spark, group):
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds]
+    return max(status.getStageInfo(s).numTasks for s in stages)
+
+
+def test_listing_a_tree_takes_few_tasks(spark, tmpdir_path):
+    name, n = "spark.sql.sources.parallelPartitionDiscovery.parallelism", files.LISTING_TASKS + 50
+    before = spark.conf.get(name)
+    for k in range(n):
+        os.makedirs(os.path.join(tmpdir_path, "a", f"T{k}_bars"))
+        open(os.path.join(tmpdir_path, "a", f"T{k}_bars", "x.csv"), "w").write("x\n")
+    spark.sparkContext.setJobGroup("tree-listing", "")
+    try:
+        members, _ = files.scan_sector_tree(spark, tmpdir_path, leaf="folder")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert _widest_stage(spark, "tree-listing") == files.LISTING_TASKS and spark.conf.get(name) == before
+    assert {r.symbol for r in members.collect()} == {f"T{k}" for k in range(n)}
+
+
 def test_intermediate_tables_go_with_the_session(tmpdir_path):
     import subprocess
     import sys
