@@ -96,12 +96,16 @@ def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
 def _price_files(spark: SparkSession, folder: str, glob: str, schema: StructType, key_from: str) -> DataFrame:
     """The scan of both readers below: fields, the corrupt line and the file."""
     with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    df = (spark.read.schema(with_corrupt).option("header", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", glob).csv(folder)
-          .withColumns({"__file": F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+    reader = (spark.read.schema(with_corrupt).option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
+              .option("pathGlobFilter", glob))
+    with few_listing_tasks(spark):
+        df = reader.csv(folder)
+    df = df.withColumns({"__file": F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")})
     from_file = F.regexp_extract("__file", r"^(.*?)(\.[^.]*)?$", 1)
-    from_folder = F.url_decode(F.regexp_extract("__path", r"([^/=]+)/[^/]*$", 1))
+    # cut at the last slashes: this is done for every row, and a pattern would try each place of the path
+    parent = F.substring_index(F.substring_index("__path", "/", -2), "/", 1)
+    from_folder = F.url_decode(F.substring_index(parent, "=", -1))
     key = {"file": from_file, "folder": from_folder}[key_from]
     return df.withColumn("symbol", F.coalesce(F.col("symbol"), key) if "symbol" in schema.names else key).drop("__path")
 

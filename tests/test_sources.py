@@ -198,6 +198,34 @@ def test_listing_a_tree_takes_few_tasks(spark, tmpdir_path):
     assert {r.symbol for r in members.collect()} == {f"T{k}" for k in range(n)}
 
 
+def test_symbol_of_a_row_is_cut_from_its_folder_without_a_pattern(spark, tmpdir_path):
+    names = {"symbol=007": "007", "plain": "plain", "a=b=c": "c", "symbol=": "", "symbol=A B%2F": "A B%2F"}
+    for name in names:
+        os.makedirs(os.path.join(tmpdir_path, "k=v", name))
+        with open(os.path.join(tmpdir_path, "k=v", name, "part-0.csv"), "w") as f:
+            f.write("trade_date,volume\n2020-01-02,1\n")
+    fields = [f for f in files.PRICE_FIELDS if f.name in ("trade_date", "volume")]
+    rows = files.read_price_folder(spark, tmpdir_path, schema=files.StructType(fields), key_from="folder")
+    read = rows.select("symbol")
+    assert sorted(r.symbol for r in read.collect()) == sorted(names.values())
+    assert "regexp" not in read._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_listing_price_folders_takes_few_tasks(spark, tmpdir_path):
+    n = files.LISTING_TASKS + 50
+    for k in range(n):
+        os.makedirs(os.path.join(tmpdir_path, f"symbol=T{k}"))
+    with open(os.path.join(tmpdir_path, "symbol=T7", "part-0.csv"), "w") as f:
+        f.write(HEADER + "1,,2020-01-02,1,2,0.5,1.5,100,\n")
+    spark.sparkContext.setJobGroup("price-listing", "")
+    try:
+        rows = files.read_price_folder(spark, tmpdir_path, key_from="folder")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert _widest_stage(spark, "price-listing") == files.LISTING_TASKS
+    assert [r.symbol for r in rows.collect()] == ["T7"]
+
+
 def test_intermediate_tables_go_with_the_session(tmpdir_path):
     import subprocess
     import sys
